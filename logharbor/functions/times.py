@@ -9,6 +9,11 @@ DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 
 
+def int_div(n: Column, d: Column | int) -> Column:
+    """Integer quotient, truncated toward zero and exact for 64-bit values."""
+    return F.call_function("div", n, d if isinstance(d, Column) else F.lit(d))
+
+
 def ntz_ms(ts: Column) -> Column:
     """Epoch milliseconds of a zone-less timestamp read as UTC (sub-millisecond part dropped)."""
     days = F.unix_date(ts.cast("date")).cast("long")
@@ -22,11 +27,11 @@ def time_bucket(ts_ms: Column, seconds: int) -> Column:
 
 
 def day_of(ts_ms: Column) -> Column:
-    return F.date_from_unix_date(((ts_ms - F.pmod(ts_ms, F.lit(DAY_MS))) / DAY_MS).cast("int"))
+    return F.date_from_unix_date(int_div(ts_ms - F.pmod(ts_ms, F.lit(DAY_MS)), DAY_MS).cast("int"))
 
 
 def hour_of(ts_ms: Column) -> Column:
-    return F.floor(F.pmod(ts_ms, F.lit(DAY_MS)) / HOUR_MS).cast("int")
+    return int_div(F.pmod(ts_ms, F.lit(DAY_MS)), HOUR_MS).cast("int")
 
 
 def _padded(n: Column, width: int) -> Column:

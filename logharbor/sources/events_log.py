@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.times import ntz_ms
+from ..functions.times import int_div, ntz_ms
 from ..functions.wire import MONTHS
 
 PARTITIONS = 4
@@ -76,7 +76,7 @@ def topic_log(events: DataFrame, disturbed: bool = True, slice_ids: int = SLICE_
     offset) and lets every second repeat come from a lagging broker with a low watermark.
     """
     key = ["topic", "partition", "_slice"]
-    msgs = messages(events).withColumn("_slice", F.floor(F.col("event_id") / slice_ids))
+    msgs = messages(events).withColumn("_slice", int_div(F.col("event_id"), slice_ids))
     over = Window.partitionBy("topic", "partition")
     sizes = (
         msgs.groupBy(*key).agg(F.count("*").alias("_n"))
