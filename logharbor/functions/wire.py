@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .times import int_div
+
 # Fixed values of the wire format: envelope size, month names, field patterns.
 ENVELOPE_BYTES = 10
 MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
@@ -74,11 +76,12 @@ def _field(parts: Column, name: str) -> Column:
 
 
 def _number(parts: Column, name: str) -> Column:
-    return _field(parts, name).try_cast("int")
+    # The pattern admits digits or nothing; a failing try_cast would cost an exception per row.
+    return F.nullif(_field(parts, name), F.lit("")).cast("int")
 
 
 def facility(pri: Column) -> Column:
-    return F.floor(pri / 8).cast("int")
+    return int_div(pri, 8).cast("int")
 
 
 def severity(pri: Column) -> Column:
@@ -95,7 +98,7 @@ def stamp_ms(parts: Column, as_of_year: Column) -> Column:
     year = F.coalesce(_number(parts, "year"), F.when(name != "", as_of_year))
     named = F.when(name != "", F.floor((F.position(name, F.lit(MONTHS)) + 2) / 3))
     month0 = F.coalesce(_number(parts, "month"), named).cast("int") - 1
-    day = F.coalesce(_number(parts, "day"), F.trim(_field(parts, "syslog_day")).try_cast("int"))
+    day = F.coalesce(_number(parts, "day"), F.nullif(F.trim(_field(parts, "syslog_day")), F.lit("")).cast("int"))
     first = F.make_date(
         (year + F.floor(month0 / 12)).cast("int"), (F.pmod(month0, F.lit(12)) + 1).cast("int"), F.lit(1)
     )
@@ -134,7 +137,7 @@ def decode(log: DataFrame, as_of_year, value: str = "value", arrival_ms: str = "
     version = _field(parts, "version")
     staged = staged.withColumns({
         "pri": pri,
-        "rfc_version": version.try_cast("int"),
+        "rfc_version": _number(parts, "version"),
         "parsed_ms": stamp_ms(parts, year),
         "stamp_len": F.length(_field(parts, "stamp")),
         "envelope_ms": F.when(
@@ -182,4 +185,4 @@ def partition_id(topic: Column, partition: Column) -> Column:
 def split_partition_id(pid: Column) -> tuple[Column, Column]:
     """Topic and partition of ``<topic>-<partition>``; the topic may itself hold dashes."""
     shape = r"^(.*)-(\d+)$"
-    return F.regexp_extract(pid, shape, 1), F.regexp_extract(pid, shape, 2).try_cast("int")
+    return F.regexp_extract(pid, shape, 1), F.nullif(F.regexp_extract(pid, shape, 2), F.lit("")).cast("int")

@@ -13,7 +13,7 @@ import json
 import os
 import uuid
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -49,6 +49,7 @@ SCHEMA = {
 CONTAINER_BYTES = 2 << 20
 DEFLATE_LEVEL = 6
 SPLIT_BYTES = 128 << 20
+OPEN_COST_BYTES = 256 << 10     # what opening one more file is taken to cost when packing splits
 FORMAT = "line_container"
 
 LINE_DDL = (
@@ -252,41 +253,58 @@ def _list(fs: pafs.FileSystem, root: str) -> list[pafs.FileInfo]:
 
 
 @dataclass
-class Range(InputPartition):
+class Range:
     path: str
     start: int
     end: int
 
 
+@dataclass
+class Split(InputPartition):
+    ranges: list[Range]
+
+
+def pack_splits(files: Iterable[tuple[str, int]], split_bytes: int) -> list[Split]:
+    """Cut large files into ranges and put small ones together, up to ``split_bytes`` per split."""
+    splits, current, weight = [], [], 0
+    for path, size in files:
+        for start in range(0, size, split_bytes):
+            piece = Range(path, start, min(start + split_bytes, size))
+            cost = piece.end - piece.start + min(OPEN_COST_BYTES, split_bytes)
+            if current and weight + cost > split_bytes + OPEN_COST_BYTES:
+                splits.append(Split(current))
+                current, weight = [], 0
+            current.append(piece)
+            weight += cost
+    return [*splits, Split(current)]
+
+
 class ContainerReader(DataSourceReader):
     def __init__(self, root: str, mode: str, split_bytes: int):
         self.root, self.mode, self.split_bytes = root, mode, split_bytes
 
     def partitions(self) -> Sequence[InputPartition]:
-        ranges: list[InputPartition] = []
+        files = []
         for root in self.root.split(","):
             fs, inner = filesystem(root)
-            for info in sorted(_list(fs, inner), key=lambda i: i.path):
-                for start in range(0, info.size, self.split_bytes):
-                    ranges.append(Range(info.path, start, min(start + self.split_bytes, info.size)))
-        return ranges or [Range("", 0, 0)]
-
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
+            files += sorted((i.path, i.size) for i in _list(fs, inner))
+        return pack_splits(files, self.split_bytes)
+
+    def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
         fs, _ = filesystem(self.root.split(",")[0])
-        with fs.open_input_file(partition.path) as source:
-            sync, first = _open_container(source, partition.path)
-            for position, records, packed in _container_blocks(source, sync, first, partition):
-                raw = zlib.decompress(packed, -15)
-                if self.mode == "containers":
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([partition.path])]
-                        + [pa.array([n], pa.int64()) for n in (position, records, len(raw), len(packed))],
-                        ["file", "position", "records", "raw_bytes", "compressed_bytes"],
-                    )
-                else:
-                    yield _lines(partition.path, raw, records)
+        for part in partition.ranges:
+            with fs.open_input_file(part.path) as source:
+                sync, first = _open_container(source, part.path)
+                for position, records, packed in _container_blocks(source, sync, first, part):
+                    raw = zlib.decompress(packed, -15)
+                    if self.mode == "containers":
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([part.path])]
+                            + [pa.array([n], pa.int64()) for n in (position, records, len(raw), len(packed))],
+                            ["file", "position", "records", "raw_bytes", "compressed_bytes"],
+                        )
+                    else:
+                        yield _lines(part.path, raw, records)
 
 
 def _open_container(source, path: str) -> tuple[bytes, int]:
