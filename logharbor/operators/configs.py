@@ -9,7 +9,7 @@ from ..functions.times import render_template
 from .common import checked_broadcast
 
 CONFIG_DDL = (
-    "version int, id string, hdfsRootDir string, proxyUser string, "
+    "version bigint, id string, hdfsRootDir string, proxyUser string, "
     "defaultDirectory string, filterSet array<string>"
 )
 

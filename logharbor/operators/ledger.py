@@ -59,10 +59,28 @@ def shift_ledger(
     a time in the future stores ``as_of_ms``; a shift without rows carries the offset on.
     ``final_only`` leaves out shifts whose grace period is not over at ``as_of_ms``.
     """
+    totals = shift_totals(lines, seconds, parsed_only)
+    return ledger_from_totals(totals, spine, as_of_ms, final_only, grace_ms, start)
+
+
+def merge_totals(totals: DataFrame, order: str = "batch_id") -> DataFrame:
+    """One row per shift out of the totals several batches left for it."""
+    return totals.groupBy(*TP, "shift_start").agg(
+        F.max_by("next_offset", order).alias("next_offset"),
+        F.max("max_ts_ms").alias("max_ts_ms"),
+        F.sum("consumed").alias("consumed"),
+    )
+
+
+def ledger_from_totals(
+    totals: DataFrame, spine: DataFrame, as_of_ms: int,
+    final_only: bool = False, grace_ms: int = GRACE_MS, start: int = 0,
+) -> DataFrame:
+    """:func:`shift_ledger` from totals per shift, as a landing stream leaves them."""
     latest = F.col("max_ts_ms")
     carried = Window.partitionBy(*TP).orderBy("shift_start").rowsBetween(Window.unboundedPreceding, 0)
     ledger = (
-        spine.join(shift_totals(lines, seconds, parsed_only), [*TP, "shift_start"], "left")
+        spine.join(totals, [*TP, "shift_start"], "left")
         .withColumns({
             "next_offset": F.coalesce(F.last("next_offset", ignorenulls=True).over(carried), F.lit(start).cast("long")),
             "consumed": F.coalesce("consumed", F.lit(0).cast("long")),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import HOUR_MS, render_template, time_bucket
@@ -25,14 +25,17 @@ def low_water(partitions: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
-def candidate_hours(spark: SparkSession, as_of_ms: int, hours: int = LOOK_BACK_HOURS) -> DataFrame:
-    """Starts of the last ``hours`` full hours before the current one."""
+def candidate_hours(as_of_ms: int, hours: int = LOOK_BACK_HOURS) -> Column:
+    """Starts of the last ``hours`` full hours before the current one, as an array."""
     current = as_of_ms - as_of_ms % HOUR_MS
-    return spark.range(1, hours + 1).select((F.lit(current) - F.col("id") * HOUR_MS).alias("hour_ms"))
+    return F.sequence(
+        F.lit(current - hours * HOUR_MS).cast("long"), F.lit(current - HOUR_MS).cast("long"), F.lit(HOUR_MS).cast("long")
+    )
 
 
 def due_hours(
-    water: DataFrame, hours: DataFrame, configs: DataFrame, flags: DataFrame, strict: bool = False
+    water: DataFrame, configs: DataFrame, flags: DataFrame, as_of_ms: int,
+    hours: int = LOOK_BACK_HOURS, strict: bool = False,
 ) -> DataFrame:
     """Hours to flag per topic: ``topic, hour_ms, topic_path, data_path``.
 
@@ -43,9 +46,9 @@ def due_hours(
     topics = water.join(
         configs.select(F.col("id").alias("topic"), "hdfsRootDir", "defaultDirectory"), "topic"
     )
-    # Candidate hours are a fixed short list, so pairing them with topics adds a constant factor.
     return (
-        topics.join(F.broadcast(hours), ripe)
+        topics.withColumn("hour_ms", F.explode(candidate_hours(as_of_ms, hours)))
+        .filter(ripe)
         .join(flags.select("topic", "hour_ms"), ["topic", "hour_ms"], "left_anti")
         .select(
             "topic", "hour_ms",

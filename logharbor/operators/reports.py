@@ -17,14 +17,15 @@ HISTOGRAM_TEMPLATE = "%y-%M-%d-%H"
 
 
 def timestamp_histogram(decoded: DataFrame, template: str = HISTOGRAM_TEMPLATE) -> DataFrame:
-    """Lines per time label, apart for parsed and envelope times, with the first line of each.
+    """Lines per partition and time label, apart for parsed and envelope times, with the first line of each.
 
-    ``ts_source, label, lines, first_offset, first_body``; lines dated by arrival are left out.
+    ``topic, partition, ts_source, label, lines, first_offset, first_body``; lines dated by
+    arrival are left out.
     """
     label = render_template(template, time_bucket(F.col("ts_ms"), 3600))
     return (
         decoded.filter(F.col("ts_source") != "now")
-        .groupBy("ts_source", label.alias("label"))
+        .groupBy(*TP, "ts_source", label.alias("label"))
         .agg(
             F.count("*").alias("lines"),
             F.min("offset").alias("first_offset"),

@@ -107,6 +107,16 @@ def _deflate(raw: bytes, level: int) -> bytes:
     return squeeze.compress(raw) + squeeze.flush()
 
 
+def packed(boxes: DataFrame, level: int = DEFLATE_LEVEL) -> DataFrame:
+    """Container blocks with ``raw`` already deflated, for a writer that only appends."""
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            small = [_deflate(r, level) for r in batch.column("raw").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(small, pa.binary())], batch.schema.names)
+
+    return boxes.mapInArrow(squeeze, boxes.schema)
+
+
 def container_sizes(boxes: DataFrame, level: int = DEFLATE_LEVEL) -> DataFrame:
     """What each container block would take on disk, without writing it."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,8 +176,8 @@ class Written(WriterCommitMessage):
 
 
 class ContainerWriter(DataSourceArrowWriter):
-    def __init__(self, root: str, level: int, overwrite: bool):
-        self.root, self.level, self.overwrite = root, level, overwrite
+    def __init__(self, root: str, level: int, overwrite: bool, is_packed: bool = False):
+        self.root, self.level, self.overwrite, self.is_packed = root, level, overwrite, is_packed
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = filesystem(self.root)
@@ -190,8 +200,8 @@ class ContainerWriter(DataSourceArrowWriter):
                         out = fs.open_output_stream(temporary)
                         sync = os.urandom(SYNC_BYTES)
                         out.write(_header(sync))
-                    packed = _deflate(raw.as_buffer(), self.level)
-                    out.write(_long_bytes(records.as_py()) + _long_bytes(len(packed)) + packed + sync)
+                    block = raw.as_py() if self.is_packed else _deflate(raw.as_buffer(), self.level)
+                    out.write(_long_bytes(records.as_py()) + _long_bytes(len(block)) + block + sync)
             if out is not None:
                 out.close()
         except BaseException:
@@ -411,7 +421,9 @@ class LineContainerSource(DataSource):
         return ContainerReader(self.options["path"], self.options.get("mode", "lines"), split)
 
     def writer(self, schema, overwrite: bool) -> ContainerWriter:
-        return ContainerWriter(self.options["path"], int(self.options.get("level", DEFLATE_LEVEL)), overwrite)
+        level = int(self.options.get("level", DEFLATE_LEVEL))
+        is_packed = self.options.get("packed", "false") == "true"
+        return ContainerWriter(self.options["path"], level, overwrite, is_packed)
 
 
 def register(spark: SparkSession) -> None:
@@ -430,7 +442,9 @@ def read_container_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format(FORMAT).option("mode", "containers").load(path)
 
 
-def write_containers(boxes: DataFrame, root: str, level: int = DEFLATE_LEVEL, mode: str = "append") -> None:
+def write_containers(
+    boxes: DataFrame, root: str, level: int = DEFLATE_LEVEL, mode: str = "append", is_packed: bool = False
+) -> None:
     """Write the result of :func:`containers`; all rows of a file must be in one partition.
 
     An existing file of the same name is replaced; ``mode="overwrite"`` also removes the
@@ -438,7 +452,8 @@ def write_containers(boxes: DataFrame, root: str, level: int = DEFLATE_LEVEL, mo
     """
     register(boxes.sparkSession)
     ordered = boxes.sortWithinPartitions("file", "container")
-    ordered.write.format(FORMAT).option("level", level).mode(mode).save(root)
+    writer = ordered.write.format(FORMAT).option("level", level).option("packed", str(is_packed).lower())
+    writer.mode(mode).save(root)
 
 
 def write_lines(

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .containers import filesystem
 
@@ -50,5 +51,5 @@ def with_flag(dirs: DataFrame, base: str = "", path: str = "path", name: str = F
                 found.append(fs.get_file_info(inner).type == pafs.FileType.File)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.bool_())], [*names, "flagged"])
 
-    schema = dirs.schema.add("flagged", "boolean")
+    schema = T.StructType([*dirs.schema.fields, T.StructField("flagged", T.BooleanType())])
     return dirs.mapInArrow(look, schema)
