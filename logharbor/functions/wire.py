@@ -96,12 +96,11 @@ def stamp_ms(parts: Column, as_of_year: Column) -> Column:
     """
     name = _field(parts, "month_name")
     year = F.coalesce(_number(parts, "year"), F.when(name != "", as_of_year))
-    named = F.when(name != "", F.floor((F.position(name, F.lit(MONTHS)) + 2) / 3))
+    named = F.when(name != "", int_div(F.position(name, F.lit(MONTHS)) + 2, 3))
     month0 = F.coalesce(_number(parts, "month"), named).cast("int") - 1
     day = F.coalesce(_number(parts, "day"), F.nullif(F.trim(_field(parts, "syslog_day")), F.lit("")).cast("int"))
-    first = F.make_date(
-        (year + F.floor(month0 / 12)).cast("int"), (F.pmod(month0, F.lit(12)) + 1).cast("int"), F.lit(1)
-    )
+    in_year = F.pmod(month0, F.lit(12))
+    first = F.make_date((year + int_div(month0 - in_year, 12)).cast("int"), (in_year + 1).cast("int"), F.lit(1))
     days = (F.unix_date(first) + day - 1).cast("long")
     clock = (
         _number(parts, "hour").cast("long") * 3600
@@ -130,19 +129,21 @@ def decode(log: DataFrame, as_of_year, value: str = "value", arrival_ms: str = "
     staged = log.withColumn("enc_version", envelope_version(raw))
     base = F.when(F.col("enc_version") == 0, F.lit(ENVELOPE_BYTES)).otherwise(F.lit(0))
     text = F.decode(F.substring(raw, base + 1, F.lit(2**31 - 1)), "ISO-8859-1")
-    staged = staged.withColumn("_parts", split_message(text))
+    # Exploding a one-element array keeps the pattern out of filters: the optimizer would push
+    # a filter on a decoded column below a plain projection and match again for every use.
+    staged = staged.withColumn("_parts", F.explode(F.array(split_message(text))))
     parts = F.col("_parts")
 
     pri = _number(parts, "pri")
     version = _field(parts, "version")
+    has_envelope = (F.col("enc_version") == 0) & (F.length(raw) >= ENVELOPE_BYTES)
     staged = staged.withColumns({
         "pri": pri,
         "rfc_version": _number(parts, "version"),
         "parsed_ms": stamp_ms(parts, year),
         "stamp_len": F.length(_field(parts, "stamp")),
-        "envelope_ms": F.when(
-            (F.col("enc_version") == 0) & (F.length(raw) >= ENVELOPE_BYTES), envelope_ts(raw)
-        ),
+        "envelope_ms": F.when(has_envelope, envelope_ts(raw)),
+        "ts_source": F.when(_field(parts, "stamp") != "", "parsed").when(has_envelope, "envelope").otherwise("now"),
         "decode_status": F.when(base > F.length(raw), "short_envelope")
         .when(_field(parts, "cut") != "", "truncated_ts")
         .otherwise("ok"),
@@ -156,9 +157,6 @@ def decode(log: DataFrame, as_of_year, value: str = "value", arrival_ms: str = "
         "facility": facility(F.col("pri")),
         "severity": severity(F.col("pri")),
         "ts_ms": F.coalesce("parsed_ms", "envelope_ms", arrival_ms),
-        "ts_source": F.when(F.col("parsed_ms").isNotNull(), "parsed")
-        .when(F.col("envelope_ms").isNotNull(), "envelope")
-        .otherwise("now"),
         "body": F.substring(raw, F.col("_pos") + 1, F.lit(2**31 - 1)),
     }).drop("_parts", "_pos")
 
