@@ -31,7 +31,7 @@ SYSLOG_CUT = rf"{MONTH}(?:[\s\S](?:[ \d]|(?: \d|\d{{2}})(?:{SEP}\d{{2}}){{0,2}}{
 
 STAMP = rf"((?:{ISO_DAY}|{SYSLOG_DAY}){CLOCK}{FRACTION}{ZONE})( ?)"
 CUT = rf"(?=(?:{ISO_CUT}|{SYSLOG_CUT})\z)([\dA-S])"
-MESSAGE = rf"^{PRI}{VERSION}(?:{STAMP}|{CUT})?[\s\S]*\z"
+MESSAGE = rf"^{PRI}{VERSION}(?:{STAMP}|{CUT})?(?s:.*)\z"
 
 # Capture group of each field in MESSAGE.  The stamp text goes last because it may hold
 # any byte (the one between month and day), including the field separator used below.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 TP = ["topic", "partition"]
 BROADCAST_ROWS = 100_000
+ROLL_ROWS = 1 << 20     # arrival positions per slice of a partition, and per output file at most
 
 
 def checked_broadcast(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

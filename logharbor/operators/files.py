@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import int_div, time_bucket
-from .common import TP
+from .common import ROLL_ROWS, TP
 
 SHIFT_SECONDS = 3600
-ROLL_ROWS = 1 << 20
 FILE_KEY = [*TP, "bucket_ms", "shift_ms", "roll"]
 EXTENSION = ".bm"
 
@@ -23,13 +22,15 @@ def file_keys(
     replaces the arrival-time shift (a stream passes its batch id).  Files also roll at
     every ``roll_rows`` marks of the arrival sequence, so no file, and no group of the
     operators keyed by file, can grow without bound; late lines open a new file in their
-    old bucket and are never dropped.
+    old bucket and are never dropped.  Audited lines already carry their ``roll`` and are
+    partitioned by it, which the windows here and in the block operators build on.
     """
     keyed = lines.withColumns({
         "bucket_ms": time_bucket(F.col("ts_ms"), seconds),
         "shift_ms": time_bucket(F.col("arrival_ms"), seconds) if shift is None else shift,
-        "roll": int_div(F.col("arrival_seq"), roll_rows),
     })
+    if "roll" not in lines.columns:
+        keyed = keyed.withColumn("roll", int_div(F.col("arrival_seq"), roll_rows))
     opening = Window.partitionBy(*FILE_KEY).orderBy("arrival_seq")
     return keyed.withColumns({
         "file_name": F.concat(

@@ -2,7 +2,9 @@
 
 One topic-partition may hold a large share of all rows, so nothing here gathers a
 partition: rows are grouped by slices of the arrival sequence, each slice is summed up in
-one row, the summaries are scanned, and the result seeds the slice's own window.
+one row, the summaries are scanned, and the result seeds the slice's own window.  A slice
+is also a roll of the output files (column ``roll``), so the one shuffle made here is
+the one that blocks and file writing use, too.
 """
 
 from __future__ import annotations
@@ -12,11 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import int_div
-from .common import TP, before
+from .common import ROLL_ROWS, TP, before
 
-SLICE_ROWS = 1 << 20
 ANOMALIES = ("gap", "beyond_hw")
-_SLICE = [*TP, "_slice"]
+_SLICE = [*TP, "roll"]
 
 
 def range_scan(log: DataFrame, topic: str, partition: int, lo: int, hi: int) -> DataFrame:
@@ -77,7 +78,7 @@ def _with_start(summaries: DataFrame, start: DataFrame | int) -> DataFrame:
 
 
 def _slices(log: DataFrame, slice_rows: int) -> DataFrame:
-    return log.withColumn("_slice", int_div(F.col("arrival_seq"), slice_rows))
+    return log.withColumn("roll", int_div(F.col("arrival_seq"), slice_rows))
 
 
 def _status(offset: Column, expected: Column, watermark: Column) -> Column:
@@ -102,22 +103,22 @@ def _verdict(rows: DataFrame) -> DataFrame:
     })
 
 
-def offset_audit(log: DataFrame, start: DataFrame | int = 0, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def offset_audit(log: DataFrame, start: DataFrame | int = 0, slice_rows: int = ROLL_ROWS) -> DataFrame:
     """Compare every row with the offset its partition expects, in arrival order.
 
-    Adds ``expected, status, accepted, gap, next_offset, lag``.  ``start`` is the first
+    Adds ``roll, expected, status, accepted, gap, next_offset, lag``.  ``start`` is the first
     expected offset: a number, or a table with ``start_offset`` per partition.
     """
     rows = _slices(log, slice_rows)
     tops = rows.groupBy(*_SLICE).agg(F.max("offset").alias("_top"))
     seeds = _with_start(
-        tops.select(*_SLICE, F.max("_top").over(before(TP, "_slice")).alias("_seen")), start
+        tops.select(*_SLICE, F.max("_top").over(before(TP, "roll")).alias("_seen")), start
     ).select(*_SLICE, F.greatest("_start", F.col("_seen") + 1).alias("_floor"))
     earlier = F.max("offset").over(before(_SLICE, "arrival_seq"))
     return _verdict(
         rows.join(seeds, _SLICE)
         .withColumn("expected", F.greatest("_floor", earlier + 1))
-        .drop("_slice", "_floor")
+        .drop("_floor")
     )
 
 
@@ -185,7 +186,7 @@ def _summarise(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _walk_slices(key: tuple, slices: pd.DataFrame) -> pd.DataFrame:
-    slices = slices.sort_values("_slice")
+    slices = slices.sort_values("roll")
     e, entry = int(slices["_start"].iloc[0]), []
     for step, a, b, t in zip(slices["_step"], slices["_a"].tolist(), slices["_b"].tolist(), slices["_t"].tolist()):
         entry.append(e)
@@ -203,7 +204,7 @@ def _replay(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def sink_to_high_watermark(
-    log: DataFrame, start: DataFrame | int = 0, slice_rows: int = SLICE_ROWS
+    log: DataFrame, start: DataFrame | int = 0, slice_rows: int = ROLL_ROWS
 ) -> DataFrame:
     """The audit with the reset switched on: an expectation beyond the watermark drops to it.
 
@@ -223,7 +224,7 @@ def sink_to_high_watermark(
         narrow.join(entries, _SLICE).groupBy(*_SLICE)
         .applyInPandas(_replay, f"{key_ddl}, arrival_seq long, expected long")
     )
-    audited = _verdict(rows.join(expected, [*_SLICE, "arrival_seq"]).drop("_slice"))
+    audited = _verdict(rows.join(expected, [*_SLICE, "arrival_seq"]))
     sunk = F.col("status") == "beyond_hw"
     return audited.withColumn(
         "next_offset", F.when(sunk, F.col("high_watermark")).otherwise(F.col("next_offset"))

@@ -9,7 +9,8 @@ from ..functions.times import int_div
 from ..functions.wire import decode, landable
 from ..operators.blocks import log_blocks
 from ..operators.configs import render_paths
-from ..operators.files import FILE_KEY, ROLL_ROWS, SHIFT_SECONDS, file_keys, skew
+from ..operators.common import ROLL_ROWS
+from ..operators.files import FILE_KEY, SHIFT_SECONDS, file_keys, skew
 from ..operators.offsets import accepted_rows, offset_audit, range_scan, strict_offsets
 from ..operators.reports import HISTOGRAM_TEMPLATE, timestamp_histogram
 from ..sources import containers as boxes
@@ -54,8 +55,8 @@ def prepared_lines(
     shift: Column | None = None, skew_options: dict | None = None, roll_rows: int = ROLL_ROWS,
 ) -> DataFrame:
     """Audit, decode and assign files: the lines a landing writes."""
-    decoded = decode(accepted_rows(offset_audit(log, start)), as_of_year)
-    return skew(file_keys(landable(decoded, drop_truncated), seconds, roll_rows, shift), **(skew_options or {}))
+    decoded = decode(accepted_rows(offset_audit(log, start, roll_rows)), as_of_year)
+    return skew(file_keys(landable(decoded, drop_truncated), seconds, shift=shift), **(skew_options or {}))
 
 
 def land(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from logharbor import catalog as c
 from logharbor.functions import wire
 from logharbor.functions.times import render_template, time_bucket
+from logharbor.operators import blocks as bl
 from logharbor.operators import configs as cf
 from logharbor.operators import files as fl
 from logharbor.operators import ledger as lg
@@ -178,6 +179,17 @@ def test_export_range(spark, sf_dir, tmp_path, roll_rows):
     assert sorted(os.listdir(tmp_path)) == ["one.bm"]
 
 
+def test_landing_shuffles_wide_rows_once(spark, log, configs):
+    """From the log to container bytes, rows that carry a message cross one exchange."""
+    lines = jobs.prepared_lines(log, 0, YEAR)
+    placed = cf.render_paths(lines, configs).withColumn("file", F.concat("path", F.lit("/"), "file_name"))
+    boxed = boxes.containers(bl.log_blocks(placed, keep=["file"]), "file", fl.FILE_KEY)
+    boxed.write.format("noop").mode("overwrite").save()
+    plan = boxed._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len([e for e in exchanges if "roll" in e]) <= 3 and not any("bucket_ms" in e for e in exchanges)
+
+
 def test_timestamp_report(spark, sf_dir):
     whole = c._log(spark, sf_dir, disturbed=False)
     report = jobs.timestamp_report(whole, "click", 0, 0, 40, YEAR)

@@ -119,4 +119,4 @@ def test_audit_windows_are_sliced(spark):
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert len(windows) == 2
     row_level = [w for w in windows if "max(offset" in w]
-    assert row_level and all("_slice" in w.split("],")[1] for w in row_level)
+    assert row_level and all("roll" in w.split("],")[1] for w in row_level)
