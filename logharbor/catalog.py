@@ -639,6 +639,26 @@ def partitioned_dataset(spark, sf):
         F.count("*").alias("lines"), F.sum(F.length("body")).alias("body_bytes"))
 
 
+@query(_with(_keyed_sql(86_400) + _BLOCKS + f""",
+costs AS (
+  SELECT topic, "partition", bucket_ms, shift_ms, roll, block_number, any_value(second) AS second,
+    first(create_time) AS create_time, count(*) AS n,
+    sum({'CASE WHEN ts_ms % 1000 < 64 THEN 1 ELSE 2 END'} + CASE WHEN strlen(body) < 64 THEN 1 ELSE 2 END + strlen(body)) AS line_bytes
+  FROM placed GROUP BY topic, "partition", bucket_ms, shift_ms, roll, block_number
+)""", """SELECT topic, count(*) AS blocks, CAST(sum(n) AS BIGINT) AS lines,
+    CAST(sum(line_bytes + 5 + 6 + CASE WHEN block_number < 64 THEN 1 WHEN block_number < 8192 THEN 2 ELSE 3 END
+      + CASE WHEN n < 64 THEN 1 ELSE 2 END + 1) AS BIGINT) AS raw_bytes FROM costs GROUP BY topic"""))
+def raw_bytes_by_topic(spark, sf):
+    """Uncompressed container bytes: every header, line and terminator of the format is accounted for."""
+    lines = _files(spark, sf)
+    blocks = bl.log_blocks(lines, keep=["file"])
+    sizes = boxes.containers(blocks, "file", FILE_KEY).groupBy(
+        F.regexp_extract("file", r"([^/]*)-\d+-\d+\.bm$", 1).alias("topic")
+    ).agg(F.sum("records").alias("blocks"), F.sum(F.length("raw").cast("long")).alias("raw_bytes"))
+    counts = blocks.groupBy("topic").agg(F.sum(F.size("log_lines")).alias("lines"))
+    return sizes.join(counts, "topic").select("topic", "blocks", "lines", "raw_bytes")
+
+
 @query()
 def bytes_by_topic(spark, sf):
     lines = _files(spark, sf)
@@ -835,7 +855,8 @@ def landing_stream(spark, sf):
     """The log landed by a stream in three batches, read back from its container files."""
     base = shared_dir(spark, "stream")
     cuts = [0, 1_704_931_200_000, 1_705_795_200_000, 2**62]
-    log = _log(spark, sf).drop("event_id")
+    _log(spark, sf).drop("event_id").write.parquet(f"{base}/log")
+    log = tl.from_folder(spark, f"{base}/log")
     files = 8
     for lo, hi in zip(cuts, cuts[1:]):
         part = log.filter((F.col("arrival_ms") >= lo) & (F.col("arrival_ms") < hi))

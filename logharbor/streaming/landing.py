@@ -20,6 +20,7 @@ LEDGER_DDL = (
     "topic string, partition int, shift_start bigint, next_offset bigint, max_ts_ms bigint, "
     "consumed bigint, batch_id bigint"
 )
+OFFSETS_DDL = "topic string, partition int, start_offset bigint"
 
 
 @dataclass
@@ -37,36 +38,50 @@ class LandingOptions:
     skew: dict = field(default_factory=dict)
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Totals per shift and batch; empty before the first batch."""
+def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     try:
-        return spark.read.schema(LEDGER_DDL).option("basePath", path).parquet(path)
+        return spark.read.schema(ddl).parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], LEDGER_DDL)
+        return spark.createDataFrame([], ddl)
+
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Totals per shift and batch; empty before the first batch."""
+    return _read(spark, f"{path}/shifts", LEDGER_DDL)
 
-def next_offsets(ledger: DataFrame, before_batch: int | None = None) -> DataFrame:
-    """``start_offset`` per partition after the batches so far (or those before ``before_batch``)."""
-    rows = ledger if before_batch is None else ledger.filter(F.col("batch_id") < before_batch)
-    newest = F.max_by("next_offset", F.struct("batch_id", "shift_start"))
-    return rows.groupBy(*TP).agg(newest.alias("start_offset"))
+
+def read_offsets(spark: SparkSession, path: str, after_batch: int) -> DataFrame:
+    """``start_offset`` of every partition seen up to and including ``after_batch``: one small folder."""
+    return _read(spark, f"{path}/offsets/batch_id={after_batch}", OFFSETS_DDL)
+
+
+def _store(spark: SparkSession, totals: DataFrame, start: DataFrame, path: str, batch_id: int) -> None:
+    """Replace the batch's ledger rows, then its offsets: the earlier ones moved on by this batch."""
+    shifts = f"{path}/shifts/batch_id={batch_id}"
+    totals.write.mode("overwrite").parquet(shifts)
+    moved = spark.read.parquet(shifts).groupBy(*TP).agg(F.max_by("next_offset", "shift_start").alias("_moved"))
+    offsets = start.join(moved, TP, "full").select(*TP, F.coalesce("_moved", "start_offset").alias("start_offset"))
+    offsets.write.mode("overwrite").parquet(f"{path}/offsets/batch_id={batch_id}")
 
 
 def land_batch(batch: DataFrame, batch_id: int, configs: DataFrame, options: LandingOptions) -> None:
     """Land one micro-batch; running it again for the same batch leaves the same files and ledger.
 
-    The expected offsets come from the ledger rows of earlier batches only, file names from
-    the lines, and the batch's ledger rows have a folder of their own that is replaced.
+    The expected offsets are those the previous batch left, file names come from the lines,
+    and the batch's ledger rows have folders of their own that are replaced.  The ledger
+    belongs to the stream's checkpoint, as batch numbers do.
     """
     spark = batch.sparkSession
-    start = next_offsets(read_ledger(spark, options.ledger), batch_id)
+    start = read_offsets(spark, options.ledger, batch_id - 1)
     audit = sink_to_high_watermark if options.sink_to_watermark else offset_audit
-    decoded = decode(accepted_rows(audit(batch, start)), options.as_of_year)
-    shift = F.lit(batch_id).cast("long")
-    keyed = file_keys(landable(decoded, options.drop_truncated), options.seconds, shift=shift)
-    land(skew(keyed, **options.skew), configs, options.root, options.level)
-    totals = shift_totals(decoded, options.seconds)
-    totals.write.mode("overwrite").parquet(f"{options.ledger}/batch_id={batch_id}")
+    decoded = decode(accepted_rows(audit(batch, start)), options.as_of_year).persist()
+    try:
+        shift = F.lit(batch_id).cast("long")
+        keyed = file_keys(landable(decoded, options.drop_truncated), options.seconds, shift=shift)
+        land(skew(keyed, **options.skew), configs, options.root, options.level)
+        _store(spark, shift_totals(decoded, options.seconds), start, options.ledger, batch_id)
+    finally:
+        decoded.unpersist()
 
 
 def landing_stream(log: DataFrame, configs: DataFrame, options: LandingOptions, trigger: dict | None = None):

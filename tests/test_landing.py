@@ -230,6 +230,9 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, log, configs, tmp
     assert landed(spark, options.root) == want
     assert sorted(glob.glob(f"{options.root}/**/*", recursive=True)) == names
     assert sorted(map(tuple, landing.read_ledger(spark, options.ledger).collect())) == before
+    ends = {(r.topic, r.partition): r.start_offset for r in landing.read_offsets(spark, options.ledger, 2).collect()}
+    audited = c.of.accepted_rows(c.of.offset_audit(log)).groupBy("topic", "partition").agg(F.max("next_offset").alias("n"))
+    assert ends == {(r.topic, r.partition): r.n for r in audited.collect()}
 
     # The stream's totals lead to the ledger the batch computes.
     decoded = wire.decode(c.of.accepted_rows(c.of.offset_audit(log)), YEAR)
