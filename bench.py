@@ -40,7 +40,7 @@ def main():
     spark = local_session(CPUS, "bench")
     work = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     # The landed topic log a deployment starts from; rendering it from events is not timed.
-    c._log(spark, SF).write.parquet(f"{work}/log")
+    c._log(spark, SF).repartition(2 * int(CPUS)).write.parquet(f"{work}/log")
     log = tl.from_folder(spark, f"{work}/log")
     rows = log.count()
 

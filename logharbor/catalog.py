@@ -828,11 +828,10 @@ hour AS (SELECT root, d.hour_ms, count(*) AS topics, count(m.topic) AS ready_top
 
 
 def _hours(spark, sf):
-    roots = _configs(spark, sf).select(
-        F.col("id").alias("topic"), F.regexp_replace("hdfsRootDir", "/%.*$", "").alias("root"))
-    folders = rd.topic_dirs(cf.configured(_keyed(spark, sf), _configs(spark, sf)), []).join(roots, "topic")
+    lines = cf.configured(_keyed(spark, sf), _configs(spark, sf))
+    rooted = lines.withColumn("root", F.regexp_replace("root_template", "/%.*$", ""))
     flags = _flags(spark, sf).unionByName(_due(spark, sf).select("topic", "hour_ms"))
-    return rd.hour_ready(folders, flags, ["root"])
+    return rd.hour_ready(rd.topic_dirs(rooted, ["root"]), flags, ["root"])
 
 
 @query(_with(_READY, "SELECT * FROM hour"))

@@ -27,6 +27,19 @@ def local_session(cpus: int | str = 8, app: str = "logharbor", **conf: str) -> S
     return spark
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the cluster's file system, for code that opens files outside the JVM.
+
+    Local paths come back plain.
+    """
+    try:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        full = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    except AttributeError:      # a remote session has no JVM at hand
+        return path
+    return full.removeprefix("file:") if full.startswith("file:") else full
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach.
 

@@ -29,6 +29,7 @@ from ..functions.encoding import bytes_text, text_bytes, varint_text
 from ..functions.times import int_div
 from ..operators.blocks import log_blocks
 from ..operators.files import EXTENSION, FILE_KEY
+from ..session import qualified
 
 # Fixed values of the file format: magic, metadata keys, codec, sync size, record schema.
 MAGIC = b"Obj\x01"
@@ -433,13 +434,17 @@ def register(spark: SparkSession) -> None:
 def read_lines(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Lines of the containers under ``path`` (a file, a folder, or several joined by commas)."""
     register(spark)
-    return spark.read.format(FORMAT).option("splitBytes", split_bytes).load(path)
+    return spark.read.format(FORMAT).option("splitBytes", split_bytes).load(_roots(spark, path))
 
 
 def read_container_stats(spark: SparkSession, path: str) -> DataFrame:
     """One row per container block of the landed files, without decoding lines."""
     register(spark)
-    return spark.read.format(FORMAT).option("mode", "containers").load(path)
+    return spark.read.format(FORMAT).option("mode", "containers").load(_roots(spark, path))
+
+
+def _roots(spark: SparkSession, path: str) -> str:
+    return ",".join(qualified(spark, p) for p in path.split(","))
 
 
 def write_containers(
@@ -453,7 +458,7 @@ def write_containers(
     register(boxes.sparkSession)
     ordered = boxes.sortWithinPartitions("file", "container")
     writer = ordered.write.format(FORMAT).option("level", level).option("packed", str(is_packed).lower())
-    writer.mode(mode).save(root)
+    writer.mode(mode).save(qualified(boxes.sparkSession, root))
 
 
 def write_lines(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import qualified
 from .containers import filesystem
 
 FLAG_NAME = "_READY"
@@ -25,6 +26,8 @@ def write_flags(flags: DataFrame, base: str = "", name: str = FLAG_NAME) -> int:
 
     Each task creates its own; writing one again changes nothing, so retries are harmless.
     """
+    base = qualified(flags.sparkSession, base) if base else base
+
     def create(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = 0
         for batch in batches:
@@ -42,6 +45,7 @@ def write_flags(flags: DataFrame, base: str = "", name: str = FLAG_NAME) -> int:
 def with_flag(dirs: DataFrame, base: str = "", path: str = "path", name: str = FLAG_NAME) -> DataFrame:
     """Add ``flagged``: whether the folder of each row holds a marker, looked up in the tasks."""
     names = dirs.columns
+    base = qualified(dirs.sparkSession, base) if base else base
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

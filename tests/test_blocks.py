@@ -76,7 +76,7 @@ def test_varint(spark, n):
     assert boxes._read_long(bytes(row.b), 0) == (n, len(row.b))
 
 
-@pytest.mark.parametrize("level,split,cap", [(6, 128 << 20, 1_048_535), (1, 700, 2000), (9, 64, 50)])
+@pytest.mark.parametrize("level,split,cap", [(6, 128 << 20, 1_048_535), (1, 700, 2000), (9, 300, 50)])
 def test_round_trip(spark, tmp_path, level, split, cap):
     lines = keyed(spark, make_lines(level, n=1200, big=True), roll_rows=200).withColumn(
         "file", F.concat(F.lit("day/"), "bucket_ms", F.lit("/"), "file_name"))
