@@ -278,11 +278,12 @@ class Split(InputPartition):
 def pack_splits(files: Iterable[tuple[str, int]], split_bytes: int) -> list[Split]:
     """Cut large files into ranges and put small ones together, up to ``split_bytes`` per split."""
     splits, current, weight = [], [], 0
+    opening = min(OPEN_COST_BYTES, split_bytes)
     for path, size in files:
         for start in range(0, size, split_bytes):
             piece = Range(path, start, min(start + split_bytes, size))
-            cost = piece.end - piece.start + min(OPEN_COST_BYTES, split_bytes)
-            if current and weight + cost > split_bytes + OPEN_COST_BYTES:
+            cost = piece.end - piece.start + opening
+            if current and weight + cost > split_bytes + opening:
                 splits.append(Split(current))
                 current, weight = [], 0
             current.append(piece)

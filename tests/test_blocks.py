@@ -97,6 +97,17 @@ def test_round_trip(spark, tmp_path, level, split, cap):
         assert back.rdd.getNumPartitions() > len(glob.glob(f"{root}/**/*.bm", recursive=True))
 
 
+def test_splits_cover_every_byte_once():
+    files = [("a", 0), ("b", 10), ("c", 1000), ("d", 3)]
+    for size in (4, 64, 10**9):
+        splits = boxes.pack_splits(files, size)
+        got = sorted((r.path, r.start, r.end) for s in splits for r in s.ranges)
+        for path, length in files:
+            mine = [(s, e) for p, s, e in got if p == path]
+            assert [s for s, _ in mine] + [length] == [0] * (length > 0) + [e for _, e in mine] or length == 0 and not mine
+    assert len(boxes.pack_splits(files, 10**9)) == 1 and len(boxes.pack_splits(files, 100)) > 10
+
+
 def test_odd_messages_round_trip(spark, tmp_path):
     bodies = [b"", b"\xff\xfe\x00", b"x" * 1_200_000, b"y" * 1_048_500, "é".encode(), b"\n"]
     rows = [("t", 0, i, i, 0, -1500 + i, bytearray(b)) for i, b in enumerate(bodies)]
