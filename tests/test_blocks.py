@@ -139,7 +139,7 @@ def test_overwrite_and_failed_write(spark, tmp_path):
     assert boxes.read_lines(spark, root).count() == 60
     boxes.write_lines(lines.filter("partition = 0"), root, mode="overwrite")
     assert boxes.read_lines(spark, root).count() == 30
-    bad = lines.withColumn("ts_ms", F.when(F.col("offset") == 29, F.raise_error(F.lit("boom!")).cast("long")).otherwise(F.col("ts_ms")))
+    bad = lines.withColumn("ts_ms", F.when(F.col("offset") == 29, F.raise_error(F.lit("broken line")).cast("long")).otherwise(F.col("ts_ms")))
     before = sorted(os.listdir(root))
     with pytest.raises(Exception):
         boxes.write_lines(bad, root)
