@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, tiff
-from .common import table
+from . import bpe, html_text, langid, quality, simhash, tiff
+from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,27 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of whole texts, decoded again."""
     return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query()
+def op9_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; the machine learns from the other three folds."""
+    documents = table(spark, sf_dir, "documents")
+    machine = quality.train(documents, table(spark, sf_dir, "labels"), folds=4, held_out=2)
+    scored = quality.with_score(documents.select("doc_id", "text", "n_chars"), machine, "score")
+    return scored.select("doc_id", F.coalesce(id_remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query()
+def op6_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by the byte network."""
+    documents = table(spark, sf_dir, "documents")
+    found = langid.predictions(documents, langid.train(documents, folds=5, held_out=0))
+    return found.select("doc_id", F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op3_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages, site templates removed."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
