@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, quality, simhash, tiff
+from . import bpe, html_text, langid, pii, quality, simhash, tiff
 from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,17 @@ def op6_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages, site templates removed."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op5_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of personal data in all documents."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.with_spans(documents, pii.train(documents))
+
+    def joined(column: str):
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["from"], s["to"])), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"),
+                        (F.size("spans") - F.size("base")).cast("bigint").alias("n_added"))
