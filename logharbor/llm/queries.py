@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, pii, quality, simhash, tiff
+from . import bpe, embeddings, html_text, langid, mixing, pii, quality, sharding, simhash, tiff
 from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,77 @@ def op5_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(column: str):
         return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["from"], s["to"])), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"),
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"),
                         (F.size("spans") - F.size("base")).cast("bigint").alias("n_added"))
+
+
+@query("""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, coalesce('=' || source, '') AS k, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\t\\n\\x0B\\f\\r ]+'))::BIGINT AS tokens, md5(coalesce(text, '')) AS m
+  FROM documents
+),
+sources AS (SELECT k, sum(tokens)::BIGINT AS total FROM rows GROUP BY k),
+ends AS (SELECT max(total)::DOUBLE AS hi, min(total)::DOUBLE AS lo FROM sources WHERE total > 0),
+halving(step, low, high) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN pow(e.hi / e.lo, 1 - (low + high) / 2) > 2.0 THEN (low + high) / 2 ELSE low END,
+    CASE WHEN pow(e.hi / e.lo, 1 - (low + high) / 2) > 2.0 THEN high ELSE (low + high) / 2 END
+  FROM halving, ends e WHERE step < 50
+),
+chosen AS (SELECT high AS a FROM halving WHERE step = 50),
+budgets AS (
+  SELECT k, total, CASE WHEN total > 0 THEN floor(total * pow(e.hi / total, 1 - a))::BIGINT ELSE 0 END AS budget
+  FROM sources, ends e, chosen
+),
+blocks AS (SELECT *, CASE WHEN total > 0 THEN budget // total ELSE 1 END AS whole FROM budgets),
+drawn AS (
+  SELECT r.*, b.total, b.budget, b.whole, g.epoch,
+    ('0x' || substr(md5('29|' || g.epoch || '|' || coalesce(doc_id::VARCHAR, '-') || '|' || m), 1, 15))::BIGINT AS h
+  FROM rows r JOIN blocks b USING (k), generate_series(0, 3) g(epoch) WHERE g.epoch <= b.whole
+),
+summed AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY k, epoch ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+    coalesce(sum(tokens) OVER (PARTITION BY k, epoch ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM drawn
+)
+SELECT doc_id, source, tokens, epoch::INTEGER AS epoch, budget AS budget_tokens, (epoch * total + ahead)::BIGINT AS "before",
+  CASE WHEN budget > 0 THEN (epoch * total + ahead)::DOUBLE / budget::DOUBLE ELSE 0.0 END AS place
+FROM summed WHERE epoch < whole OR (budget - whole * total > 0 AND upto <= budget - whole * total)
+""")
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in the blocks of a mixture that repeats no source more than twice."""
+    return mixing.mixed_order(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of the same source mixture."""
+    placed = sharding.stratified_shards(table(spark, sf_dir, "documents"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND NOT list_bool_or([x IS NULL OR isnan(x) OR isinf(x) FOR x IN embedding]) AND list_bool_or([x <> 0 FOR x IN embedding])
+),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach(a, b) AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+least AS (SELECT a, min(b) AS low FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN degree ON degree.a = vec_id
+""")
+def op10_spherical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors at cosine 0.98."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)

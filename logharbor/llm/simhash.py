@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import forest, in_blocks, per_block, sides
 from .common import small_batches, stored
 from .components import components
 
@@ -132,107 +133,50 @@ def fingerprint_links(fps: DataFrame, family: list[tuple[int, int, int]], radius
     are within ``radius`` bits are connected by a path of links.
     """
     postings = fps.select("node", F.explode(_posting_keys(family)).alias("key"))
-    sizes = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), F.col("c")).cast("int")
-    placed = postings.join(sizes, "key").withColumn("c", chunks).withColumn("mine", mine)
-    # A row goes to the block of its chunk with each chunk, itself included.
-    other = F.explode(F.sequence(F.lit(0), F.col("c") - 1))
-    blocks = placed.withColumn("other", other).select(
-        "key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
-        (F.col("mine") > F.col("other")).alias("right"), "node")
-    blocks = blocks.join(fps.select("node", "fp"), "node")
-    dealt = blocks.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "right")
-    return dealt.mapInArrow(_block_links(radius, min_shared, positions), "a bigint, b bigint")
+    blocks = in_blocks(postings, ["key"], "node", BLOCK).join(fps.select("node", "fp"), "node")
+    return per_block(blocks, ["key"], _block_links(radius, min_shared, positions), "a bigint, b bigint")
 
 
 def _block_links(radius: int, min_shared: int, positions: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        found: list[tuple[int, int]] = []
-        key = None
-        for batch in batches:
-            if not batch.num_rows:
+    def links(table: pa.Table) -> pa.RecordBatch | None:
+        node = table.column("node").to_numpy()
+        words = table.column("fp").combine_chunks().flatten().to_numpy().reshape(len(node), -1).astype(np.uint64)
+        left, right, same_chunk = sides(table)
+        if not len(left) or not len(right):
+            return None
+        first, second = [], []
+        step = max(1, (1 << 18) // len(right))
+        for at in range(0, len(left), step):
+            mine = left[at:at + step]
+            apart = words[mine][:, None, :] ^ words[right][None, :, :]
+            i, j = np.nonzero(np.bitwise_count(apart).sum(axis=2, dtype=np.int64) <= radius)
+            i, j = mine[i], right[j]
+            keep = i < j if same_chunk else np.ones(len(i), bool)
+            i, j = i[keep], j[keep]
+            if not len(i):
                 continue
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "low", "high", "node", "right")]
-            fp = batch.column("fp")
-            width = len(fp[0])
-            words = fp.flatten().to_numpy().reshape(-1, width).astype(np.uint64)
-            marks = np.stack(cols[:3], axis=1)
-            cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), len(marks)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                now = tuple(marks[lo])
-                if now != key:
-                    found += _links(held, radius, min_shared, positions)
-                    held, key = [], now
-                held.append((cols[3][lo:hi], cols[4][lo:hi], words[lo:hi], now[1] == now[2]))
-            if found:
-                yield _edges(found)
-                found = []
-        found += _links(held, radius, min_shared, positions)
-        if found:
-            yield _edges(found)
-    return run
-
-
-def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = zip(*found)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def _links(held: list[tuple], radius: int, min_shared: int, positions: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links in one block, which is one chunk by itself or two chunks."""
-    if not held:
-        return []
-    node = np.concatenate([h[0] for h in held])
-    right = np.concatenate([h[1] for h in held])
-    words = np.concatenate([h[2] for h in held])
-    n = len(node)
-    if n < 2:
-        return []
-    left_at = np.arange(n) if held[0][3] else np.flatnonzero(~right)
-    right_at = left_at if held[0][3] else np.flatnonzero(right)
-    if not len(left_at) or not len(right_at):
-        return []
-    parent = list(range(n))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    out = []
-    step = max(1, (1 << 18) // len(right_at))
-    for at in range(0, len(left_at), step):
-        mine = left_at[at:at + step]
-        apart = words[mine][:, None, :] ^ words[right_at][None, :, :]
-        near = np.bitwise_count(apart).sum(axis=2, dtype=np.int64) <= radius
-        i, j = np.nonzero(near)
-        i, j = mine[i], right_at[j]
-        keep = i < j if held[0][3] else np.ones(len(i), bool)
-        i, j = i[keep], j[keep]
-        if not len(i):
-            continue
-        # The tally: positional bytes that both have, over the indexed positions.
-        same = (words[i] ^ words[j]).astype(">u8").view(np.uint8).reshape(len(i), -1)[:, :positions] == 0
-        enough = same.sum(axis=1) >= min_shared
-        for p, q in zip(i[enough].tolist(), j[enough].tolist()):
-            r, s = root(p), root(q)
-            if r != s:
-                parent[s] = r
-                out.append((int(node[p]), int(node[q])))
-    return out
+            # The tally: positional bytes that both have, over the indexed positions.
+            alike = (words[i] ^ words[j]).astype(">u8").view(np.uint8).reshape(len(i), -1)[:, :positions] == 0
+            enough = alike.sum(axis=1) >= min_shared
+            first.append(i[enough])
+            second.append(j[enough])
+        if not first:
+            return None
+        a, b = forest(len(node), np.concatenate(first), np.concatenate(second))
+        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+
+    return links
 
 
 # --- groups ------------------------------------------------------------------------------------
 
 
 def near_duplicate_groups(prints: DataFrame, radius: int = 3, bits: int = 64) -> DataFrame:
-    """``prints (doc_id, fp, ...)`` with ``component_id``, the smallest doc_id of the group.
+    """``prints (doc_id, fp, ...)`` with ``component_id``, the smallest doc_id of the group, and ``component``, its key.
 
     Rows with equal fingerprints are in one group; a null doc_id belongs to its group but never
-    names one (null only if the whole group is null).
+    names one (null only if the whole group is null). Fingerprints of more than 64 bits are told
+    apart by a 64-bit hash.
     """
     if bits == 64:
         family, positions, shared = HALVES, 8, 8 - radius
@@ -244,11 +188,24 @@ def near_duplicate_groups(prints: DataFrame, radius: int = 3, bits: int = 64) ->
     prints = stored(prints.withColumn("node", node), "fingerprints")
     distinct = stored(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.min("doc_id").alias("low")), "distinct")
     links = fingerprint_links(distinct.select("node", "fp"), family, radius, shared, positions)
-    groups = stored(components(links), "groups")
-    named = distinct.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lowest = named.filter(F.col("component") != F.col("node")).groupBy("component").agg(F.min("low").alias("least"))
-    # Only nodes of groups with links are looked up; any other node is its own group.
-    smallest = named.select("node", "component", "low").join(lowest, "component", "left")
-    top = smallest.filter("component = node").select("component", F.least("low", "least").alias("component_id"))
-    ids = stored(smallest.select("node", "component").join(top, "component").select("node", "component_id"), "ids")
-    return prints.join(ids, "node").drop("node")
+    named = distinct.select("node", "low").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = stored(named, "named")
+    least = named.groupBy("component").agg(F.min("low").alias("component_id"))
+    return prints.join(stored(named.join(least, "component").select("node", "component", "component_id"), "groups"), "node").drop("node")
+
+
+def one_per_group(documents: DataFrame, words: int = 5, bits: int = 256, radius: int = 39) -> DataFrame:
+    """``documents`` with one row of each near-duplicate group, that of the smallest doc_id.
+
+    With 5-word shingles and 256 bits a radius of 39 is a similarity of 0.8: shingle sets of
+    Jaccard ``j`` have cosine ``2j / (1 + j)`` and differ in ``256 acos(cosine) / pi`` bits on average.
+    """
+    names = documents.columns
+    key = [F.xxhash64("doc_id", "text").alias("_r1"), F.xxhash64(F.lit(9), "text", "doc_id").alias("_r2")]
+    prints = with_fingerprint(documents.select("doc_id", "text", *key), words, bits, carry=["doc_id", "_r1", "_r2"])
+    groups = near_duplicate_groups(prints, radius, bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_r1", "_r2")).alias("row")
+    kept = stored(groups.groupBy("component").agg(first).select("row._r1", "row._r2"), "kept")
+    rows = documents.select("*", *key).join(kept, ["_r1", "_r2"], "left_semi")
+    # Repeated rows share the key: one of them stays.
+    return rows.dropDuplicates(["_r1", "_r2"]).select(*names)
