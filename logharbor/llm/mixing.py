@@ -93,7 +93,7 @@ def plan(tokens: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: fl
     else:
         exponent = exponent_for_repeats(ends[0], ends[1], max_repeats)
     repeats = F.when(F.col("tokens") > 0, F.pow(F.lit(float(ends[0] or 1)) / F.col("tokens"), F.lit(1 - exponent))).otherwise(F.lit(1.0))
-    budgets = sources.withColumn("budget", F.floor(F.col("tokens") * repeats).cast("bigint")).withColumn(
+    budgets = sources.withColumn("budget", F.floor(F.col("tokens") * repeats + 0.5).cast("bigint")).withColumn(
         "blocks", F.when(F.col("tokens") > 0, F.expr("budget DIV tokens")).otherwise(F.lit(1)).cast("int")).withColumn(
         "rest", (F.col("budget") - F.col("blocks") * F.col("tokens")).cast("bigint"))
     budgets = stored(budgets, "budgets")
@@ -117,14 +117,16 @@ def plan(tokens: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: fl
 
 
 def repeated(tokens: DataFrame, budgets: DataFrame, seed: int = SEED) -> DataFrame:
-    """``tokens`` once per block it is in, with the block's number ``epoch`` and the plan's columns.
+    """``tokens`` once per block it is in: ``_epoch`` is the block's number, from 0.
 
-    ``epoch`` counts from 0; the last block of a source may be a cut one.
+    The source's ``_total`` and ``_budget`` come along; the last block may be a cut one.
     """
-    joined = tokens.join(budgets.select("_key", "tokens", "budget", "blocks", "rest", "_out"), "_key")
-    last = shuffle_hash(seed, F.col("blocks"), F.col("doc_id"), F.col("_text_md5"))
-    taken = F.col("blocks") + F.when((F.col("rest") > 0) & (last < F.coalesce(F.col("_out"), F.lit(1 << 60))), 1).otherwise(0)
-    return joined.withColumn("_copies", taken).filter("_copies > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies")
+    own = budgets.select("_key", *[F.col(c).alias(f"_{n}") for n, c in (("total", "tokens"), ("budget", "budget"), ("blocks", "blocks"), ("rest", "rest"))], "_out")
+    joined = tokens.join(own, "_key")
+    last = shuffle_hash(seed, F.col("_blocks"), F.col("doc_id"), F.col("_text_md5"))
+    cut = (F.col("_rest") > 0) & (last < F.coalesce(F.col("_out"), F.lit(1 << 60)))
+    copies = F.col("_blocks") + F.when(cut, 1).otherwise(0)
+    return joined.withColumn("_copies", copies).filter("_copies > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
 
 
 def mixed_order(documents: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None, seed: int = SEED) -> DataFrame:
@@ -136,18 +138,18 @@ def mixed_order(documents: DataFrame, max_repeats: float | None = MAX_REPEATS, e
     """
     counted = stored(with_tokens(documents).select("doc_id", "source", "_key", "_tokens", "_text_md5"), "tokens")
     budgets = plan(counted, max_repeats, entropy, seed)
-    rows = repeated(counted, budgets, seed).withColumn("_h", shuffle_hash(seed, F.col("epoch"), F.col("doc_id"), F.col("_text_md5"))) \
+    rows = repeated(counted, budgets, seed).withColumn("_h", shuffle_hash(seed, F.col("_epoch"), F.col("doc_id"), F.col("_text_md5"))) \
         .withColumn("_bucket", hash_bucket(F.col("_h"), bucket_count(counted.count())))
-    placed = running(rows, ["_key", "epoch"], "_bucket", ["_h", "doc_id"], F.col("_tokens"), "_before", "_in_block")
-    before = (F.col("_before") + F.col("epoch") * F.col("tokens")).cast("bigint")
-    share = F.when(F.col("budget") > 0, F.col("before").cast("double") / F.col("budget").cast("double")).otherwise(F.lit(0.0))
+    placed = running(rows, ["_key", "_epoch"], "_bucket", ["_h", "doc_id"], F.col("_tokens"), "_before", "_in_block")
+    before = (F.col("_before") + F.col("_epoch") * F.col("_total")).cast("bigint")
+    share = F.when(F.col("_budget") > 0, F.col("before").cast("double") / F.col("_budget").cast("double")).otherwise(F.lit(0.0))
     return placed.withColumn("before", before).withColumn("place", share).select(
-        "doc_id", "source", F.col("_tokens").alias("tokens"), "epoch", F.col("budget").alias("budget_tokens"), "before", "place")
+        "doc_id", "source", F.col("_tokens").alias("tokens"), F.col("_epoch").alias("epoch"), F.col("_budget").alias("budget_tokens"), "before", "place")
 
 
 def mixture(documents: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None, seed: int = SEED) -> DataFrame:
     """``documents``, each row as often as the mixture has it."""
-    names = documents.columns
-    counted = with_tokens(documents)
+    # The row travels as one value, so its columns cannot clash with those used on the way.
+    counted = with_tokens(documents.select("doc_id", "source", "text", F.struct("*").alias("_row")))
     narrow = stored(counted.select("doc_id", "_key", "_tokens", "_text_md5"), "tokens")
-    return repeated(counted, plan(narrow, max_repeats, entropy, seed), seed).select(*names)
+    return repeated(counted, plan(narrow, max_repeats, entropy, seed), seed).select("_row.*")

@@ -40,6 +40,7 @@ ROUNDS, DEPTH, RATE, CUTS, LEAF = 30, 3, 0.3, 16, 8
 PRECISION = 0.99                # wanted among held-out candidates above a kind's threshold,
 LEAST = 0.8                     # which is never below this probability
 CONTEXT = 32                    # characters before a span in which key words count
+OWN_NUMBER = 13         # digits from which a group is taken for a number of its own
 MAX_GROUPS = 8                  # digit groups in one candidate
 
 # The rules of the base spans.
@@ -146,6 +147,11 @@ def candidates(text: str) -> set[tuple[str, int, int]]:
     return out
 
 
+def neighbour(digits: str) -> float:
+    """Length of the digit group next to a span; one that is a number by itself does not count."""
+    return float(len(digits)) if len(digits) < OWN_NUMBER else 0.0
+
+
 def describe(kind: str, a: int, b: int, text: str) -> list[float]:
     """Format and context of a candidate as numbers."""
     span = text[a:b]
@@ -160,7 +166,7 @@ def describe(kind: str, a: int, b: int, text: str) -> list[float]:
         *(float(kind == k) for k in KINDS), float(len(digits)), float(len(groups)), float(groups[0] if groups else 0),
         float(groups[-1] if groups else 0), float(max(groups, default=0)), float(valid(kind, span)), float(span[:1] == "+"),
         float(span.count("(") + span.count(")")), float(min(b - a, 99)), float(before.isalnum()), float(after.isalnum()),
-        float(len(follows.group()) if follows else 0), float(len(precedes.group(1)) if precedes else 0),
+        neighbour(follows.group() if follows else ""), neighbour(precedes.group(1) if precedes else ""),
         float(any(w in context for w in WORDS[kind])), sum(map(str.isalpha, span)) / (b - a),
         float(digits[:1] in ("3", "4", "5", "6")), float(min(len(tail), 99)), float(tail.isalpha()), float(" " in span), float("@" in span),
     ]

@@ -123,7 +123,7 @@ halving(step, low, high) AS (
 ),
 chosen AS (SELECT high AS a FROM halving WHERE step = 50),
 budgets AS (
-  SELECT k, total, CASE WHEN total > 0 THEN floor(total * pow(e.hi / total, 1 - a))::BIGINT ELSE 0 END AS budget
+  SELECT k, total, CASE WHEN total > 0 THEN floor(total * pow(e.hi / total, 1 - a) + 0.5)::BIGINT ELSE 0 END AS budget
   FROM sources, ends e, chosen
 ),
 blocks AS (SELECT *, CASE WHEN total > 0 THEN budget // total ELSE 1 END AS whole FROM budgets),

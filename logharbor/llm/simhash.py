@@ -200,12 +200,11 @@ def one_per_group(documents: DataFrame, words: int = 5, bits: int = 256, radius:
     With 5-word shingles and 256 bits a radius of 39 is a similarity of 0.8: shingle sets of
     Jaccard ``j`` have cosine ``2j / (1 + j)`` and differ in ``256 acos(cosine) / pi`` bits on average.
     """
-    names = documents.columns
     key = [F.xxhash64("doc_id", "text").alias("_r1"), F.xxhash64(F.lit(9), "text", "doc_id").alias("_r2")]
     prints = with_fingerprint(documents.select("doc_id", "text", *key), words, bits, carry=["doc_id", "_r1", "_r2"])
     groups = near_duplicate_groups(prints, radius, bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_r1", "_r2")).alias("row")
     kept = stored(groups.groupBy("component").agg(first).select("row._r1", "row._r2"), "kept")
-    rows = documents.select("*", *key).join(kept, ["_r1", "_r2"], "left_semi")
+    rows = documents.select(F.struct("*").alias("_row"), *key).join(kept, ["_r1", "_r2"], "left_semi")
     # Repeated rows share the key: one of them stays.
-    return rows.dropDuplicates(["_r1", "_r2"]).select(*names)
+    return rows.dropDuplicates(["_r1", "_r2"]).select("_row.*")
