@@ -22,9 +22,9 @@ from .operators import reports as rp
 from .operators.common import TP
 from .operators.files import FILE_KEY, file_keys, skew
 from .plans import jobs
-from .session import shared_dir
+from .session import shared_dir, stored
 from .sources import containers as boxes
-from .sources import datasets, topic_log as tl
+from .sources import datasets, markers, topic_log as tl
 from .sources.events_log import YEAR, messages, read_events, topic_log
 from .streaming import landing
 
@@ -47,10 +47,12 @@ def query(sql: str | None = None):
 
 # --- the log in SQL ----------------------------------------------------------------------------
 
-_EV = """
+def _events_sql(shape: str) -> str:
+    """Messages and what decoding them gives; ``shape`` is the SQL of a message's shape."""
+    return f"""
 ev AS (
   SELECT event_id, ts, user_id, props, event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "partition",
-    (epoch_us(ts) // 1000) AS ms, CAST(event_id % 10 AS INTEGER) AS shape,
+    (epoch_us(ts) // 1000) AS ms, CAST({shape} AS INTEGER) AS shape,
     CAST(8 * (event_id % 24) + event_id % 8 AS INTEGER) AS pri_value,
     strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, 'user=' || user_id || ' ' || props AS tail
   FROM events
@@ -69,17 +71,22 @@ msg AS (
 dec AS (SELECT *, coalesce(parsed_ms, envelope_ms, arrival_ms) AS ts_ms FROM msg)
 """
 
+
+# Messages whole, and, for showing the decoder, every tenth one ended inside its stamp.
+_EV = _events_sql("CASE WHEN event_id % 10 = 9 THEN 0 ELSE event_id % 10 END")
+_EV_CUT = _events_sql("event_id % 10")
+
 _LOG = _EV + """,
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY topic, "partition" ORDER BY event_id) - 1 AS "offset",
-    count(*) OVER (PARTITION BY topic, "partition") AS total
-  FROM dec
+  SELECT *, sum(taken) OVER (PARTITION BY topic, "partition" ORDER BY event_id)::BIGINT - 1 AS "offset",
+    sum(taken) OVER (PARTITION BY topic, "partition")::BIGINT AS total
+  FROM (SELECT *, CASE WHEN event_id % 101 = 0 THEN 2 ELSE 1 END AS taken FROM dec)
 ),
 log AS (
-  SELECT *, "offset" * 2 AS arrival_seq, total AS high_watermark FROM ranked WHERE event_id % 101 <> 0
+  SELECT *, "offset" * 2 AS arrival_seq, total AS high_watermark FROM ranked
   UNION ALL
   SELECT *, "offset" * 2 + 11, CASE WHEN event_id % 194 = 0 THEN "offset" + 2 ELSE total END
-  FROM ranked WHERE event_id % 101 <> 0 AND event_id % 97 = 0
+  FROM ranked WHERE event_id % 97 = 0
 ),
 expecting AS (
   SELECT *, coalesce(max("offset") OVER (PARTITION BY topic, "partition" ORDER BY arrival_seq
@@ -138,6 +145,7 @@ config AS (
   FROM events WHERE event_type <> 'signup' GROUP BY event_type
 )
 """
+_ALL_CONFIGS = _CONFIGS.replace("WHERE event_type <> 'signup' ", "")
 
 
 def _label(ms: str, fmt: str) -> str:
@@ -155,8 +163,8 @@ def _with(ctes: str, select: str) -> str:
 # --- shared inputs -----------------------------------------------------------------------------
 
 
-def _messages(spark, sf):
-    return messages(read_events(spark, sf))
+def _messages(spark, sf, cut=False):
+    return messages(read_events(spark, sf), cut)
 
 
 def _log(spark, sf, disturbed=True):
@@ -177,7 +185,7 @@ def _keyed(spark, sf, seconds=3600):
 
 def _config_docs(spark, sf):
     """Every event read as one revision of its topic's configuration."""
-    ev = read_events(spark, sf).filter(F.col("event_type") != UNCONFIGURED)
+    ev = read_events(spark, sf)
     doc = F.format_string(
         '{version: %d, id: "%s", hdfsRootDir: "/service/%d/logs/%%y%%M%%d/%%H/%s", proxyUser: "u%d", '
         'defaultDirectory: "data", filterSet: [ ]}',
@@ -186,12 +194,17 @@ def _config_docs(spark, sf):
     return ev.select(doc.alias("json"))
 
 
-def _configs(spark, sf):
+def _all_configs(spark, sf):
     return cf.topic_configs(_config_docs(spark, sf))
 
 
+def _configs(spark, sf):
+    """Configurations without one topic, so that joins meet an unconfigured one."""
+    return stored(_all_configs(spark, sf).filter(F.col("id") != UNCONFIGURED), "configs")
+
+
 def _partitions(spark, sf):
-    return _messages(spark, sf).select(*TP).distinct()
+    return stored(_messages(spark, sf).select(*TP).distinct(), "partitions")
 
 
 def _ledger(spark, sf, **options):
@@ -201,13 +214,14 @@ def _ledger(spark, sf, **options):
 
 def _stored(spark, sf):
     """Current ledger without the one partition that never stored a row."""
-    return lg.current_ledger(_ledger(spark, sf, final_only=True)).filter("NOT (topic = 'view' AND partition = 3)")
+    current = lg.current_ledger(_ledger(spark, sf, final_only=True)).filter("NOT (topic = 'view' AND partition = 3)")
+    return stored(current, "ledger")
 
 
 def _flags(spark, sf):
     """Hours already flagged: those in which a topic received an even number of messages."""
     hours = _messages(spark, sf).groupBy("topic", time_bucket(F.col("arrival_ms"), 3600).alias("hour_ms"))
-    return hours.agg(F.count("*").alias("n")).filter("n % 2 = 0").select("topic", "hour_ms")
+    return stored(hours.agg(F.count("*").alias("n")).filter("n % 2 = 0").select("topic", "hour_ms"), "flags")
 
 
 _STORED = """,
@@ -267,24 +281,24 @@ due AS (
 # --- decode ------------------------------------------------------------------------------------
 
 
-@query(_with(_EV, "SELECT event_id, coalesce(pri, -1) AS pri, coalesce(pri // 8, -1) AS facility, "
+@query(_with(_EV_CUT, "SELECT event_id, coalesce(pri, -1) AS pri, coalesce(pri // 8, -1) AS facility, "
                   "coalesce(pri % 8, -1) AS severity FROM dec"))
 def decode_pri(spark, sf):
-    out = wire.decode(_messages(spark, sf), YEAR)
+    out = wire.decode(_messages(spark, sf, cut=True), YEAR)
     return out.select("event_id", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("pri", "facility", "severity")])
 
 
-@query(_with(_EV, "SELECT event_id, coalesce(rfc_version, -1) AS rfc_version, "
+@query(_with(_EV_CUT, "SELECT event_id, coalesce(rfc_version, -1) AS rfc_version, "
                   "CASE WHEN shape = 8 THEN 0 ELSE -1 END AS enc_version FROM dec"))
 def decode_version(spark, sf):
-    out = wire.decode(_messages(spark, sf), YEAR)
+    out = wire.decode(_messages(spark, sf, cut=True), YEAR)
     return out.select("event_id", F.coalesce("rfc_version", F.lit(-1)).alias("rfc_version"), "enc_version")
 
 
-@query(_with(_EV, "SELECT event_id, coalesce(parsed_ms, -1) AS parsed_ms, CAST(CASE WHEN shape <= 4 THEN 28 "
+@query(_with(_EV_CUT, "SELECT event_id, coalesce(parsed_ms, -1) AS parsed_ms, CAST(CASE WHEN shape <= 4 THEN 28 "
                   "WHEN shape = 5 THEN 19 WHEN shape = 6 THEN 15 ELSE 0 END AS INTEGER) AS stamp_len FROM dec"))
 def decode_timestamp(spark, sf):
-    out = wire.decode(_messages(spark, sf), YEAR)
+    out = wire.decode(_messages(spark, sf, cut=True), YEAR)
     return out.select("event_id", F.coalesce("parsed_ms", F.lit(-1)).alias("parsed_ms"), "stamp_len")
 
 
@@ -339,24 +353,24 @@ def decode_calendar_roll(spark, sf):
     return _layout(spark, sf, F.concat(F.lit("2024-"), two, F.lit("-"), two, F.lit("T"), two, F.lit(":"), two, F.lit(":"), two, F.lit(" "), "props"))
 
 
-@query(_with(_EV, "SELECT event_id, ts_source, ts_ms FROM dec"))
+@query(_with(_EV_CUT, "SELECT event_id, ts_source, ts_ms FROM dec"))
 def timestamp_source(spark, sf):
-    return wire.decode(_messages(spark, sf), YEAR).select("event_id", "ts_source", "ts_ms")
+    return wire.decode(_messages(spark, sf, cut=True), YEAR).select("event_id", "ts_source", "ts_ms")
 
 
-@query(_with(_EV, "SELECT event_id, body, true AS utf8, topic || '-' || \"partition\" AS pid FROM dec"))
+@query(_with(_EV_CUT, "SELECT event_id, body, true AS utf8, topic || '-' || \"partition\" AS pid FROM dec"))
 def body_slice(spark, sf):
     body = F.col("body")
-    return wire.decode(_messages(spark, sf), YEAR).select(
+    return wire.decode(_messages(spark, sf, cut=True), YEAR).select(
         "event_id", wire.body_text(body).alias("body"), wire.body_is_utf8(body).alias("utf8"),
         wire.partition_id(F.col("topic"), F.col("partition")).alias("pid"),
     )
 
 
-@query(_with(_EV, "SELECT topic, decode_status, count(*) AS lines, CAST(sum(strlen(body)) AS BIGINT) AS body_bytes "
+@query(_with(_EV_CUT, "SELECT topic, decode_status, count(*) AS lines, CAST(sum(strlen(body)) AS BIGINT) AS body_bytes "
                   "FROM dec GROUP BY ALL"))
 def decode_status(spark, sf):
-    return wire.decode(_messages(spark, sf), YEAR).groupBy("topic", "decode_status").agg(
+    return wire.decode(_messages(spark, sf, cut=True), YEAR).groupBy("topic", "decode_status").agg(
         F.count("*").alias("lines"), F.sum(F.length("body")).alias("body_bytes"))
 
 
@@ -416,6 +430,17 @@ def offset_reset(spark, sf):
     return out.select(*TP, (F.col("resume_offset") - 40).alias("resume_offset"), "was_reset", "start_offset")
 
 
+@query(_with(_RESUME, """SELECT topic, "partition", resume_offset, resume_offset + 40 < earliest OR resume_offset + 40 > latest AS was_reset,
+    CASE WHEN resume_offset + 40 < earliest OR resume_offset + 40 > latest THEN latest ELSE resume_offset + 40 END AS start_offset
+    FROM (SELECT topic, "partition", resume_offset, min(l."offset") AS earliest, max(l.high_watermark) AS latest
+      FROM resume JOIN log l USING (topic, "partition") GROUP BY ALL)"""))
+def offset_reset_largest(spark, sf):
+    resume = of.resume_offsets(_partitions(spark, sf), _stored(spark, sf), _overrides(spark, sf))
+    ahead = resume.withColumn("resume_offset", F.col("resume_offset") + 40)
+    out = of.reset_out_of_range(ahead, of.log_bounds(_log(spark, sf)), "largest")
+    return out.select(*TP, (F.col("resume_offset") - 40).alias("resume_offset"), "was_reset", "start_offset")
+
+
 @query(_with(_RESUME, """SELECT topic, "partition", count(*) AS messages, min("offset") AS first_offset
     FROM log JOIN resume USING (topic, "partition") WHERE "offset" >= resume_offset GROUP BY ALL"""))
 def scan_from_resume(spark, sf):
@@ -452,7 +477,7 @@ def offset_lag(spark, sf):
     return of.accepted_rows(_audited(spark, sf)).select(*TP, "arrival_seq", "next_offset", "lag")
 
 
-@query(_with(_LOG, """SELECT topic, "partition", count(*) AS messages, max("offset") + 1 AS next_offset FROM ranked GROUP BY ALL"""))
+@query(_with(_EV, """SELECT topic, "partition", count(*) AS messages, count(*) AS next_offset FROM dec GROUP BY ALL"""))
 def strict_scan(spark, sf):
     rows = of.strict_offsets(of.offset_audit(_log(spark, sf, disturbed=False)))
     return rows.groupBy(*TP).agg(F.count("*").alias("messages"), F.max("next_offset").alias("next_offset"))
@@ -481,14 +506,14 @@ def sink_to_watermark(spark, sf):
 # --- configuration, buckets, files -------------------------------------------------------------
 
 
-@query(_with(_CONFIGS[1:], 'SELECT id, version, "hdfsRootDir", "proxyUser", "defaultDirectory" FROM config'))
+@query(_with(_ALL_CONFIGS[1:], 'SELECT id, version, "hdfsRootDir", "proxyUser", "defaultDirectory" FROM config'))
 def topic_config_latest(spark, sf):
-    return _configs(spark, sf).drop("filterSet")
+    return _all_configs(spark, sf).drop("filterSet")
 
 
-@query(_with(_CONFIGS[1:], """SELECT root, count(*) AS topics FROM (SELECT regexp_replace("hdfsRootDir", '/%.*$', '') AS root FROM config) GROUP BY root"""))
+@query(_with(_ALL_CONFIGS[1:], """SELECT root, count(*) AS topics FROM (SELECT regexp_replace("hdfsRootDir", '/%.*$', '') AS root FROM config) GROUP BY root"""))
 def unique_roots(spark, sf):
-    return cf.unique_roots(_configs(spark, sf))
+    return cf.unique_roots(_all_configs(spark, sf))
 
 
 @query(_with(_LOG + _CONFIGS, """SELECT topic, "partition", count(*) AS lines FROM lines JOIN config ON id = topic GROUP BY ALL"""))
@@ -508,7 +533,8 @@ def event_bucket(spark, sf):
     - (first_ms - first_ms % 3600000)) // 3600000 + 1 AS shift
     FROM (SELECT *, min(arrival_ms) OVER (PARTITION BY topic, "partition") AS first_ms FROM log)"""))
 def shift_number(spark, sf):
-    return lg.shift_number(_log(spark, sf)).select(*TP, "arrival_seq", "shift")
+    log = _log(spark, sf)
+    return lg.shift_number(log, stored(lg.first_shifts(log), "firsts")).select(*TP, "arrival_seq", "shift")
 
 
 _SKEW = """SELECT *, bucket_ms > opened_ms + 600000 OR bucket_ms < opened_ms - 7200000 AS skewed FROM named"""
@@ -659,18 +685,45 @@ def raw_bytes_by_topic(spark, sf):
     return sizes.join(counts, "topic").select("topic", "blocks", "lines", "raw_bytes")
 
 
-@query()
+_BOXES = _keyed_sql(86_400) + _BLOCKS + """,
+sized AS (
+  SELECT topic, "partition", bucket_ms, shift_ms, roll, block_number, count(*) AS n,
+    sum(CASE WHEN ts_ms % 1000 < 64 THEN 1 ELSE 2 END + CASE WHEN strlen(body) < 64 THEN 1 ELSE 2 END + strlen(body)) AS line_bytes
+  FROM placed GROUP BY ALL
+),
+records AS (
+  SELECT *, line_bytes + 5 + 6 + CASE WHEN block_number < 64 THEN 1 WHEN block_number < 8192 THEN 2 ELSE 3 END
+    + CASE WHEN n < 64 THEN 1 ELSE 2 END + 1 AS size FROM sized
+),
+boxed AS (
+  SELECT *, (sum(size) OVER (PARTITION BY topic, "partition", bucket_ms, shift_ms, roll ORDER BY block_number) - size) // 2097152 AS box
+  FROM records
+),
+boxes AS (
+  SELECT topic, raw, raw + 5 * ((raw + 65534) // 65535) AS packed FROM (
+    SELECT topic, sum(size)::BIGINT AS raw FROM boxed GROUP BY topic, "partition", bucket_ms, shift_ms, roll, box)
+)
+"""
+
+
+def _landed_stats(spark, sf):
+    """Container statistics of files landed with stored (level 0) blocks, whose size SQL can tell."""
+    root = shared_dir(spark, "sizes")
+    boxes.write_lines(_files(spark, sf), root, level=0)
+    return rp.with_topic(boxes.read_container_stats(spark, root))
+
+
+@query(_with(_BOXES, """SELECT topic, sum(packed)::BIGINT AS bytes, sum(raw)::BIGINT AS raw_bytes, count(*) AS containers,
+    CAST(GROUPING(topic) AS INTEGER) AS is_total FROM boxes GROUP BY ROLLUP (topic)"""))
 def bytes_by_topic(spark, sf):
-    lines = _files(spark, sf)
-    sizes = boxes.container_sizes(boxes.containers(bl.log_blocks(lines, keep=["file"]), "file", FILE_KEY))
-    return rp.bytes_written(rp.with_topic(sizes))
+    return rp.bytes_written(_landed_stats(spark, sf))
 
 
-@query()
+@query(_with(_BOXES, """SELECT topic, CAST(GROUPING(topic) AS INTEGER) AS is_total, count(*) AS containers, min(pct) AS min_pct,
+    quantile_disc(pct, 0.05) AS p05_pct, quantile_disc(pct, 0.5) AS p50_pct, quantile_disc(pct, 0.95) AS p95_pct, max(pct) AS max_pct
+    FROM (SELECT topic, CAST(floor(100.5::DOUBLE - 100.0::DOUBLE * packed / raw) AS BIGINT) AS pct FROM boxes) GROUP BY ROLLUP (topic)"""))
 def compression_pct(spark, sf):
-    lines = _files(spark, sf)
-    sizes = boxes.container_sizes(boxes.containers(bl.log_blocks(lines, keep=["file"]), "file", FILE_KEY))
-    return rp.compression_pct(rp.with_topic(sizes))
+    return rp.compression_pct(_landed_stats(spark, sf))
 
 
 # --- ledger ------------------------------------------------------------------------------------
@@ -730,9 +783,9 @@ def write_counters_rollup(spark, sf):
         {"topic": F.coalesce("topic", F.lit("*")), "partition": F.coalesce("partition", F.lit(-1))})
 
 
-@query(_with(_EV, "SELECT topic, count(*) FILTER (ts_source = 'now') AS timestamp_errors, CAST(0 AS BIGINT) AS pri_errors FROM dec GROUP BY topic"))
+@query(_with(_EV_CUT, "SELECT topic, count(*) FILTER (ts_source = 'now') AS timestamp_errors, CAST(0 AS BIGINT) AS pri_errors FROM dec GROUP BY topic"))
 def parse_errors(spark, sf):
-    return rp.parse_errors(wire.decode(_messages(spark, sf), YEAR))
+    return rp.parse_errors(wire.decode(_messages(spark, sf, cut=True), YEAR))
 
 
 @query(_with(_LOG, """SELECT *, CASE WHEN seconds > 0 THEN consumed // seconds ELSE -1 END AS lines_per_second FROM (
@@ -818,20 +871,36 @@ def due_hours(spark, sf):
     return rd.flag_paths(_due(spark, sf))
 
 
-_READY = _keyed_sql() + _DUE + """,
-dirs AS (SELECT DISTINCT regexp_replace("hdfsRootDir", '/%.*$', '') AS root, topic, bucket_ms AS hour_ms
+_READY = _keyed_sql() + _DUE + f""",
+dirs AS (SELECT DISTINCT {_path("""regexp_extract("hdfsRootDir", '^(.*%H)', 1)""", 'bucket_ms')} AS hour_path,
+    {_path("""regexp_extract("hdfsRootDir", '^(.*%d)', 1)""", 'bucket_ms')} AS day_path, topic, bucket_ms AS hour_ms
   FROM named JOIN config ON id = topic),
 marked AS (SELECT topic, hour_ms FROM flags UNION SELECT topic, hour_ms FROM due),
-hour AS (SELECT root, d.hour_ms, count(*) AS topics, count(m.topic) AS ready_topics, count(*) = count(m.topic) AS ready
-  FROM dirs d LEFT JOIN marked m ON m.topic = d.topic AND m.hour_ms = d.hour_ms GROUP BY ALL)
+hour AS (SELECT hour_path, day_path, d.hour_ms, count(*) AS topics, count(m.topic) AS ready_topics, count(*) = count(m.topic) AS ready
+  FROM dirs d LEFT JOIN marked m ON m.topic = d.topic AND m.hour_ms = d.hour_ms GROUP BY ALL),
+day AS (SELECT day_path, hour_ms - hour_ms % 86400000 AS day_ms, count(*) AS hours,
+    count(*) FILTER (ready) AS ready_hours, bool_and(ready) AS ready FROM hour GROUP BY ALL),
+markers AS (
+  SELECT 'data' AS level, topic, hour_ms, {_DUE_DATA} AS path FROM due
+  UNION ALL SELECT 'topic', topic, hour_ms, {_DUE_ROOT} FROM due
+  UNION ALL SELECT 'hour', NULL, hour_ms, hour_path FROM hour WHERE ready
+  UNION ALL SELECT 'day', NULL, day_ms, day_path FROM day WHERE ready
+)
 """
 
 
+def _dirs(spark, sf):
+    """Hours that topics have data in, as the landing leaves them."""
+    return stored(rd.topic_dirs(_keyed(spark, sf), []), "dirs")
+
+
 def _hours(spark, sf):
-    lines = cf.configured(_keyed(spark, sf), _configs(spark, sf))
-    rooted = lines.withColumn("root", F.regexp_replace("root_template", "/%.*$", ""))
-    flags = _flags(spark, sf).unionByName(_due(spark, sf).select("topic", "hour_ms"))
-    return rd.hour_ready(rd.topic_dirs(rooted, ["root"]), flags, ["root"])
+    flags = _flags(spark, sf)
+    water = rd.low_water(_partitions(spark, sf), _stored(spark, sf))
+    configs = _configs(spark, sf)
+    due = rd.due_hours(water, configs, flags, AS_OF_MS)
+    marked = flags.unionByName(due.select("topic", "hour_ms"))
+    return rd.hour_ready(rd.placed_dirs(_dirs(spark, sf), configs), marked, ["hour_path", "day_path"])
 
 
 @query(_with(_READY, "SELECT * FROM hour"))
@@ -839,10 +908,33 @@ def hour_ready(spark, sf):
     return _hours(spark, sf)
 
 
-@query(_with(_READY, """SELECT root, hour_ms - hour_ms % 86400000 AS day_ms, count(*) AS hours,
-    count(*) FILTER (ready) AS ready_hours, bool_and(ready) AS ready FROM hour GROUP BY ALL"""))
+@query(_with(_READY, "SELECT * FROM day"))
 def day_ready(spark, sf):
-    return rd.day_ready(_hours(spark, sf), ["root"])
+    return rd.day_ready(_hours(spark, sf), ["day_path"])
+
+
+def _markers(spark, sf):
+    return jobs.readiness(_partitions(spark, sf), _stored(spark, sf), _configs(spark, sf), _flags(spark, sf), _dirs(spark, sf), AS_OF_MS)
+
+
+@query(_with(_READY, "SELECT level, coalesce(topic, '*') AS topic, hour_ms, path FROM markers"))
+def ready_flags(spark, sf):
+    """Markers of all four levels, from stored tables alone."""
+    return _markers(spark, sf).withColumn("topic", F.coalesce("topic", F.lit("*")))
+
+
+@query(_with(_READY, """SELECT path, bool_or(level IN ('hour', 'day')) AS shared, true AS flagged FROM markers GROUP BY path
+    UNION ALL SELECT DISTINCT hour_path, true, false FROM hour WHERE NOT ready AND hour_path NOT IN (SELECT path FROM markers)"""))
+def ready_markers(spark, sf):
+    """The markers written, then looked up again in the folders that got one and in those that did not."""
+    base = shared_dir(spark, "markers")
+    found = stored(_markers(spark, sf), "found")
+    jobs.mark_ready(found, base)
+    shared = F.col("level").isin("hour", "day")
+    told = found.groupBy("path").agg(F.bool_or(shared).alias("shared"))
+    hours = _hours(spark, sf).filter("NOT ready").select(F.col("hour_path").alias("path"), F.lit(True).alias("shared")).distinct()
+    rows = told.unionByName(hours.join(told.select("path"), "path", "left_anti"))
+    return markers.with_flag(rows, base)
 
 
 # --- streaming ---------------------------------------------------------------------------------
@@ -869,3 +961,62 @@ def landing_stream(spark, sf):
     folder = F.regexp_extract("file", r"(/service/.*)/[^/]*$", 1)
     return boxes.read_lines(spark, f"{base}/out").select(
         folder.alias("folder"), "ts_ms", wire.body_text(F.col("message")).alias("body"))
+
+
+_CUTS = """,
+cuts AS (SELECT topic, "partition", coalesce(min(arrival_seq) FILTER (arrival_seq % 2 = 1 AND high_watermark < total
+    AND arrival_seq > total), 9223372036854775807) AS cut FROM log GROUP BY ALL),
+ordered AS (SELECT l.topic, l."partition", l."offset" AS o, l.high_watermark AS h, CASE WHEN arrival_seq <= cut THEN 0 ELSE 1 END AS batch,
+  row_number() OVER (PARTITION BY l.topic, l."partition" ORDER BY arrival_seq) AS n FROM log l JOIN cuts USING (topic, "partition")),
+walk AS (
+  SELECT topic, "partition", n, batch, o, h, CASE WHEN o >= 0 THEN o + 1 ELSE 0 END AS following FROM ordered WHERE n = 1
+  UNION ALL
+  SELECT r.topic, r."partition", r.n, r.batch, r.o, r.h,
+    CASE WHEN w.following <= r.o THEN r.o + 1 WHEN w.following > r.h THEN r.h ELSE w.following END
+  FROM walk w JOIN ordered r ON r.topic = w.topic AND r."partition" = w."partition" AND r.n = w.n + 1
+)
+"""
+
+
+@query("WITH RECURSIVE " + (_LOG + _CUTS).strip() + """ SELECT b.batch, topic, "partition", arg_max(following, n) AS start_offset
+    FROM walk w JOIN (VALUES (0), (1)) b(batch) ON w.batch <= b.batch GROUP BY ALL""")
+def landing_stream_offsets(spark, sf):
+    """Offsets a sinking stream keeps after each of two batches.
+
+    The first batch of a partition ends on a row that resets the expectation, and arrival times
+    run backwards here and there, as a broker's create times do.
+    """
+    base = shared_dir(spark, "offsets")
+    log = _log(spark, sf)
+    lagging = (F.col("arrival_seq") % 2 == 1) & (F.col("high_watermark") < F.col("_total")) & (F.col("arrival_seq") > F.col("_total"))
+    totals = log.groupBy(*TP).agg(F.max("high_watermark").alias("_total"))
+    cuts = log.join(totals, TP).groupBy(*TP).agg(F.min(F.when(lagging, F.col("arrival_seq"))).alias("_cut"))
+    moved = F.col("arrival_ms") - (F.col("event_id") % 5) * 1_800_000
+    batch = F.when(F.col("arrival_seq") <= F.coalesce("_cut", F.lit(2**63 - 1)), 0).otherwise(1)
+    rows = stored(log.join(cuts, TP).withColumn("arrival_ms", moved).withColumn("batch", batch).drop("_cut", "event_id"), "batches")
+    options = landing.LandingOptions(f"{base}/out", f"{base}/ledger", f"{base}/checkpoint", YEAR, seconds=86_400, sink_to_watermark=True)
+    configs, states = _configs(spark, sf), []
+    for k in (0, 1):
+        landing.land_batch(rows.filter(F.col("batch") == k).drop("batch"), k, configs, options)
+        states.append(landing.read_offsets(spark, options.ledger, k).select(F.lit(k).alias("batch"), *TP, "start_offset"))
+    return states[0].unionByName(states[1])
+
+
+@query(_with(_RESUME + """,
+begun AS (SELECT topic, "partition", CASE WHEN resume_offset < earliest OR resume_offset > latest THEN latest ELSE resume_offset END AS start_offset
+  FROM (SELECT topic, "partition", resume_offset, min(l."offset") AS earliest, max(l.high_watermark) AS latest
+    FROM resume JOIN log l USING (topic, "partition") GROUP BY ALL)),
+landed AS (SELECT l.topic, l."partition", "offset" FROM lines l JOIN begun b USING (topic, "partition") WHERE "offset" >= start_offset)
+""", """SELECT b.topic, b."partition", b.start_offset, greatest(b.start_offset, coalesce(max("offset") + 1, 0)) AS next_offset,
+    count("offset") AS consumed FROM begun b LEFT JOIN landed l USING (topic, "partition") GROUP BY b.topic, b."partition", b.start_offset"""))
+def landing_resume(spark, sf):
+    """A landing that starts where resume planning says: stored offsets, overrides, range resets to the end."""
+    base = shared_dir(spark, "resume")
+    log = stored(_log(spark, sf).drop("event_id"), "log")
+    resume = of.resume_offsets(_partitions(spark, sf), _stored(spark, sf), _overrides(spark, sf))
+    start = stored(of.reset_out_of_range(resume, of.log_bounds(log), "largest").select(*TP, "start_offset"), "start")
+    options = landing.LandingOptions(f"{base}/out", f"{base}/ledger", f"{base}/checkpoint", YEAR, seconds=86_400, start=start)
+    landing.land_batch(log, 0, _configs(spark, sf), options)
+    consumed = landing.landed_shifts(spark, options.ledger).groupBy(*TP).agg(F.sum("consumed").alias("consumed"))
+    ends = landing.read_offsets(spark, options.ledger, 0).select(*TP, F.col("start_offset").alias("next_offset"))
+    return start.join(ends, TP).join(consumed, TP, "left").withColumn("consumed", F.coalesce("consumed", F.lit(0)))

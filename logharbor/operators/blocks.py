@@ -60,7 +60,7 @@ def log_blocks(
     key = list(file_key)
     arrival = Window.partitionBy(*key).orderBy("arrival_seq")
     ms, body = F.col("ts_ms") % 1000, F.col("body")
-    cost = varint_len(ms) + varint_len(F.length(body).cast("long")) + F.length(body)
+    cost = varint_len(ms, 2) + varint_len(F.length(body).cast("long"), 5) + F.length(body)
     second = int_div(F.col("ts_ms"), 1000)
     changed = F.lag("_second").over(arrival)
     runs = (

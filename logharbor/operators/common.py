@@ -4,24 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 TP = ["topic", "partition"]
-BROADCAST_ROWS = 100_000
 ROLL_ROWS = 1 << 20     # arrival positions per slice of a partition, and per output file at most
 
 
-def checked_broadcast(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``side`` for broadcast only after counting that it is small.
-
-    Beyond ``max_rows`` it is returned as is: the join then shuffles and adaptive execution
-    splits its hot keys.
-    """
-    small = side.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(side) if small else side
-
-
 def before(keys: Sequence[str], *order: str):
     """Window over all earlier rows of a key."""
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

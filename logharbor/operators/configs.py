@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import render_template
-from .common import checked_broadcast
 
 CONFIG_DDL = (
     "version bigint, id string, hdfsRootDir string, proxyUser string, "
@@ -22,13 +21,17 @@ def topic_configs(docs: DataFrame, column: str = "json") -> DataFrame:
 
 
 def configured(lines: DataFrame, configs: DataFrame) -> DataFrame:
-    """Lines of configured topics with ``root_template`` and the default ``data_dir``."""
+    """Lines of configured topics with ``root_template`` and the default ``data_dir``.
+
+    A stored table of configurations is broadcast if its measured size allows it; beyond that
+    the join shuffles and adaptive execution splits hot topics.
+    """
     side = configs.select(
         F.col("id").alias("topic"),
         F.col("hdfsRootDir").alias("root_template"),
         F.col("defaultDirectory").alias("default_dir"),
     )
-    return lines.join(checked_broadcast(side), "topic")
+    return lines.join(side, "topic")
 
 
 def unique_roots(configs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import int_div, time_bucket
-from .common import TP, checked_broadcast
+from .common import TP
 from .files import SHIFT_SECONDS
 
 GRACE_MS = 30_000
@@ -102,18 +102,16 @@ def current_ledger(ledger: DataFrame, order: str = "shift_start") -> DataFrame:
     return newest.select(*TP, "_row.*")
 
 
-def append_ledger(ledger: DataFrame, path: str) -> None:
-    """Append rows; call it only after the files they describe are committed."""
-    ledger.write.mode("append").parquet(path)
+def first_shifts(log: DataFrame, seconds: int = SHIFT_SECONDS) -> DataFrame:
+    """``first_shift``, the start of each partition's first shift."""
+    return log.groupBy(*TP).agg(time_bucket(F.min("arrival_ms"), seconds).alias("first_shift"))
 
 
-def shift_number(log: DataFrame, seconds: int = SHIFT_SECONDS) -> DataFrame:
-    """Rows with their shift number; the first shift of a partition comes from one aggregate row."""
-    width = seconds * 1000
-    first = log.groupBy(*TP).agg(time_bucket(F.min("arrival_ms"), seconds).alias("_first"))
+def shift_number(log: DataFrame, firsts: DataFrame, seconds: int = SHIFT_SECONDS) -> DataFrame:
+    """Rows with their shift number; ``firsts`` comes from :func:`first_shifts`, best as a stored table."""
     bucket = time_bucket(F.col("arrival_ms"), seconds)
     return (
-        log.join(checked_broadcast(first), TP)
-        .withColumn("shift", (int_div(bucket - F.col("_first"), width) + 1))
+        log.join(firsts.select(*TP, F.col("first_shift").alias("_first")), TP)
+        .withColumn("shift", (int_div(bucket - F.col("_first"), seconds * 1000) + 1))
         .drop("_first")
     )

@@ -85,7 +85,7 @@ def _status(offset: Column, expected: Column, watermark: Column) -> Column:
     return (
         F.when(offset > expected, "gap")
         .when(offset == expected, "ok")
-        .when(expected < watermark, "early")
+        .when(watermark.isNull() | (expected < watermark), "early")
         .when(expected == watermark, "at_hw")
         .otherwise("beyond_hw")
     )
@@ -107,7 +107,8 @@ def offset_audit(log: DataFrame, start: DataFrame | int = 0, slice_rows: int = R
     """Compare every row with the offset its partition expects, in arrival order.
 
     Adds ``roll, expected, status, accepted, gap, next_offset, lag``.  ``start`` is the first
-    expected offset: a number, or a table with ``start_offset`` per partition.
+    expected offset: a number, or a table with ``start_offset`` per partition.  Where the
+    watermark is not known (NULL), a row behind the expectation is plainly ``early``.
     """
     rows = _slices(log, slice_rows)
     tops = rows.groupBy(*_SLICE).agg(F.max("offset").alias("_top"))
@@ -209,11 +210,13 @@ def sink_to_high_watermark(
     """The audit with the reset switched on: an expectation beyond the watermark drops to it.
 
     Same columns as :func:`offset_audit`; a row that triggers the reset has status
-    ``beyond_hw`` and the watermark as ``next_offset``.  Only the five narrow columns the
-    state needs pass through Python, one bounded slice at a time.
+    ``beyond_hw`` and the watermark as ``next_offset``.  An unknown watermark (NULL) never
+    resets.  Only the five narrow columns the state needs pass through Python, one bounded
+    slice at a time.
     """
     rows = _slices(log, slice_rows)
-    narrow = rows.select(*_SLICE, "arrival_seq", "offset", "high_watermark")
+    known = F.coalesce("high_watermark", F.lit(_HIGH)).alias("high_watermark")
+    narrow = rows.select(*_SLICE, "arrival_seq", "offset", known)
     types = narrow.schema
     key_ddl = ", ".join(f"{c} {types[c].dataType.simpleString()}" for c in _SLICE)
     summaries = narrow.groupBy(*_SLICE).applyInPandas(

@@ -95,3 +95,39 @@ def day_ready(hours: DataFrame, key: list[str]) -> DataFrame:
         F.count_if("ready").alias("ready_hours"),
         F.every("ready").alias("ready"),
     )
+
+
+def folder_of(template: Column, token: str) -> Column:
+    """The template up to the folder that holds ``token``; empty if it has none."""
+    return F.regexp_extract(template, f"^(.*?{token}[^/]*)", 1)
+
+
+def placed_dirs(dirs: DataFrame, configs: DataFrame) -> DataFrame:
+    """Hour folders of ``dirs (topic, hour_ms)`` with ``hour_path`` and ``day_path``; unconfigured topics have none."""
+    side = configs.select(F.col("id").alias("topic"), F.col("hdfsRootDir").alias("_root"))
+    hour = F.col("hour_ms")
+    return dirs.join(side, "topic").select(
+        "topic", "hour_ms", render_template(folder_of(F.col("_root"), "%H"), hour).alias("hour_path"),
+        render_template(folder_of(F.col("_root"), "%d"), hour).alias("day_path"),
+    )
+
+
+def ready_flags(due: DataFrame, flags: DataFrame, dirs: DataFrame) -> DataFrame:
+    """Markers to write on all levels: ``level, topic, hour_ms, path``.
+
+    ``due`` comes from :func:`due_hours`, ``flags`` holds the topic hours flagged before, ``dirs``
+    comes from :func:`placed_dirs`. An hour folder is ready when all topics in it are flagged or
+    due, a day folder when all its hour folders are. Their rows have no topic; a day's
+    ``hour_ms`` is its start.
+    """
+    marked = flags.select("topic", "hour_ms").unionByName(due.select("topic", "hour_ms"))
+    hours = hour_ready(dirs, marked, ["hour_path", "day_path"])
+    days = day_ready(hours, ["day_path"])
+    none = F.lit(None).cast("string").alias("topic")
+    return (
+        flag_paths(due)
+        .unionByName(hours.filter("ready AND hour_path <> ''").select(
+            F.lit("hour").alias("level"), none, "hour_ms", F.col("hour_path").alias("path")))
+        .unionByName(days.filter("ready AND day_path <> ''").select(
+            F.lit("day").alias("level"), none, F.col("day_ms").alias("hour_ms"), F.col("day_path").alias("path")))
+    )

@@ -12,8 +12,10 @@ from ..operators.configs import render_paths
 from ..operators.common import ROLL_ROWS
 from ..operators.files import FILE_KEY, SHIFT_SECONDS, file_keys, skew
 from ..operators.offsets import accepted_rows, offset_audit, range_scan, strict_offsets
+from ..operators.readiness import due_hours, low_water, placed_dirs, ready_flags
 from ..operators.reports import HISTOGRAM_TEMPLATE, timestamp_histogram
 from ..sources import containers as boxes
+from ..sources.markers import write_flags
 
 
 def timestamp_report(
@@ -67,3 +69,20 @@ def land(
         "file", F.concat("path", F.lit("/"), "file_prefix", "file_name")
     )
     boxes.write_lines(placed, root, "file", level, file_key=FILE_KEY)
+
+
+def readiness(
+    partitions: DataFrame, ledger: DataFrame, configs: DataFrame, flags: DataFrame, dirs: DataFrame, as_of_ms: int,
+    strict: bool = False,
+) -> DataFrame:
+    """The scheduled readiness job: markers of all four levels from stored tables, the log is not read.
+
+    ``ledger`` holds the newest row of each partition, ``dirs`` the hours a topic has data in.
+    """
+    due = due_hours(low_water(partitions, ledger), configs, flags, as_of_ms, strict=strict)
+    return ready_flags(due, flags, placed_dirs(dirs, configs))
+
+
+def mark_ready(markers: DataFrame, base: str = "") -> int:
+    """Write the markers a readiness job found; doing it again changes nothing."""
+    return write_flags(markers, base)

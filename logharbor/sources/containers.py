@@ -49,6 +49,8 @@ SCHEMA = {
 }
 CONTAINER_BYTES = 2 << 20
 DEFLATE_LEVEL = 6
+MS_BYTES, INT_BYTES = 2, 5      # encoded size, at most, of a number below 1,000 and of an int
+WRITE_ROWS = 16                 # container blocks per batch handed to a writer: 32 MiB or so
 SPLIT_BYTES = 128 << 20
 OPEN_COST_BYTES = 256 << 10     # what opening one more file is taken to cost when packing splits
 FORMAT = "line_container"
@@ -83,12 +85,12 @@ def containers(
     line = F.transform(
         "log_lines",
         lambda x: F.concat(
-            varint_text(x["ms"]), varint_text(F.length(x["message"]).cast("long")), bytes_text(x["message"])
+            varint_text(x["ms"], MS_BYTES), varint_text(F.length(x["message"]).cast("long"), INT_BYTES), bytes_text(x["message"])
         ),
     )
     record = text_bytes(F.concat(
         varint_text(F.col("second")), varint_text(F.col("create_time")), varint_text(F.col("block_number")),
-        varint_text(F.size("log_lines").cast("long")), F.array_join(line, ""), F.char(F.lit(0)),
+        varint_text(F.size("log_lines").cast("long"), INT_BYTES), F.array_join(line, ""), F.char(F.lit(0)),
     ))
     order = Window.partitionBy(*cluster).orderBy("block_number")
     placed = (
@@ -104,6 +106,15 @@ def containers(
 
 
 def _deflate(raw: bytes, level: int) -> bytes:
+    """Raw deflate; level 0 stores blocks of 65,535 bytes, so its size follows from the input's."""
+    if level == 0:
+        raw = memoryview(raw).cast("B")
+        parts = []
+        for at in range(0, max(1, len(raw)), 65_535):
+            part = raw[at:at + 65_535]
+            head = bytes((at + 65_535 >= len(raw),)) + len(part).to_bytes(2, "little") + (65_535 - len(part)).to_bytes(2, "little")
+            parts += [head, bytes(part)]
+        return b"".join(parts)
     squeeze = zlib.compressobj(level, zlib.DEFLATED, -15)
     return squeeze.compress(raw) + squeeze.flush()
 
@@ -456,10 +467,18 @@ def write_containers(
     An existing file of the same name is replaced; ``mode="overwrite"`` also removes the
     other files under ``root`` after the new ones are in place.
     """
-    register(boxes.sparkSession)
+    spark = boxes.sparkSession
+    register(spark)
     ordered = boxes.sortWithinPartitions("file", "container")
     writer = ordered.write.format(FORMAT).option("level", level).option("packed", str(is_packed).lower())
-    writer.mode(mode).save(qualified(boxes.sparkSession, root))
+    # A row is two megabytes, so the default of 10,000 rows a batch would not fit a worker.
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(WRITE_ROWS))
+    try:
+        writer.mode(mode).save(qualified(spark, root))
+    finally:
+        spark.conf.set(limit, before)
 
 
 def write_lines(

@@ -28,8 +28,11 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _text(ts: Column, ts_ms: Column) -> Column:
-    """Message text by shape: RFC form, plain ISO, syslog, no stamp, envelope text, cut stamp."""
+def _text(ts: Column, ts_ms: Column, cut: bool) -> Column:
+    """Message text by shape: RFC form, plain ISO, syslog, no stamp, envelope text, RFC form again.
+
+    ``cut`` ends the last shape inside its stamp, which is for showing the decoder only.
+    """
     wall = ts.cast("string")
     iso = F.concat(F.substring(wall, 1, 10), F.lit("T"), F.substring(wall, 12, 8))
     millis = F.lpad((ts_ms % 1000).cast("string"), 3, "0")
@@ -46,18 +49,18 @@ def _text(ts: Column, ts_ms: Column) -> Column:
         F.when(shape <= 4, rfc)
         .when(shape == 5, F.concat(F.substring(wall, 1, 19), F.lit(" "), tail))
         .when(shape == 6, syslog)
-        .when(shape == 9, F.substring(rfc, 1, 18))
+        .when(shape == 9, F.substring(rfc, 1, 18) if cut else rfc)
         .otherwise(tail)
     )
 
 
-def _value(ts: Column, ts_ms: Column) -> Column:
-    text = F.encode(_text(ts, ts_ms), "UTF-8")
+def _value(ts: Column, ts_ms: Column, cut: bool) -> Column:
+    text = F.encode(_text(ts, ts_ms, cut), "UTF-8")
     header = F.unhex(F.concat(F.lit("FE00"), F.lpad(F.hex(ts_ms), 16, "0")))
     return F.when(F.pmod(F.col("event_id"), F.lit(10)) == 8, F.concat(header, text)).otherwise(text)
 
 
-def messages(events: DataFrame) -> DataFrame:
+def messages(events: DataFrame, cut: bool = False) -> DataFrame:
     """One message per event, without broker bookkeeping: a plain projection of the scan."""
     ts_ms = ntz_ms(F.col("ts"))
     return events.select(
@@ -65,28 +68,31 @@ def messages(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("topic"),
         F.pmod(F.col("user_id"), F.lit(PARTITIONS)).cast("int").alias("partition"),
         (ts_ms + ARRIVAL_DELAY_MS).alias("arrival_ms"),
-        _value(F.col("ts"), ts_ms).alias("value"),
+        _value(F.col("ts"), ts_ms, cut).alias("value"),
     )
 
 
 def topic_log(events: DataFrame, disturbed: bool = True, slice_ids: int = SLICE_IDS) -> DataFrame:
     """The full topic log.
 
-    ``disturbed`` removes every 101st event (a gap), repeats every 97th later (an early
-    offset) and lets every second repeat come from a lagging broker with a low watermark.
+    ``disturbed`` skips an offset before every 101st event (a gap; no event is lost), repeats
+    every 97th event later (an early offset) and lets every second repeat come from a lagging
+    broker with a low watermark.
     """
     key = ["topic", "partition", "_slice"]
     msgs = messages(events).withColumn("_slice", int_div(F.col("event_id"), slice_ids))
     over = Window.partitionBy("topic", "partition")
+    # Offsets a row takes up: one, or two where the number before it is skipped.
+    taken = F.when((F.col("event_id") % 101 == 0) & F.lit(disturbed), 2).otherwise(1)
     sizes = (
-        msgs.groupBy(*key).agg(F.count("*").alias("_n"))
+        msgs.groupBy(*key).agg(F.sum(taken).alias("_n"))
         .withColumn(
             "_before",
             F.coalesce(F.sum("_n").over(over.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         )
         .withColumn("high_watermark", F.sum("_n").over(over))
     )
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy("event_id"))
+    rank = F.sum(taken).over(Window.partitionBy(*key).orderBy("event_id"))
     numbered = (
         msgs.withColumn("_rank", rank).join(sizes, key)
         .withColumn("offset", F.col("_before") + F.col("_rank") - 1)
@@ -97,8 +103,7 @@ def topic_log(events: DataFrame, disturbed: bool = True, slice_ids: int = SLICE_
         event = F.col("event_id")
         copies = F.when(event % 97 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
         numbered = (
-            numbered.filter(event % 101 != 0)
-            .withColumn("_again", F.explode(copies))
+            numbered.withColumn("_again", F.explode(copies))
             .withColumn(
                 "arrival_seq",
                 F.col("arrival_seq") + F.when(F.col("_again"), 2 * REPLAY_DISTANCE + 1).otherwise(0),

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.common import TP, checked_broadcast
+from ..operators.common import TP
 
 LOG_DDL = (
     "topic string, partition int, offset bigint, high_watermark bigint, arrival_seq bigint, "
@@ -26,8 +26,8 @@ def starting_offsets(start: DataFrame) -> str:
 def from_broker(reader, servers: str, start: DataFrame | None = None, topics: list[str] | None = None, **options):
     """Topic log rows from the Kafka connector; ``reader`` is ``spark.read`` or ``spark.readStream``.
 
-    The connector does not report the high watermark per record, so it is NULL here and comes
-    from a bounds table instead; offsets double as the arrival sequence.
+    The connector does not report the high watermark per record, so it is NULL here; see
+    :func:`with_watermarks`.  Offsets double as the arrival sequence.
     """
     source = reader.format("kafka").option("kafka.bootstrap.servers", servers)
     if topics is not None:
@@ -41,6 +41,13 @@ def from_broker(reader, servers: str, start: DataFrame | None = None, topics: li
     )
 
 
+def with_watermarks(log: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Fill in unknown high watermarks from ``bounds (topic, partition, latest)``, one row per partition."""
+    ends = bounds.select(*TP, F.col("latest").alias("_latest"))
+    filled = F.coalesce("high_watermark", "_latest")
+    return log.join(ends, TP, "left").withColumn("high_watermark", filled).select(*log.columns)
+
+
 def from_folder(spark: SparkSession, path: str, streaming: bool = False, files_per_trigger: int | None = None):
     """Topic log rows from Parquet files of the log's own shape."""
     if not streaming:
@@ -54,5 +61,5 @@ def from_folder(spark: SparkSession, path: str, streaming: bool = False, files_p
 def scan_from(log: DataFrame, start: DataFrame) -> DataFrame:
     """Rows at or after each partition's ``start_offset``; partitions without one start at 0."""
     seeds = start.select(*TP, F.col("start_offset").alias("_start"))
-    joined = log.join(checked_broadcast(seeds), TP, "left")
+    joined = log.join(seeds, TP, "left")
     return joined.filter(F.col("offset") >= F.coalesce("_start", F.lit(0))).drop("_start")

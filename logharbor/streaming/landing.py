@@ -25,7 +25,12 @@ OFFSETS_DDL = "topic string, partition int, start_offset bigint"
 
 @dataclass
 class LandingOptions:
-    """Settings of a landing stream (job parameters, not a table)."""
+    """Settings of a landing stream (job parameters, not a table).
+
+    ``start`` says where the first batch begins (``topic, partition, start_offset``, as resume
+    planning and range resets give it); partitions without a row begin at 0. Later batches go on
+    from what the batch before stored, so an override is used once.
+    """
 
     root: str
     ledger: str
@@ -36,32 +41,52 @@ class LandingOptions:
     drop_truncated: bool = False
     sink_to_watermark: bool = False
     skew: dict = field(default_factory=dict)
+    start: DataFrame | None = None
 
 
-def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    try:
-        return spark.read.schema(ddl).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], ddl)
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Totals per shift and batch; empty before the first batch."""
-    return _read(spark, f"{path}/shifts", LEDGER_DDL)
+    try:
+        return spark.read.schema(LEDGER_DDL).parquet(f"{path}/shifts")
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        return spark.createDataFrame([], LEDGER_DDL)
 
 
 def read_offsets(spark: SparkSession, path: str, after_batch: int) -> DataFrame:
-    """``start_offset`` of every partition seen up to and including ``after_batch``: one small folder."""
-    return _read(spark, f"{path}/offsets/batch_id={after_batch}", OFFSETS_DDL)
+    """``start_offset`` of every partition seen up to and including ``after_batch``: one small folder.
 
+    A stream that has begun must find what its last batch stored: going on from 0 would land
+    everything again.
+    """
+    try:
+        return spark.read.schema(OFFSETS_DDL).parquet(f"{path}/offsets/batch_id={after_batch}")
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        raise ValueError(f"no offsets of batch {after_batch} under {path}") from error
 
-def _store(spark: SparkSession, totals: DataFrame, start: DataFrame, path: str, batch_id: int) -> None:
-    """Replace the batch's ledger rows, then its offsets: the earlier ones moved on by this batch."""
-    shifts = f"{path}/shifts/batch_id={batch_id}"
-    totals.write.mode("overwrite").parquet(shifts)
-    moved = spark.read.parquet(shifts).groupBy(*TP).agg(F.max_by("next_offset", "shift_start").alias("_moved"))
-    offsets = start.join(moved, TP, "full").select(*TP, F.coalesce("_moved", "start_offset").alias("start_offset"))
-    offsets.write.mode("overwrite").parquet(f"{path}/offsets/batch_id={batch_id}")
+
+def _starts(spark: SparkSession, batch_id: int, options: LandingOptions) -> DataFrame:
+    if batch_id > 0:
+        return read_offsets(spark, options.ledger, batch_id - 1)
+    if options.start is not None:
+        return options.start.select(*TP, F.col("start_offset").cast("long").alias("start_offset"))
+    return spark.createDataFrame([], OFFSETS_DDL)
+
+
+def offset_state(audited: DataFrame, start: DataFrame) -> DataFrame:
+    """What each partition expects after a batch: the last audited row in arrival order decides.
+
+    Rows that were not accepted count, too: one of them may have reset the expectation.
+    """
+    moved = audited.groupBy(*TP).agg(F.max_by("next_offset", "arrival_seq").alias("_moved"))
+    return start.join(moved, TP, "full").select(*TP, F.coalesce("_moved", "start_offset").alias("start_offset"))
 
 
 def land_batch(batch: DataFrame, batch_id: int, configs: DataFrame, options: LandingOptions) -> None:
@@ -72,16 +97,21 @@ def land_batch(batch: DataFrame, batch_id: int, configs: DataFrame, options: Lan
     belongs to the stream's checkpoint, as batch numbers do.
     """
     spark = batch.sparkSession
-    start = read_offsets(spark, options.ledger, batch_id - 1)
+    start = _starts(spark, batch_id, options)
     audit = sink_to_high_watermark if options.sink_to_watermark else offset_audit
-    decoded = decode(accepted_rows(audit(batch, start)), options.as_of_year).persist()
+    # The body is a slice of the value, so only the body is kept for the passes below.
+    audited = decode(audit(batch, start), options.as_of_year).drop("value").persist()
     try:
+        decoded = accepted_rows(audited)
         shift = F.lit(batch_id).cast("long")
         keyed = file_keys(landable(decoded, options.drop_truncated), options.seconds, shift=shift)
         land(skew(keyed, **options.skew), configs, options.root, options.level)
-        _store(spark, shift_totals(decoded, options.seconds), start, options.ledger, batch_id)
+        # The files come first, then the ledger rows, and the offsets that end the batch last.
+        totals = shift_totals(decoded, options.seconds)
+        totals.write.mode("overwrite").parquet(f"{options.ledger}/shifts/batch_id={batch_id}")
+        offset_state(audited, start).write.mode("overwrite").parquet(f"{options.ledger}/offsets/batch_id={batch_id}")
     finally:
-        decoded.unpersist()
+        audited.unpersist()
 
 
 def landing_stream(log: DataFrame, configs: DataFrame, options: LandingOptions, trigger: dict | None = None):

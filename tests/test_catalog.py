@@ -5,10 +5,11 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from logharbor.catalog import ORACLES, QUERIES
 from tools.check import rows_of
 
-SQL = oracle_sql()
+SQL = ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -32,37 +33,16 @@ def test_query_matches_sql(spark, sf_dir, con, name):
     assert got
 
 
-def test_every_query_without_sql_is_known():
-    assert sorted(set(queries()) - set(SQL)) == ["bytes_by_topic", "compression_pct"]
-
-
-def test_sizes_against_zlib(spark, sf_dir):
-    """The two reports without SQL, recomputed by deflating the container bytes here."""
-    import statistics
-    import zlib
-
-    from logharbor import catalog as c
-    from logharbor.operators.files import FILE_KEY
-    from logharbor.sources import containers as boxes
-
-    lines = c._files(spark, sf_dir)
-    raws = boxes.containers(c.bl.log_blocks(lines, keep=["file"]), "file", FILE_KEY).collect()
-    sizes = {}
-    for r in raws:
-        z = zlib.compressobj(6, zlib.DEFLATED, -15)
-        topic = r.file.rsplit("/", 1)[1].rsplit("-", 2)[0]
-        sizes.setdefault(topic, []).append((len(z.compress(r.raw) + z.flush()), len(r.raw)))
-    got = {r.topic: (r.bytes, r.raw_bytes, r.containers) for r in queries()["bytes_by_topic"](spark, sf_dir).collect()}
-    everything = [s for v in sizes.values() for s in v]
-    total = lambda v: (sum(a for a, _ in v), sum(b for _, b in v), len(v))
-    assert got == {**{t: total(v) for t, v in sizes.items()}, None: total(everything)}
-    pct = {r.topic: r for r in queries()["compression_pct"](spark, sf_dir).collect()}
-    for topic, v in [*sizes.items(), (None, everything)]:
-        values = sorted(int((100.5 - 100.0 * a / b) // 1) for a, b in v)
-        row = pct[topic]
-        assert (row.min_pct, row.max_pct, row.containers) == (values[0], values[-1], len(values))
-        assert row.p05_pct <= row.p50_pct <= row.p95_pct
-        assert abs(row.p50_pct - statistics.median(values)) <= 1
+def test_every_query_has_sql():
+    assert sorted(QUERIES) == sorted(ORACLES)
+
+
+def test_no_event_is_lost(spark, sf_dir):
+    """The rendered log keeps every event; its gaps are skipped numbers."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    assert queries()["ts_errors"](spark, sf_dir).first().lines == events
+    assert spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_id % 101 = 0").count() > 0
+    assert queries()["gap_counts"](spark, sf_dir).agg({"gaps": "sum"}).first()[0] > 0
 
 
 def test_entry(spark):

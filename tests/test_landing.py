@@ -16,6 +16,7 @@ from logharbor.operators import ledger as lg
 from logharbor.operators import readiness as rd
 from logharbor.operators import reports as rp
 from logharbor.plans import jobs
+from logharbor.session import stored
 from logharbor.sources import containers as boxes
 from logharbor.sources import datasets, markers
 from logharbor.sources import topic_log as tl
@@ -35,8 +36,7 @@ def log(spark, sf_dir, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def configs(spark, sf_dir):
-    rows = c._configs(spark, sf_dir).collect()
-    return spark.createDataFrame(rows, cf.CONFIG_DDL)
+    return c._configs(spark, sf_dir)        # a stored table, so its size is known
 
 
 def test_time_helpers(spark):
@@ -76,13 +76,18 @@ def test_configs(spark):
         ("a", "/y/z/20240101/01/a/d3"), ("b", "/y/z/2024-01/b/late")]
 
 
-def test_config_broadcast_is_checked(spark):
-    from logharbor.operators.common import checked_broadcast
-
-    big, small = spark.range(50).toDF("topic"), spark.range(5).toDF("topic")
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(big.join(checked_broadcast(small, 10), "topic")).lower()
-    assert "broadcast" not in plan(big.join(checked_broadcast(big, 10), "topic")).lower()
+def test_stored_configs_are_broadcast_by_their_size(spark):
+    """No job runs while the join is planned; a stored small table is broadcast, and not beyond the limit."""
+    table = stored(spark.createDataFrame([("a", "/x/%H/a", "d")], "id string, hdfsRootDir string, defaultDirectory string"), "configs")
+    big = stored(spark.range(50).select(F.col("id").cast("string").alias("topic")), "lines")
+    plan = lambda: cf.configured(big, table)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        assert "BroadcastHashJoin" not in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 LINE = "topic string, partition int, arrival_seq long, arrival_ms long, ts_ms long, next_offset long, decode_status string, ts_source string"
@@ -256,3 +261,78 @@ def test_starting_offsets_json(spark):
     start = spark.createDataFrame([("a", 0, 5), ("a", 1, 0), ("b", 0, 7)], "topic string, partition int, start_offset long")
     assert tl.starting_offsets(start) in ('{"a": {"0": 5, "1": 0}, "b": {"0": 7}}', '{"b": {"0": 7}, "a": {"0": 5, "1": 0}}') or \
         __import__("json").loads(tl.starting_offsets(start)) == {"a": {"0": 5, "1": 0}, "b": {"0": 7}}
+
+
+LOG = "topic string, partition int, offset long, high_watermark long, arrival_seq long, arrival_ms long, value binary"
+
+
+def batches(spark, tmp_path, parts, **options):
+    """State after each batch of (offset, watermark, arrival_ms) rows, and the landed messages."""
+    opts = landing.LandingOptions(f"{tmp_path}/out", f"{tmp_path}/ledger", f"{tmp_path}/ckpt", YEAR, seconds=86_400, **options)
+    configs = spark.createDataFrame([(1, "t", "/logs/%y%M%d/t", "u", "data", [])], cf.CONFIG_DDL)
+    states, seq = [], 0
+    for k, rows in enumerate(parts):
+        data = [("t", 0, o, h, seq + i, ms, bytearray(f"m{o}".encode())) for i, (o, h, ms) in enumerate(rows)]
+        seq += len(rows)
+        landing.land_batch(spark.createDataFrame(data, LOG), k, configs, opts)
+        states.append(landing.read_offsets(spark, opts.ledger, k).first().start_offset)
+    return states, sorted(m.decode() for _, m in landed(spark, opts.root))
+
+
+def test_state_follows_arrival_not_time(spark, tmp_path):
+    """Rows stamped before the hour that an earlier row opened do not move the state back."""
+    first = [(0, 9, T0 + H - 5), (1, 9, T0 + H + 5), (2, 9, T0 + H - 4), (3, 9, T0 + H - 3)]
+    states, lines = batches(spark, tmp_path, [first, first[2:] + [(4, 9, T0 + 2 * H)]])
+    assert states == [4, 5] and lines == ["m0", "m1", "m2", "m3", "m4"]
+
+
+def test_reset_on_the_border_is_kept(spark, tmp_path):
+    rows = [(o, 9, T0 + o) for o in range(5)] + [(2, 3, T0 + 9)]
+    states, lines = batches(spark, tmp_path, [rows, [(3, 9, T0 + 10), (4, 9, T0 + 11)]], sink_to_watermark=True)
+    assert states == [3, 5] and lines == ["m0", "m1", "m2", "m3", "m3", "m4", "m4"]
+
+
+def test_dropped_batch_keeps_the_state(spark, tmp_path):
+    states, lines = batches(spark, tmp_path, [[(0, 9, T0), (1, 9, T0)], [(0, 9, T0)], [(2, 9, T0)]])
+    assert states == [2, 2, 3] and lines == ["m0", "m1", "m2"]
+
+
+def test_lost_snapshot_fails(spark, tmp_path, configs):
+    options = landing.LandingOptions(f"{tmp_path}/out", f"{tmp_path}/ledger", f"{tmp_path}/ckpt", YEAR)
+    rows = spark.createDataFrame([("t", 0, 0, 1, 0, T0, bytearray(b"x"))], LOG)
+    with pytest.raises(ValueError, match="no offsets of batch 7"):
+        landing.land_batch(rows, 8, configs, options)
+    assert landing.read_ledger(spark, options.ledger).count() == 0
+
+
+def test_unknown_watermark(spark):
+    """Rows of a broker log have none: an early row is early, passes the strict form, and resets nothing."""
+    rows = [("t", 0, o, None, k, T0, bytearray(b"x")) for k, o in enumerate((0, 1, 0, 2))]
+    log = spark.createDataFrame(rows, LOG)
+    for audit in (c.of.offset_audit, c.of.sink_to_high_watermark):
+        got = audit(log).orderBy("arrival_seq").collect()
+        assert [r.status for r in got] == ["ok", "ok", "early", "ok"] and [r.next_offset for r in got] == [1, 2, 2, 3]
+        assert [r.lag for r in got] == [None] * 4
+    assert c.of.strict_offsets(c.of.offset_audit(log)).count() == 3
+    bounds = spark.createDataFrame([("t", 0, 7)], "topic string, partition int, latest long")
+    filled = tl.with_watermarks(log, bounds)
+    assert filled.columns == log.columns and {r.high_watermark for r in filled.collect()} == {7}
+
+
+def test_start_table_is_used_once(spark, tmp_path):
+    start = spark.createDataFrame([("t", 0, 2)], "topic string, partition int, start_offset long")
+    states, lines = batches(spark, tmp_path, [[(1, 9, T0), (2, 9, T0)], [(1, 9, T0), (3, 9, T0)]], start=start)
+    assert states == [3, 4] and lines == ["m2", "m3"]
+
+
+def test_readiness_reads_no_log(spark, sf_dir):
+    plan = c.QUERIES["ready_flags"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "event_id" not in plan and "props" not in plan and "Window" not in plan
+
+
+def test_stored_deflate_blocks():
+    import zlib
+    for n in (0, 1, 65_535, 65_536, 200_000):
+        data = bytes(range(256)) * (n // 256) + bytes(n % 256)
+        packed = boxes._deflate(data, 0)
+        assert zlib.decompress(packed, -15) == data and len(packed) == n + 5 * max(1, -(-n // 65_535))
