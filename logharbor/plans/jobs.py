@@ -62,13 +62,13 @@ def prepared_lines(
 
 
 def land(
-    lines: DataFrame, configs: DataFrame, root: str, level: int = boxes.DEFLATE_LEVEL
+    lines: DataFrame, configs: DataFrame, root: str, level: int = boxes.DEFLATE_LEVEL, **block_options
 ) -> None:
     """Write prepared lines of configured topics as containers in their templated folders under ``root``."""
     placed = render_paths(lines, configs).withColumn(
         "file", F.concat("path", F.lit("/"), "file_prefix", "file_name")
     )
-    boxes.write_lines(placed, root, "file", level, file_key=FILE_KEY)
+    boxes.write_lines(placed, root, "file", level, file_key=FILE_KEY, **block_options)
 
 
 def readiness(

@@ -52,8 +52,10 @@ DEFLATE_LEVEL = 6
 MS_BYTES, INT_BYTES = 2, 5      # encoded size, at most, of a number below 1,000 and of an int
 WRITE_ROWS = 16                 # container blocks per batch handed to a writer: 32 MiB or so
 SPLIT_BYTES = 128 << 20
+HEAD_BYTES = 64 << 10           # first read of a file; more where its header is longer
 OPEN_COST_BYTES = 256 << 10     # what opening one more file is taken to cost when packing splits
 FORMAT = "line_container"
+TEMPORARY = "_tmp_"
 
 LINE_DDL = (
     "file string, second bigint, create_time bigint, block_number bigint, idx int, ts_ms bigint, message binary"
@@ -206,7 +208,7 @@ class ContainerWriter(DataSourceArrowWriter):
                         current = name.as_py()
                         final = f"{root}/{current.lstrip('/')}"
                         folder, base = final.rsplit("/", 1)
-                        temporary = f"{folder}/_tmp_{base}.{attempt}"
+                        temporary = f"{folder}/{TEMPORARY}{base}.{attempt}"
                         fs.create_dir(folder, recursive=True)
                         files.append((temporary, final))
                         out = fs.open_output_stream(temporary)
@@ -240,6 +242,8 @@ class ContainerWriter(DataSourceArrowWriter):
 
         with ThreadPoolExecutor(16) as pool:
             list(pool.map(publish, files))
+            # Attempts whose task was killed could not remove what they had begun.
+            list(pool.map(lambda folder: _sweep(fs, folder, finals), {f.rsplit("/", 1)[0] for f in finals}))
         _discard(fs, stale)
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -247,6 +251,14 @@ class ContainerWriter(DataSourceArrowWriter):
         _discard(fs, [t for m in messages if m is not None for t, _ in m.files])
 
 
+def _sweep(fs: pafs.FileSystem, folder: str, finals: set[str]) -> None:
+    """Remove temporary files in ``folder`` of files that are published now."""
+    for info in fs.get_file_info(pafs.FileSelector(folder)):
+        name = info.base_name
+        if name.startswith(TEMPORARY) and f"{folder}/{name.removeprefix(TEMPORARY).rsplit('.', 1)[0]}" in finals:
+            fs.delete_file(info.path)
+
+
 def _discard(fs: pafs.FileSystem, paths: Sequence[str]) -> None:
     for path in paths:
         if fs.get_file_info(path).type != pafs.FileType.NotFound:
@@ -331,11 +343,28 @@ class ContainerReader(DataSourceReader):
 
 
 def _open_container(source, path: str) -> tuple[bytes, int]:
-    """Sync marker and position of the first block."""
-    head = source.read(64 << 10)
-    if head[:4] != MAGIC:
-        raise ValueError(f"not an object container file: {path}")
-    pos, meta = 4, {}
+    """Sync marker and position of the first block; reads on until the header is whole."""
+    want = HEAD_BYTES
+    while True:
+        source.seek(0)
+        head = source.read(want)
+        if head[:4] != MAGIC:
+            raise ValueError(f"not an object container file: {path}")
+        try:
+            codec, pos = _header_end(head)
+        except IndexError:
+            if len(head) < want:
+                raise ValueError(f"header cut short: {path}") from None
+            want *= 8
+            continue
+        if codec != CODEC:
+            raise ValueError(f"unexpected codec {codec!r} in {path}")
+        return head[pos:pos + SYNC_BYTES], pos + SYNC_BYTES
+
+
+def _header_end(head: bytes) -> tuple[bytes | None, int]:
+    """Codec and the position of the sync marker; IndexError if ``head`` ends before it does."""
+    pos, meta = len(MAGIC), {}
     while True:
         entries, pos = _read_long(head, pos)
         if entries == 0:
@@ -347,9 +376,9 @@ def _open_container(source, path: str) -> tuple[bytes, int]:
             key, pos = head[pos:pos + size], pos + size
             size, pos = _read_long(head, pos)
             meta[key], pos = head[pos:pos + size], pos + size
-    if meta.get(b"avro.codec") != CODEC:
-        raise ValueError(f"unexpected codec {meta.get(b'avro.codec')!r} in {path}")
-    return head[pos:pos + SYNC_BYTES], pos + SYNC_BYTES
+    if pos + SYNC_BYTES > len(head):
+        raise IndexError
+    return meta.get(b"avro.codec"), pos
 
 
 def _container_blocks(source, sync: bytes, first: int, part: Range):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -16,9 +16,12 @@ from .containers import filesystem
 FLAG_NAME = "_READY"
 
 
-def _target(base: str, path: str, name: str) -> str:
-    folder = f"{base.rstrip('/')}/{path.lstrip('/')}" if base else path
-    return f"{folder.rstrip('/')}/{name}"
+def _locator(base: str, name: str) -> Callable[[str], tuple[pafs.FileSystem, str]]:
+    """Finds a folder's marker; the file system of ``base`` is opened once."""
+    if not base:
+        return lambda path: filesystem(f"{path.rstrip('/')}/{name}")
+    fs, root = filesystem(base)
+    return lambda path: (fs, f"{root.rstrip('/')}/{path.strip('/')}/{name}")
 
 
 def write_flags(flags: DataFrame, base: str = "", name: str = FLAG_NAME) -> int:
@@ -29,10 +32,10 @@ def write_flags(flags: DataFrame, base: str = "", name: str = FLAG_NAME) -> int:
     base = qualified(flags.sparkSession, base) if base else base
 
     def create(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = 0
+        made, locate = 0, _locator(base, name)
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                fs, inner = filesystem(_target(base, path, name))
+                fs, inner = locate(path)
                 fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
                 fs.open_output_stream(inner).close()
                 made += 1
@@ -48,10 +51,11 @@ def with_flag(dirs: DataFrame, base: str = "", path: str = "path", name: str = F
     base = qualified(dirs.sparkSession, base) if base else base
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        locate = _locator(base, name)
         for batch in batches:
             found = []
             for p in batch.column(path).to_pylist():
-                fs, inner = filesystem(_target(base, p, name))
+                fs, inner = locate(p)
                 found.append(fs.get_file_info(inner).type == pafs.FileType.File)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.bool_())], [*names, "flagged"])
 

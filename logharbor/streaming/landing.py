@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.wire import decode, landable
-from ..operators.common import TP
+from ..operators.blocks import SPAN_BYTES
+from ..operators.common import ROLL_ROWS, TP
 from ..operators.files import SHIFT_SECONDS, file_keys, skew
 from ..operators.ledger import merge_totals, shift_totals
 from ..operators.offsets import accepted_rows, offset_audit, sink_to_high_watermark
@@ -30,6 +31,10 @@ class LandingOptions:
     ``start`` says where the first batch begins (``topic, partition, start_offset``, as resume
     planning and range resets give it); partitions without a row begin at 0. Later batches go on
     from what the batch before stored, so an override is used once.
+
+    ``roll_rows`` bounds a file: it rolls at every so many arrival positions of its partition.
+    ``span_bytes`` bounds what one group of lines gathers: a second heavier than that is also cut
+    at each such mark.
     """
 
     root: str
@@ -42,6 +47,8 @@ class LandingOptions:
     sink_to_watermark: bool = False
     skew: dict = field(default_factory=dict)
     start: DataFrame | None = None
+    roll_rows: int = ROLL_ROWS
+    span_bytes: int = SPAN_BYTES
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -100,12 +107,12 @@ def land_batch(batch: DataFrame, batch_id: int, configs: DataFrame, options: Lan
     start = _starts(spark, batch_id, options)
     audit = sink_to_high_watermark if options.sink_to_watermark else offset_audit
     # The body is a slice of the value, so only the body is kept for the passes below.
-    audited = decode(audit(batch, start), options.as_of_year).drop("value").persist()
+    audited = decode(audit(batch, start, options.roll_rows), options.as_of_year).drop("value").persist()
     try:
         decoded = accepted_rows(audited)
         shift = F.lit(batch_id).cast("long")
         keyed = file_keys(landable(decoded, options.drop_truncated), options.seconds, shift=shift)
-        land(skew(keyed, **options.skew), configs, options.root, options.level)
+        land(skew(keyed, **options.skew), configs, options.root, options.level, span_bytes=options.span_bytes)
         # The files come first, then the ledger rows, and the offsets that end the batch last.
         totals = shift_totals(decoded, options.seconds)
         totals.write.mode("overwrite").parquet(f"{options.ledger}/shifts/batch_id={batch_id}")

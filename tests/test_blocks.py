@@ -151,3 +151,30 @@ def test_one_shuffle_from_lines_to_containers(spark):
     plan = boxes.containers(log_blocks(lines, keep=["file"]), "file", FILE_KEY)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_long_header_is_read_whole(spark, tmp_path):
+    """Metadata longer than the first read of a file."""
+    root = str(tmp_path / "long")
+    rows = [("t", 0, i, i, 0, i, bytearray(b"line")) for i in range(5)]
+    boxes.write_lines(keyed(spark, rows).withColumn("file", F.col("file_name")), root)
+    path, = glob.glob(f"{root}/*.bm")
+    data = open(path, "rb").read()
+    extra = boxes._long_bytes(1) + boxes._long_bytes(4) + b"note" + boxes._long_bytes(200_000) + b"n" * 200_000
+    open(path, "wb").write(data[:4] + extra + data[4:])
+    assert boxes.read_lines(spark, root).count() == 5
+    open(path, "wb").write((data[:4] + extra)[:150_000])
+    with pytest.raises(Exception, match="header cut short"):
+        boxes.read_lines(spark, root).count()
+
+
+def test_files_of_killed_attempts_are_swept(spark, tmp_path):
+    root = tmp_path / "swept"
+    rows = [("t", 0, i, i, 0, i, bytearray(b"line")) for i in range(5)]
+    lines = keyed(spark, rows).withColumn("file", F.col("file_name"))
+    boxes.write_lines(lines, str(root))
+    name, = [p.name for p in root.glob("*.bm")]
+    (root / f"_tmp_{name}.dead").write_bytes(b"half")
+    (root / "_tmp_other.bm.dead").write_bytes(b"half")
+    boxes.write_lines(lines, str(root))
+    assert sorted(p.name for p in root.iterdir()) == ["_tmp_other.bm.dead", name]
