@@ -51,6 +51,8 @@ MARKS = frozenset(
     "disclaimer discussion disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification "
     "pager pagination popup promo promoted promotion reader-comments related replies respond search share sharing sidebar signup "
     "skip social sponsor sponsored subscribe toolbar widget".split())
+MARK_STEMS = ("advert", "breadcrumb", "comment", "cookie", "navbar", "newsletter", "sidebar", "sponsor")
+PAGE_MARKS = frozenset("header logo topbar".split())        # of the page's frame; inside an article they may hold its title
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 CONTENT = frozenset("article content entry main post story".split())
 
@@ -147,7 +149,8 @@ def never_text(node: Node, in_content: bool) -> bool:
         return True
     if node.tag in ("html", "body", "article", "main") and not _marks(a) & {"comment", "comments", "ad", "ads", "advert", "promo", "related", "sponsored"}:
         return False
-    return bool(_marks(a) & MARKS)
+    marks = _marks(a)
+    return bool(marks & MARKS) or any(m.startswith(MARK_STEMS) for m in marks) or not in_content and bool(marks & PAGE_MARKS)
 
 
 def _marks(a: dict[str, str]) -> set[str]:

@@ -18,6 +18,8 @@ CASES = [
     ('<article><ul><li>a<li>b</ul><table><tr><td>1<td>2</table></article>', "a b 1 2"),
     ("<div class='cookie-notice'>We use</div><p>t</p>", "t"), ("<p>unclosed <b", "unclosed <b"), ("a < b and c > d", "a < b and c > d"),
     ("<article><p hidden>x</p><p aria-hidden=true>y</p><p style='display: none'>z</p><p>v</p></article>", "v"),
+    ('<div id="page-header">Site</div><p>t</p><ol class="commentList"><li>hi</ol>', "t"),
+    ('<article><div class="post-header">Title</div><p>b</p></article>', "Title b"),
     ("<header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>b</p></article>", "Title b"),
 ]
 
