@@ -1,4 +1,4 @@
-"""Zig-zag variable-length integers as Column expressions."""
+"""Sizes of zig-zag variable-length integers as Column expressions."""
 
 from __future__ import annotations
 
@@ -17,31 +17,3 @@ def varint_len(n: Column, most: int = 10) -> Column:
     for groups in range(most - 1, 0, -1):
         size = F.when(F.shiftrightunsigned(z, 7 * groups) == 0, F.lit(groups)).otherwise(size)
     return size
-
-
-def varint_text(n: Column, most: int = 10) -> Column:
-    """Encoded bytes of a long as byte-per-character text; ``most`` bounds its size in bytes.
-
-    Seven bits per byte, low group first, high bit on all but the last.  Text is used because
-    it can be joined over an array in one pass; ``encode(.., 'ISO-8859-1')`` gives the bytes.
-    A tight bound keeps the expression short, which counts where it runs once per line.
-    """
-    z = zigzag(n)
-
-    def byte(i: int, last: bool) -> Column:
-        group = F.shiftrightunsigned(z, 7 * i).bitwiseAND(F.lit(127))
-        return F.char(group if last else group.bitwiseOR(F.lit(128)))
-
-    text = F.concat(*[byte(i, i == most - 1) for i in range(most)])
-    for groups in range(most - 1, 0, -1):
-        shorter = F.concat(*[byte(i, i == groups - 1) for i in range(groups)]) if groups > 1 else byte(0, True)
-        text = F.when(F.shiftrightunsigned(z, 7 * groups) == 0, shorter).otherwise(text)
-    return text
-
-
-def bytes_text(data: Column) -> Column:
-    return F.decode(data, "ISO-8859-1")
-
-
-def text_bytes(text: Column) -> Column:
-    return F.encode(text, "ISO-8859-1")

@@ -1,8 +1,8 @@
 """Reading and writing line containers (``.bm``): Avro object container files of line blocks.
 
-Writing: Spark builds the record bytes of about two megabytes per container block with
-built-in expressions, one shuffle away from the lines; the Python writer only deflates and
-appends.  Files get a temporary name in the task and their real one in the commit.
+Writing: Spark builds the blocks, one shuffle away from the lines; the Python writer encodes
+them as records, two megabytes per container block, deflates and appends.  Files get a temporary
+name in the task and their real one in the commit.
 
 Reading: one input split per byte range, cut at sync markers, so large files parallelise.
 """
@@ -16,17 +16,16 @@ import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
 )
 
-from ..functions.encoding import bytes_text, text_bytes, varint_text
-from ..functions.times import int_div
 from ..operators.blocks import log_blocks
 from ..operators.files import EXTENSION, FILE_KEY
 from ..session import qualified
@@ -49,8 +48,7 @@ SCHEMA = {
 }
 CONTAINER_BYTES = 2 << 20
 DEFLATE_LEVEL = 6
-MS_BYTES, INT_BYTES = 2, 5      # encoded size, at most, of a number below 1,000 and of an int
-WRITE_ROWS = 16                 # container blocks per batch handed to a writer: 32 MiB or so
+WRITE_ROWS = 64                 # blocks of a megabyte at most per batch handed to a writer
 SPLIT_BYTES = 128 << 20
 HEAD_BYTES = 64 << 10           # first read of a file; more where its header is longer
 OPEN_COST_BYTES = 256 << 10     # what opening one more file is taken to cost when packing splits
@@ -71,7 +69,17 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), os.path.abspath(path)
 
 
-# --- building container blocks in Spark --------------------------------------------------------
+# --- building container blocks -----------------------------------------------------------------
+
+
+def _placed(blocks: DataFrame, file: str, file_key: Sequence[str]) -> DataFrame:
+    """Blocks as the encoder takes them: a file's blocks together and in order."""
+    keys = list(file_key) or [file]
+    narrow = blocks.select(
+        F.col(file).alias("file"), F.xxhash64(*keys).alias("_key"), "block_number", "second", "create_time", "log_lines")
+    if not file_key:
+        narrow = narrow.repartition("file")
+    return narrow.sortWithinPartitions("file", "_key", "block_number")
 
 
 def containers(
@@ -79,32 +87,78 @@ def containers(
 ) -> DataFrame:
     """``file, container, records, raw``: record bytes of each container block, uncompressed.
 
-    ``file`` is the column naming the output file.  With ``file_key`` (columns the blocks
-    are already partitioned by, one file per key) no further shuffle is needed.
+    ``file`` is the column naming the output file; ``container`` is the number of its first
+    block, which orders a file's containers.  With ``file_key`` (columns the blocks are
+    already partitioned by, one file per key) no further shuffle is needed.
     """
-    keys = [*dict.fromkeys([*file_key, file])]
-    cluster = list(file_key) or keys
-    line = F.transform(
-        "log_lines",
-        lambda x: F.concat(
-            varint_text(x["ms"], MS_BYTES), varint_text(F.length(x["message"]).cast("long"), INT_BYTES), bytes_text(x["message"])
-        ),
-    )
-    record = text_bytes(F.concat(
-        varint_text(F.col("second")), varint_text(F.col("create_time")), varint_text(F.col("block_number")),
-        varint_text(F.size("log_lines").cast("long"), INT_BYTES), F.array_join(line, ""), F.char(F.lit(0)),
-    ))
-    order = Window.partitionBy(*cluster).orderBy("block_number")
-    placed = (
-        blocks.select(*keys, "block_number", record.alias("_record"))
-        .withColumn("_size", F.length("_record").cast("long"))
-        .withColumn("_end", F.sum("_size").over(order))
-        .withColumn("container", int_div(F.col("_end") - F.col("_size"), container_bytes))
-    )
-    return placed.groupBy(*keys, "container").agg(
-        F.count("*").alias("records"),
-        F.expr("listagg(_record, X'') WITHIN GROUP (ORDER BY block_number)").alias("raw"),
-    ).select(F.col(file).alias("file"), "container", "records", "raw")
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = _Packer(container_bytes)
+        for batch in batches:
+            for box in packer.feed(batch):
+                yield _box_batch([box])
+        last = packer.finish()
+        if last:
+            yield _box_batch([last])
+
+    return _placed(blocks, file, file_key).mapInArrow(encode, CONTAINER_DDL)
+
+
+def _box_batch(boxes: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(v, t) for v, t in zip(zip(*boxes), types)], ["file", "container", "records", "raw"])
+
+
+class _Packer:
+    """Encodes blocks as records and gathers those that start in the same stretch of a file."""
+
+    def __init__(self, container_bytes: int):
+        self.room = container_bytes
+        self.key, self.at, self.box, self.first, self.parts = None, 0, 0, 0, []
+
+    def feed(self, batch: pa.RecordBatch) -> Iterator[tuple]:
+        columns = [batch.column(c).to_pylist() for c in ("file", "_key", "block_number")]
+        for name, key, number, record in zip(*columns, _records(batch)):
+            if (name, key) != self.key:
+                last = self.finish()
+                if last:
+                    yield last
+                self.key, self.at, self.box, self.first = (name, key), 0, 0, number
+            elif self.at // self.room != self.box:
+                yield self.finish()
+                self.box, self.first = self.at // self.room, number
+            self.parts.append(record)
+            self.at += len(record)
+
+    def finish(self) -> tuple | None:
+        if not self.parts:
+            return None
+        out = (self.key[0], self.first, len(self.parts), b"".join(self.parts))
+        self.parts = []
+        return out
+
+
+def _records(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """Record bytes of each block of a batch; numbers below 8,192 come from a table."""
+    table = _small_numbers()
+
+    def number(n: int) -> bytes:
+        return table[n] if 0 <= n < 8192 else _long_bytes(n)
+
+    lists = batch.column("log_lines")
+    ends = lists.offsets.to_pylist()
+    lines = lists.values
+    times, texts = lines.field("ms").to_pylist(), lines.field("message").to_pylist()
+    heads = zip(*[batch.column(c).to_pylist() for c in ("second", "create_time", "block_number")])
+    for k, head in enumerate(heads):
+        lo, hi = ends[k], ends[k + 1]
+        parts = [_long_bytes(n) for n in head]
+        if hi > lo:
+            parts.append(number(hi - lo))
+            for ms, text in zip(times[lo:hi], texts[lo:hi]):
+                parts += (number(ms), number(len(text)), text)
+        parts.append(b"\0")
+        yield b"".join(parts)
 
 
 def _deflate(raw: bytes, level: int) -> bytes:
@@ -158,6 +212,11 @@ def _long_bytes(n: int) -> bytes:
     return bytes(out)
 
 
+@lru_cache
+def _small_numbers() -> list[bytes]:
+    return [_long_bytes(n) for n in range(8192)]
+
+
 def _read_long(data, pos: int) -> tuple[int, int]:
     b = data[pos]
     pos += 1
@@ -190,8 +249,24 @@ class Written(WriterCommitMessage):
 
 
 class ContainerWriter(DataSourceArrowWriter):
-    def __init__(self, root: str, level: int, overwrite: bool, is_packed: bool = False):
-        self.root, self.level, self.overwrite, self.is_packed = root, level, overwrite, is_packed
+    def __init__(self, root: str, level: int, overwrite: bool, form: str = "raw", container_bytes: int = CONTAINER_BYTES):
+        self.root, self.level, self.overwrite, self.form, self.container_bytes = root, level, overwrite, form, container_bytes
+
+    def _boxes(self, iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes]]:
+        """File, record count and deflated bytes of each container block."""
+        if self.form == "blocks":
+            packer = _Packer(self.container_bytes)
+            for batch in iterator:
+                for name, _, records, raw in packer.feed(batch):
+                    yield name, records, _deflate(raw, self.level)
+            last = packer.finish()
+            if last:
+                yield last[0], last[2], _deflate(last[3], self.level)
+            return
+        for batch in iterator:
+            for name, records, raw in zip(*[batch.column(c) for c in ("file", "records", "raw")]):
+                data = raw.as_py()
+                yield name.as_py(), records.as_py(), data if self.form == "packed" else _deflate(data, self.level)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = filesystem(self.root)
@@ -199,23 +274,20 @@ class ContainerWriter(DataSourceArrowWriter):
         files: list[tuple[str, str]] = []
         current, out, sync = None, None, b""
         try:
-            for batch in iterator:
-                columns = [batch.column(c) for c in ("file", "records", "raw")]
-                for name, records, raw in zip(*columns):
-                    if name.as_py() != current:
-                        if out is not None:
-                            out.close()
-                        current = name.as_py()
-                        final = f"{root}/{current.lstrip('/')}"
-                        folder, base = final.rsplit("/", 1)
-                        temporary = f"{folder}/{TEMPORARY}{base}.{attempt}"
-                        fs.create_dir(folder, recursive=True)
-                        files.append((temporary, final))
-                        out = fs.open_output_stream(temporary)
-                        sync = os.urandom(SYNC_BYTES)
-                        out.write(_header(sync))
-                    block = raw.as_py() if self.is_packed else _deflate(raw.as_buffer(), self.level)
-                    out.write(_long_bytes(records.as_py()) + _long_bytes(len(block)) + block + sync)
+            for name, records, block in self._boxes(iterator):
+                if name != current:
+                    if out is not None:
+                        out.close()
+                    current = name
+                    final = f"{root}/{current.lstrip('/')}"
+                    folder, base = final.rsplit("/", 1)
+                    temporary = f"{folder}/{TEMPORARY}{base}.{attempt}"
+                    fs.create_dir(folder, recursive=True)
+                    files.append((temporary, final))
+                    out = fs.open_output_stream(temporary)
+                    sync = os.urandom(SYNC_BYTES)
+                    out.write(_header(sync))
+                out.write(_long_bytes(records) + _long_bytes(len(block)) + block + sync)
             if out is not None:
                 out.close()
         except BaseException:
@@ -464,8 +536,7 @@ class LineContainerSource(DataSource):
 
     def writer(self, schema, overwrite: bool) -> ContainerWriter:
         level = int(self.options.get("level", DEFLATE_LEVEL))
-        is_packed = self.options.get("packed", "false") == "true"
-        return ContainerWriter(self.options["path"], level, overwrite, is_packed)
+        return ContainerWriter(self.options["path"], level, overwrite, self.options.get("form", "raw"))
 
 
 def register(spark: SparkSession) -> None:
@@ -496,16 +567,19 @@ def write_containers(
     An existing file of the same name is replaced; ``mode="overwrite"`` also removes the
     other files under ``root`` after the new ones are in place.
     """
-    spark = boxes.sparkSession
-    register(spark)
     ordered = boxes.sortWithinPartitions("file", "container")
-    writer = ordered.write.format(FORMAT).option("level", level).option("packed", str(is_packed).lower())
-    # A row is two megabytes, so the default of 10,000 rows a batch would not fit a worker.
+    _save(ordered, root, level, mode, "packed" if is_packed else "raw")
+
+
+def _save(rows: DataFrame, root: str, level: int, mode: str, form: str) -> None:
+    spark = rows.sparkSession
+    register(spark)
+    # A row may be megabytes, so the default of 10,000 rows a batch would not fit a worker.
     limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(limit)
     spark.conf.set(limit, str(WRITE_ROWS))
     try:
-        writer.mode(mode).save(qualified(spark, root))
+        rows.write.format(FORMAT).option("level", level).option("form", form).mode(mode).save(qualified(spark, root))
     finally:
         spark.conf.set(limit, before)
 
@@ -514,6 +588,6 @@ def write_lines(
     lines: DataFrame, root: str, file: str = "file", level: int = DEFLATE_LEVEL, mode: str = "append",
     file_key: Sequence[str] = FILE_KEY, **block_options,
 ) -> None:
-    """Lines to blocks to containers to files: one shuffle, by file key."""
+    """Lines to blocks to files: one shuffle, by file key; the writer encodes, deflates and appends."""
     blocks = log_blocks(lines, file_key, keep=[file], **block_options)
-    write_containers(containers(blocks, file, file_key), root, level, mode)
+    _save(_placed(blocks, file, file_key), root, level, mode, "blocks")
