@@ -25,7 +25,7 @@ from .plans import jobs
 from .session import shared_dir, stored
 from .sources import containers as boxes
 from .sources import datasets, markers, topic_log as tl
-from .sources.events_log import YEAR, messages, read_events, topic_log
+from .sources.events_log import YEAR, damaged_messages, messages, read_events, topic_log
 from .streaming import landing
 
 AS_OF_MS = 1_706_661_000_000        # 2024-01-31 00:30 UTC, just after the last event
@@ -302,6 +302,53 @@ def decode_timestamp(spark, sf):
     return out.select("event_id", F.coalesce("parsed_ms", F.lit(-1)).alias("parsed_ms"), "stamp_len")
 
 
+_DAMAGED = """
+damaged AS (
+  SELECT event_id, event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", CAST(event_id % 8 AS INTEGER) AS kind,
+    (epoch_us(ts) // 1000) AS ms, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, event_id % 192 AS n, 2 + event_id % 998 AS v, props
+  FROM events
+),
+told AS (
+  SELECT *, ms + 5000 AS arrival_ms, CASE WHEN kind IN (0, 5, 6, 7) THEN n ELSE -1 END AS pri,
+    CASE WHEN kind IN (0, 5) THEN v WHEN kind = 6 THEN 1 ELSE -1 END AS rfc_version,
+    CASE WHEN kind = 3 THEN 1 WHEN kind IN (4, 5) THEN 0 ELSE -1 END AS enc_version,
+    CASE WHEN kind IN (0, 5) THEN ms - ms % 1000 ELSE -1 END AS parsed_ms,
+    CASE WHEN kind = 4 THEN 'short_envelope' WHEN kind = 6 THEN 'truncated_ts' ELSE 'ok' END AS decode_status,
+    CASE WHEN kind IN (0, 5) THEN 'parsed' ELSE 'now' END AS ts_source,
+    CASE kind WHEN 1 THEN '<200>1 ' || iso || 'Z ' || props WHEN 2 THEN '<01>' || props WHEN 4 THEN '' WHEN 6 THEN substr(iso, 1, 12)
+      WHEN 3 THEN '<' || n || '>' || v || ' ' || iso || 'Z ' || props ELSE props END AS body
+  FROM damaged
+)
+"""
+
+
+@query(_with(_DAMAGED, """SELECT event_id, CAST(pri AS INTEGER) AS pri, CAST(rfc_version AS INTEGER) AS rfc_version, enc_version, parsed_ms,
+    decode_status, ts_source, body FROM told"""))
+def decode_damaged(spark, sf):
+    """Bad priorities, other envelopes, short envelopes, versions up to 999, cut stamps."""
+    out = wire.decode(damaged_messages(read_events(spark, sf)), YEAR)
+    none = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("pri", "rfc_version", "parsed_ms")]
+    # After an envelope of another version the body starts with its two bytes.
+    skip = F.when(F.col("enc_version") == 1, 3).otherwise(1)
+    body = wire.body_text(F.substring(F.col("body"), skip, F.lit(2**31 - 1)))
+    return out.select("event_id", *none, "enc_version", "decode_status", "ts_source", body.alias("body"))
+
+
+@query(_with(_DAMAGED, """SELECT topic, count(*) FILTER (ts_source = 'now') AS timestamp_errors,
+    count(*) FILTER (kind IN (1, 2)) AS pri_errors FROM told GROUP BY topic"""))
+def parse_errors_damaged(spark, sf):
+    return rp.parse_errors(wire.decode(damaged_messages(read_events(spark, sf)), YEAR))
+
+
+@query(_with(_DAMAGED, """SELECT *, CASE WHEN seconds > 0 THEN consumed // seconds ELSE -1 END AS lines_per_second FROM (
+    SELECT topic, "partition", count(*) AS consumed, count(*) FILTER (decode_status <> 'short_envelope') AS written,
+      (1706661000000 - min(arrival_ms)) // 1000 AS seconds FROM told GROUP BY ALL)"""))
+def partition_rate_damaged(spark, sf):
+    """Consumed and written lines differ by the messages dropped for a short envelope."""
+    decoded = wire.decode(damaged_messages(read_events(spark, sf)), YEAR)
+    return rp.consume_rate(decoded, AS_OF_MS).withColumn("lines_per_second", F.coalesce("lines_per_second", F.lit(-1)))
+
+
 def _layout(spark, sf, text):
     """Decode one timestamp layout rendered for every event."""
     ev = read_events(spark, sf)
@@ -653,6 +700,18 @@ def container_roundtrip(spark, sf):
                       wire.body_text(F.col("message")).alias("body"))
 
 
+@query(_with(_keyed_sql(86_400) + _BLOCKS, f"""SELECT {_label('bucket_ms', '%Y%m%d')} || '/' || topic || '/' || file_name AS file,
+    block_number, CAST(idx AS INTEGER) AS idx, ts_ms, body FROM placed
+    WHERE bucket_ms BETWEEN 1704412800000 AND 1704585600000"""))
+def container_days(spark, sf):
+    """Three days of a landed tree: only their folders are listed and opened."""
+    root = shared_dir(spark, "days")
+    boxes.write_lines(_files(spark, sf), root)
+    out = boxes.read_folders(spark, root, "%y%M%d", 1_704_412_800_000, 1_704_585_600_000, 86_400)
+    name = F.regexp_extract("file", r"([^/]*/[^/]*/[^/]*)$", 1)
+    return out.select(name.alias("file"), "block_number", "idx", "ts_ms", wire.body_text(F.col("message")).alias("body"))
+
+
 @query(_with(_keyed_sql(86_400), f"""SELECT topic, {_label('bucket_ms', '%Y-%m-%d')} AS day, CAST({_label('bucket_ms', '%H')} AS INTEGER) AS hour,
     count(*) AS lines, CAST(sum(strlen(body)) AS BIGINT) AS body_bytes FROM named GROUP BY ALL"""))
 def partitioned_dataset(spark, sf):

@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import lru_cache
 
 import pyarrow as pa
@@ -549,6 +550,28 @@ def read_lines(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -
     return spark.read.format(FORMAT).option("splitBytes", split_bytes).load(_roots(spark, path))
 
 
+def read_folders(
+    spark: SparkSession, root: str, template: str, first_ms: int, last_ms: int, seconds: int = 3600,
+    split_bytes: int = SPLIT_BYTES,
+) -> DataFrame:
+    """Lines of the time folders from ``first_ms`` to ``last_ms``, both included, below ``root``.
+
+    ``template`` names a folder (``%y %M %d %H``); no other folder is listed or opened, and those
+    that do not exist have no lines.
+    """
+    step = seconds * 1000
+    times = range(first_ms - first_ms % step, last_ms + 1, step)
+    folders = dict.fromkeys(_render(template, ms) for ms in times)
+    return read_lines(spark, ",".join(f"{root.rstrip('/')}/{f.strip('/')}" for f in folders), split_bytes)
+
+
+def _render(template: str, ms: int) -> str:
+    at = datetime.fromtimestamp(ms // 1000, timezone.utc)
+    for token, text in (("%y", f"{at.year:04}"), ("%M", f"{at.month:02}"), ("%d", f"{at.day:02}"), ("%H", f"{at.hour:02}")):
+        template = template.replace(token, text)
+    return template
+
+
 def read_container_stats(spark: SparkSession, path: str) -> DataFrame:
     """One row per container block of the landed files, without decoding lines."""
     register(spark)

@@ -117,3 +117,36 @@ def topic_log(events: DataFrame, disturbed: bool = True, slice_ids: int = SLICE_
     return numbered.select(
         "topic", "partition", "offset", "high_watermark", "arrival_seq", "arrival_ms", "event_id", "value"
     )
+
+
+def damaged_messages(events: DataFrame) -> DataFrame:
+    """One message per event in eight forms, half of them damaged; columns as :func:`messages` has them.
+
+    By ``event_id % 8``: RFC form with versions from 2 to 999; a priority out of range; one with a
+    leading zero; an envelope of another version; an envelope cut short; an envelope around an RFC
+    form; a message ended inside its stamp; a priority without a stamp.
+    """
+    ts_ms = ntz_ms(F.col("ts"))
+    wall, event, kind = F.col("ts").cast("string"), F.col("event_id"), F.pmod(F.col("event_id"), F.lit(8))
+    iso = F.concat(F.substring(wall, 1, 10), F.lit("T"), F.substring(wall, 12, 8))
+    pri, version = F.pmod(event, F.lit(192)).cast("string"), (2 + F.pmod(event, F.lit(998))).cast("string")
+
+    def raw(*parts: Column | str) -> Column:
+        return F.encode(F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]), "UTF-8")
+
+    rfc = raw("<", pri, ">", version, " ", iso, "Z ", F.col("props"))
+    envelope = F.unhex(F.concat(F.lit("FE00"), F.lpad(F.hex(ts_ms), 16, "0")))
+    value = (
+        F.when(kind == 0, rfc)
+        .when(kind == 1, raw("<200>1 ", iso, "Z ", F.col("props")))
+        .when(kind == 2, raw("<01>", F.col("props")))
+        .when(kind == 3, F.concat(F.unhex(F.lit("FE01")), rfc))
+        .when(kind == 4, F.unhex(F.lit("FE00000001")))
+        .when(kind == 5, F.concat(envelope, rfc))
+        .when(kind == 6, raw("<", pri, ">1 ", F.substring(iso, 1, 12)))
+        .otherwise(raw("<", pri, ">", F.col("props")))
+    )
+    return events.select(
+        "event_id", F.col("event_type").alias("topic"), F.pmod(F.col("user_id"), F.lit(PARTITIONS)).cast("int").alias("partition"),
+        (ts_ms + ARRIVAL_DELAY_MS).alias("arrival_ms"), value.alias("value"),
+    )

@@ -180,3 +180,16 @@ def test_files_of_killed_attempts_are_swept(spark, tmp_path):
     (root / "_tmp_other.bm.dead").write_bytes(b"half")
     boxes.write_lines(lines, str(root))
     assert sorted(p.name for p in root.iterdir()) == ["_tmp_other.bm.dead", name]
+
+
+def test_only_the_asked_folders_are_opened(spark, tmp_path):
+    root = str(tmp_path / "tree")
+    rows = [("t", 0, i, i, 0, i * 86_400_000, bytearray(b"day%d" % i)) for i in range(6)]
+    lines = keyed(spark, rows, seconds=86_400).withColumn("file", F.concat(F.lit("1970010"), (F.col("bucket_ms") / 86_400_000 + 1).cast("int"), F.lit("/"), "file_name"))
+    boxes.write_lines(lines, root)
+    for day in (1, 5):                      # files of other days cannot be read any more
+        path, = glob.glob(f"{root}/1970010{day}/*.bm")
+        open(path, "wb").write(b"broken")
+    got = boxes.read_folders(spark, root, "%y%M%d", 86_400_000, 2 * 86_400_000, 86_400).collect()
+    assert sorted(bytes(r.message) for r in got) == [b"day1", b"day2"]
+    assert boxes.read_folders(spark, root, "%y%M%d/%H", 10**12, 10**12).count() == 0
