@@ -81,6 +81,13 @@ def _slices(log: DataFrame, slice_rows: int) -> DataFrame:
     return log.withColumn("roll", int_div(F.col("arrival_seq"), slice_rows))
 
 
+def _floors(rows: DataFrame, start: DataFrame | int) -> DataFrame:
+    """``_floor`` per slice: what its first row expects by the plain rule."""
+    tops = rows.groupBy(*_SLICE).agg(F.max("offset").alias("_top"))
+    seen = tops.select(*_SLICE, F.max("_top").over(before(TP, "roll")).alias("_seen"))
+    return _with_start(seen, start).select(*_SLICE, F.greatest("_start", F.col("_seen") + 1).alias("_floor"))
+
+
 def _status(offset: Column, expected: Column, watermark: Column) -> Column:
     return (
         F.when(offset > expected, "gap")
@@ -111,13 +118,9 @@ def offset_audit(log: DataFrame, start: DataFrame | int = 0, slice_rows: int = R
     watermark is not known (NULL), a row behind the expectation is plainly ``early``.
     """
     rows = _slices(log, slice_rows)
-    tops = rows.groupBy(*_SLICE).agg(F.max("offset").alias("_top"))
-    seeds = _with_start(
-        tops.select(*_SLICE, F.max("_top").over(before(TP, "roll")).alias("_seen")), start
-    ).select(*_SLICE, F.greatest("_start", F.col("_seen") + 1).alias("_floor"))
     earlier = F.max("offset").over(before(_SLICE, "arrival_seq"))
     return _verdict(
-        rows.join(seeds, _SLICE)
+        rows.join(_floors(rows, start), _SLICE)
         .withColumn("expected", F.greatest("_floor", earlier + 1))
         .drop("_floor")
     )
@@ -182,7 +185,7 @@ def _compose(offsets, watermarks) -> tuple[bool, int, int, int]:
 
 def _summarise(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("arrival_seq")
-    summary = _compose(rows["offset"].tolist(), rows["high_watermark"].tolist())
+    summary = _compose(rows["offset"].tolist(), rows["_known"].tolist())
     return pd.DataFrame([(*key, *summary)], columns=[*_SLICE, "_step", "_a", "_b", "_t"])
 
 
@@ -195,13 +198,15 @@ def _walk_slices(key: tuple, slices: pd.DataFrame) -> pd.DataFrame:
     return slices[_SLICE].assign(_entry=entry)
 
 
-def _replay(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _resets(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows of a slice at which the expectation drops to the watermark."""
     rows = rows.sort_values("arrival_seq")
-    e, expected = int(rows["_entry"].iloc[0]), []
-    for o, h in zip(rows["offset"].tolist(), rows["high_watermark"].tolist()):
-        expected.append(e)
+    e, found = int(rows["_entry"].iloc[0]), []
+    for seq, o, h in zip(rows["arrival_seq"].tolist(), rows["offset"].tolist(), rows["_known"].tolist()):
+        if e > o and e > h:
+            found.append((*key, seq, h))
         e = _advance(e, o, h)
-    return rows[[*_SLICE, "arrival_seq"]].assign(expected=expected)
+    return pd.DataFrame(found, columns=[*_SLICE, "_seq", "_to"])
 
 
 def sink_to_high_watermark(
@@ -211,23 +216,39 @@ def sink_to_high_watermark(
 
     Same columns as :func:`offset_audit`; a row that triggers the reset has status
     ``beyond_hw`` and the watermark as ``next_offset``.  An unknown watermark (NULL) never
-    resets.  Only the five narrow columns the state needs pass through Python, one bounded
-    slice at a time.
+    resets.
+
+    The plain expectation is never below the sinking one, so slices in which it stays within
+    the watermark cannot reset and are summed up by built-in functions.  Only the narrow
+    columns of the other slices are walked in Python, and what comes back is their reset
+    points.  Between two of those the plain rule holds again, so the wide rows are joined on
+    their slice alone, as in the plain audit.
     """
-    rows = _slices(log, slice_rows)
-    known = F.coalesce("high_watermark", F.lit(_HIGH)).alias("high_watermark")
-    narrow = rows.select(*_SLICE, "arrival_seq", "offset", known)
+    rows = _slices(log, slice_rows).withColumn("_known", F.coalesce("high_watermark", F.lit(_HIGH)))
+    narrow = rows.select(*_SLICE, "arrival_seq", "offset", "_known")
     types = narrow.schema
     key_ddl = ", ".join(f"{c} {types[c].dataType.simpleString()}" for c in _SLICE)
-    summaries = narrow.groupBy(*_SLICE).applyInPandas(
-        _summarise, f"{key_ddl}, _step boolean, _a long, _b long, _t long"
+    earlier = F.max("offset").over(before(_SLICE, "arrival_seq"))
+    plain = narrow.join(_floors(narrow, start), _SLICE).withColumn("_plain", F.greatest("_floor", earlier + 1))
+    sums = plain.groupBy(*_SLICE).agg(F.max("offset").alias("_top"), F.bool_or(F.col("_plain") > F.col("_known")).alias("_risky"))
+    calm = sums.filter("NOT _risky").select(
+        *_SLICE, F.lit(False).alias("_step"), (F.col("_top") + 1).alias("_a"), F.lit(_HIGH).alias("_b"), F.lit(0).cast("long").alias("_t"))
+    risky = narrow.join(sums.filter("_risky").select(*_SLICE), _SLICE, "left_semi")
+    walked = risky.groupBy(*_SLICE).applyInPandas(_summarise, f"{key_ddl}, _step boolean, _a long, _b long, _t long")
+    entries = _with_start(calm.unionByName(walked), start).groupBy(*TP).applyInPandas(_walk_slices, f"{key_ddl}, _entry long")
+    points = (
+        risky.join(entries, _SLICE).groupBy(*_SLICE).applyInPandas(_resets, f"{key_ddl}, _seq long, _to long")
+        .groupBy(*_SLICE).agg(F.array_sort(F.collect_list(F.struct("_seq", "_to"))).alias("_points"))
     )
-    entries = _with_start(summaries, start).groupBy(*TP).applyInPandas(_walk_slices, f"{key_ddl}, _entry long")
-    expected = (
-        narrow.join(entries, _SLICE).groupBy(*_SLICE)
-        .applyInPandas(_replay, f"{key_ddl}, arrival_seq long, expected long")
+    placed = rows.join(entries.join(points, _SLICE, "left"), _SLICE)
+    passed = F.filter("_points", lambda p: p["_seq"] < F.col("arrival_seq"))
+    stretch = F.when(F.col("_points").isNull(), 0).otherwise(F.size(passed))
+    base = F.when(F.col("_stretch") == 0, F.col("_entry")).otherwise(F.get("_points", F.col("_stretch") - 1)["_to"])
+    seen = F.max("offset").over(before([*_SLICE, "_stretch"], "arrival_seq"))
+    audited = _verdict(
+        placed.withColumn("_stretch", stretch).withColumn("expected", F.greatest(base, seen + 1))
+        .drop("_entry", "_points", "_stretch", "_known")
     )
-    audited = _verdict(rows.join(expected, [*_SLICE, "arrival_seq"]))
     sunk = F.col("status") == "beyond_hw"
     return audited.withColumn(
         "next_offset", F.when(sunk, F.col("high_watermark")).otherwise(F.col("next_offset"))

@@ -120,3 +120,11 @@ def test_audit_windows_are_sliced(spark):
     assert len(windows) == 2
     row_level = [w for w in windows if "max(offset" in w]
     assert row_level and all("roll" in w.split("],")[1] for w in row_level)
+
+
+def test_sinking_joins_wide_rows_on_their_slice_only(spark, sf_dir):
+    from logharbor import catalog as c
+
+    plan = c.of.sink_to_high_watermark(c._log(spark, sf_dir).drop("event_id"))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("arrival_seq" in e.split("]")[0].split("ENSURE")[0] for e in exchanges)
