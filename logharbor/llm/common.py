@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,18 +58,3 @@ def unsigned_crc32(text: Column) -> Column:
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """``crc32(doc_id as text) mod modulus``; null for a null id."""
     return F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(modulus))
-
-
-def per_row(columns: list[str], fn: Callable, batch_schema) -> Callable[[Iterator], Iterator]:
-    """A ``mapInArrow`` function from ``fn``, which maps the lists of ``columns`` to output lists."""
-    import pyarrow as pa
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = fn(*[batch.column(c) for c in columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, f.type) if isinstance(v, list) else v for v, f in zip(out, batch_schema)],
-                    schema=batch_schema)
-
-    return run

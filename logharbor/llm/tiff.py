@@ -147,11 +147,6 @@ def lzw_decode(data: bytes) -> bytes:
             for code in ((words >> (24 - width - (bit & 7))) & ((1 << width) - 1)).tolist():
                 used += 1
                 if code == CLEAR:
-                    if last is None and width == 9:
-                        used_clear = used
-                        at += used_clear * width
-                        ended = True
-                        break
                     at += used * width
                     ended = True
                     break
