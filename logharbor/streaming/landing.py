@@ -101,7 +101,8 @@ def land_batch(batch: DataFrame, batch_id: int, configs: DataFrame, options: Lan
 
     The expected offsets are those the previous batch left, file names come from the lines,
     and the batch's ledger rows have folders of their own that are replaced.  The ledger
-    belongs to the stream's checkpoint, as batch numbers do.
+    belongs to the stream's checkpoint, as batch numbers do.  A job without a stream lands the
+    same way, with the number of its run.
     """
     spark = batch.sparkSession
     start = _starts(spark, batch_id, options)
