@@ -34,7 +34,7 @@ SAMPLE = 4096           # vectors the centroids are fitted on, at most
 CELL_ROWS = 4096        # vectors per cell wanted, over all labels
 MAX_CELLS = 1024
 ROUNDS = 8
-BLOCK = 512
+BLOCK = 2048
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 5) -> np.ndarray:
