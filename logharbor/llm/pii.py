@@ -41,7 +41,6 @@ PRECISION = 0.99                # wanted among held-out candidates above a kind'
 LEAST = 0.8                     # which is never below this probability
 CONTEXT = 32                    # characters before a span in which key words count
 OWN_NUMBER = 13         # digits from which a group is taken for a number of its own
-MAX_GROUPS = 8                  # digit groups in one candidate
 
 # The rules of the base spans.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -80,7 +79,8 @@ def valid(kind: str, text: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(int(p) <= 255 for p in text.split(".") if len(p) <= 400) and all(len(p) <= 400 for p in text.split("."))
+        parts = [p.lstrip("0") for p in text.split(".")]
+        return all(len(p) <= 3 and int(p or "0") <= 255 for p in parts)
     digits = only_digits(text)
     return 16 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 8 <= len(digits) <= 15
 
@@ -122,7 +122,7 @@ def candidates(text: str) -> set[tuple[str, int, int]]:
         groups = [(m.start() + g.start(), m.start() + g.end()) for g in DIGITS.finditer(m.group())]
         for i in range(len(groups)):
             size = 0
-            for j in range(i, min(len(groups), i + MAX_GROUPS)):
+            for j in range(i, len(groups)):
                 size += groups[j][1] - groups[j][0]
                 if size > 19:
                     break
@@ -131,9 +131,9 @@ def candidates(text: str) -> set[tuple[str, int, int]]:
     if "+" in text:
         for m in PHONE.finditer(text):
             size = 0
-            for k, g in enumerate(DIGITS.finditer(m.group())):
+            for g in DIGITS.finditer(m.group()):
                 size += g.end() - g.start()
-                if size > 17 or k > MAX_GROUPS:
+                if size > 17:
                     break
                 if size >= 7:
                     out.add(("phone", m.start(), m.start() + g.end()))
