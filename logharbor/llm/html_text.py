@@ -5,13 +5,15 @@ how many different pages of a host each hash occurs, and subtrees that recur acr
 are template and are deleted, as are elements that are never article text (menus, forms, scripts,
 asides, marked adverts or comments, ...). What remains of the article is the text.
 
-A page's content roots are its articles, else its main element, else the element marked as
-content, else its body. Inside a marked root recurring paragraphs are an author's own (copies of
-an article stay whole); there only recurring link lists are deleted.
-
-Counts are per host over all pages, equal pages counting once. A host's list of recurring hashes
-is bounded: each is in a fifth of its pages, so there are at most five times as many as a page
-has elements. Rows with a null or empty html have no text; a null or strange url puts the page on
+A page's content roots are its outermost articles and its main elements (a main with text of its
+own besides its articles is one root with them), else the outermost elements marked as content,
+else its body. Recurring blocks are deleted inside roots too, with one exception: bare paragraphs and
+headings of an article, list items, cells and inline elements are an author's own and stay there.
+
+A subtree counts once per distinct article or root it lies in (outside roots: per distinct page), so
+copies of an article or a page count once. The count needed does not grow with the host. A page's
+recurring hashes are found by a join, so there is no list per host.
+Rows with a null or empty html have no text; a null or strange url puts the page on
 a host of its own name (the empty host is never counted). Repeated rows give repeated results.
 """
 
@@ -28,8 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, stored
 
-MIN_PAGES = 5           # a template subtree is in as many different pages of the host, at least,
-MIN_SHARE = 0.2         # and in this share of them
+MIN_PAGES = 5           # a template subtree is in as many different roots or pages of the host, at least
 
 # Fixed values of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +56,9 @@ MARK_STEMS = ("advert", "breadcrumb", "comment", "cookie", "navbar", "newsletter
 PAGE_MARKS = frozenset("header logo topbar".split())        # of the page's frame; inside an article they may hold its title
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 CONTENT = frozenset("article content entry main post story".split())
+HEADED = frozenset("p h1 h2 h3 h4 h5 h6".split())
+PARTS = frozenset("li dt dd tr td th thead tbody tfoot article main".split())
+SENTENCES = HEADED | frozenset("li dt dd td th blockquote pre figcaption".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
@@ -177,28 +181,46 @@ def hash_subtrees(root: Node) -> None:
         node.hash = xxhash.xxh64_intdigest("\x1f".join(parts)) - (1 << 63)
 
 
+def is_main(node: Node) -> bool:
+    return node.tag == "main" or node.attributes.get("role", "").lower() == "main"
+
+
 def content_roots(root: Node) -> list[Node]:
-    """The elements that hold the page's own text, and nothing of each other."""
-    articles, mains, marked = [], [], []
-    stack: list[tuple[Node, bool]] = [(root, False)]
+    """The elements that hold the page's own text in page order, and nothing of each other."""
+    found: list[tuple[Node, Node | None]] = []
+    marked: list[Node] = []
+    stack: list[tuple[Node, bool, Node | None, bool]] = [(root, False, None, False)]
     while stack:
-        node, inside = stack.pop()
+        node, inside, main, within = stack.pop()
         if node is not root and never_text(node, inside):
             continue
         if node.tag == "article" and not inside:
-            articles.append(node)
+            found.append((node, main))
             inside = True
-        elif node.tag == "main" or node.attributes.get("role", "").lower() == "main":
-            mains.append(node)
-        elif node.tag in ("div", "section") and _marks(node.attributes) & CONTENT or \
-                node.attributes.get("itemprop", "").lower() == "articlebody":
+        elif is_main(node) and not inside and main is None:
+            found.append((node, None))
+            main = node
+        elif not within and (node.tag in ("div", "section") and _marks(node.attributes) & CONTENT or
+                             node.attributes.get("itemprop", "").lower() == "articlebody"):
             marked.append(node)
-        stack += [(c, inside) for c in reversed(node.children) if isinstance(c, Node)]
-    if articles:
-        return articles
-    if mains:
-        return mains[:1]
-    return [max(marked, key=lambda n: len(text_of(n, frozenset(), True)))] if marked else []
+            within = True
+        stack += [(c, inside, main, within) for c in reversed(node.children) if isinstance(c, Node)]
+    whole = {id(n) for n, _ in found if n.tag != "article" and has_own_text(n)}
+    roots = [n for n, main in found if id(n) in whole or n.tag == "article" and id(main) not in whole]
+    return roots or [n for n, _ in found] or marked
+
+
+def has_own_text(main: Node) -> bool:
+    """Whether a main element has text besides its articles."""
+    stack: list[Node | str] = [main]
+    while stack:
+        item = stack.pop()
+        if isinstance(item, str):
+            if item.strip():
+                return True
+        elif item is main or item.tag != "article" and not never_text(item, True):
+            stack += item.children
+    return False
 
 
 def text_of(node: Node, recurring: frozenset[int], in_content: bool) -> str:
@@ -212,14 +234,14 @@ def text_of(node: Node, recurring: frozenset[int], in_content: bool) -> str:
             blocks.append(text)
         line.clear()
 
-    stack: list[Node | str | None] = [node]
+    stack: list[tuple[Node | str | None, bool]] = [(node, False)]
     while stack:
-        item = stack.pop()
+        item, in_article = stack.pop()
         if item is None:
             close()
         elif isinstance(item, str):
             line.append(item)
-        elif item is not node and (never_text(item, in_content) or item.hash in recurring and deletable(item, in_content)):
+        elif item is not node and (never_text(item, in_content) or item.hash in recurring and deletable(item, in_content, in_article)):
             if item.tag in BLOCKS:
                 close()
         elif item.tag == "br":
@@ -227,18 +249,24 @@ def text_of(node: Node, recurring: frozenset[int], in_content: bool) -> str:
         else:
             if item.tag in BLOCKS:
                 close()
-                stack.append(None)
-            stack += reversed(item.children)
+                stack.append((None, False))
+            inside = in_article or item.tag == "article"
+            stack += [(c, inside) for c in reversed(item.children)]
     close()
     return " ".join(blocks)
 
 
-def deletable(node: Node, in_content: bool) -> bool:
-    """Whether a recurring subtree goes: outside a marked root always, inside it if it is mostly links."""
+def deletable(node: Node, in_content: bool, in_article: bool) -> bool:
+    """Whether a recurring subtree goes; parts of an author's sentences, lists and tables do not."""
     if not in_content:
+        return node.tag in BLOCKS or node.parent.tag in BLOCKS and node.parent.tag not in SENTENCES
+    if node.tag in BLOCKS and node.tag not in PARTS and \
+            not (in_article and node.tag in HEADED and not node.attributes.get("class") and not node.attributes.get("id")):
         return True
-    if node.tag not in ("div", "section", "ul", "ol", "table", "p"):
-        return False
+    return node.tag == "p" and mostly_links(node)
+
+
+def mostly_links(node: Node) -> bool:
     text = links = 0
     stack: list[tuple[Node | str, bool]] = [(node, False)]
     while stack:
@@ -264,13 +292,26 @@ def main_text(source: str | None, recurring: frozenset[int] = frozenset()) -> st
     return " ".join(t for t in (text_of(r, recurring, True) for r in roots) if t)
 
 
-def subtree_hashes(source: str | None) -> list[int]:
-    """The distinct hashes of a page's elements; html and body, which are the page, are left out."""
+def subtree_hashes(source: str | None) -> list[tuple[int, int]]:
+    """The distinct hashes of a page's elements, each with that of the outermost article, root or page it is in.
+
+    html and body, which are the page, are left out.
+    """
     if not source:
         return []
     root = parse(source)
     hash_subtrees(root)
-    return sorted({n.hash for n in walk(root) if n.tag not in ("html", "body", "head", "br")})
+    roots = {id(n) for n in content_roots(root)}
+    out: set[tuple[int, int]] = set()
+    stack: list[tuple[Node, int, bool]] = [(root, root.hash, False)]
+    while stack:
+        node, owner, in_article = stack.pop()
+        if node.tag not in ("html", "body", "head", "br"):
+            out.add((node.hash, owner))
+        if not in_article and (node.tag == "article" or id(node) in roots):
+            owner, in_article = node.hash, node.tag == "article"
+        stack += [(c, owner, in_article) for c in node.children if isinstance(c, Node)]
+    return sorted(out)
 
 
 # --- on tables ---------------------------------------------------------------------------------
@@ -280,44 +321,39 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def host_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, recurring``: the hashes of each host's template subtrees, a stored table."""
+def page_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host, page, recurring`` of ``pages (host, page, html)``: the template subtrees of each page that has some, a stored table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [subtree_hashes(h.as_py()) for h in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))],
-                                             names=["host", "page", "hashes"])
+            lists = [pa.array([[pair[k] for pair in pairs] for pairs in found], pa.list_(pa.int64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["host", "page", "hashes", "owners"])
 
-    hashed = small_batches(pages.select("host", F.xxhash64("html").alias("page"), "html").filter("host <> ''")).mapInArrow(
-        run, "host string, page bigint, hashes array<bigint>")
-    once = stored(hashed.groupBy("host", "page").agg(F.first("hashes").alias("hashes")), "subtrees")
-    sizes = once.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = once.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")) \
-        .filter(F.col("n") >= min_pages)
-    many = counts.join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages"))
-    return stored(many.groupBy("host").agg(F.collect_set("hash").alias("recurring")), "templates")
+    hashed = small_batches(pages.filter("host <> ''").select("host", "page", "html")).mapInArrow(
+        run, "host string, page bigint, hashes array<bigint>, owners array<bigint>")
+    firsts = [F.first(c).alias(c) for c in ("hashes", "owners")]
+    once = stored(hashed.groupBy("host", "page").agg(*firsts), "subtrees")
+    owned = once.select("host", F.explode(F.arrays_zip("hashes", "owners")).alias("_s")).select(
+        "host", F.col("_s.hashes").alias("hash"), F.col("_s.owners").alias("owner")).distinct()
+    many = stored(owned.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages).select("host", "hash"), "recurring")
+    found = once.select("host", "page", F.explode(F.array_distinct("hashes")).alias("hash")).join(many, ["host", "hash"])
+    return stored(found.groupBy("host", "page").agg(F.collect_list("hash").alias("recurring")), "templates")
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages (page_id, url, html)``."""
     types = dict(pages.dtypes)
-    named = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    joined = named.join(host_templates(named.select("host", "html"), min_pages, min_share), "host", "left")
+    named = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("page"))
+    joined = named.join(page_templates(named, min_pages), ["host", "page"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[str, frozenset[int]] = {}
         for batch in batches:
-            texts = []
-            for host, html, hashes in zip(batch.column("host").to_pylist(), batch.column("html"), batch.column("recurring")):
-                if host not in sets:
-                    if len(sets) > 1000:
-                        sets.clear()
-                    sets[host] = frozenset(hashes.as_py() or ())
-                texts.append(main_text(html.as_py(), sets[host]))
+            texts = [main_text(html.as_py(), frozenset(hashes.as_py() or ()))
+                     for html, hashes in zip(batch.column("html"), batch.column("recurring"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    return small_batches(joined.select("page_id", "url", "html", "host", "recurring")).mapInArrow(
+    return small_batches(joined.select("page_id", "url", "html", "recurring")).mapInArrow(
         run, f"page_id {types['page_id']}, url string, text string, n_chars bigint")
