@@ -3,9 +3,9 @@
 A fingerprint of ``bits`` bits has a byte at each of its positions. Two fingerprints within
 ``radius`` bits differ in at most ``radius`` bytes, so at least ``bytes - radius`` positional
 bytes are shared: the guaranteed count. The postings are keyed by three positional bytes, for a
-family of position triples of which every set of the guaranteed size holds one. Pairs that meet
-in a posting are tallied over all indexed positions, those below the guaranteed count are
-dropped, and the rest is verified on all bits.
+family of position triples of which every set of the guaranteed size holds one. The triple key
+replaces the count filter: pairs that meet in a posting are verified on all bits, and the tally of
+their bytes afterwards drops none at this radius.
 
 With 64 bits and radius 3 five of eight bytes are shared, three of them in one half of the
 fingerprint: the eight triples inside the halves lose no pair (``HALVES``). For wider radii
