@@ -38,3 +38,14 @@ def kept_of(spark, pairs):
 def test_no_pair_from_080_to_090_is_lost(spark, words):
     pairs = planted(np.random.default_rng(words[0]), 0.8, 0.9, 300, words)
     assert kept_of(spark, pairs) == {2 * k for k in range(300)}
+
+
+def test_no_pair_below_080_is_deleted(spark):
+    """Nor texts that only share a passage, however often each repeats it."""
+    rng = np.random.default_rng(5)
+    pairs = planted(rng, 0.66, 0.8, 300, (250, 350))
+    for _ in range(40):
+        passage = rng.integers(0, 1 << 40, 44)
+        pairs.append(tuple(text_of(np.concatenate([*[passage] * 10, rng.integers(0, 1 << 40, 400)])) for _ in range(2)))
+    assert all(similarity(*p) < 0.2 for p in pairs[300:])
+    assert len(kept_of(spark, pairs)) == 680
