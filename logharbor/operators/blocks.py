@@ -13,7 +13,7 @@ from .files import FILE_KEY
 
 CAP_BYTES = 1_048_535       # room for lines in one block
 LINE_RESERVE = 20           # a line may need two ten-byte numbers in front of it
-SPAN_BYTES = 16 << 20       # an oversize second is cut at least this often
+SPAN_BYTES = 16 << 20       # bytes of an oversize second gathered in one row
 
 
 def _cuts(lines: Column, cap: int, max_lines: int | None) -> Column:
@@ -24,7 +24,7 @@ def _cuts(lines: Column, cap: int, max_lines: int | None) -> Column:
     )
 
     def step(acc: Column, line: Column) -> Column:
-        full = F.lit(cap) - acc["used"] < F.length(line["body"]) + LINE_RESERVE
+        full = F.lit(cap) - acc["used"] < line["size"] + LINE_RESERVE
         if max_lines is not None:
             full = full | (acc["held"] >= max_lines)
         fresh = (acc["pos"] == 0) | full
@@ -54,8 +54,8 @@ def log_blocks(
 
     Everything groups by the file key, which is bounded because files roll, so one shuffle
     serves the windows, the grouping and the numbering.  A second heavier than
-    ``span_bytes`` is also cut at that mark, which bounds what one group collects (writers
-    flush on a timer, so where a long second is cut carries no meaning; line order does).
+    ``span_bytes`` is gathered in several rows; the cut goes by the costs and lengths of all
+    its lines up to there, so blocks do not depend on that mark.
     """
     key = list(file_key)
     arrival = Window.partitionBy(*key).orderBy("arrival_seq")
@@ -82,12 +82,20 @@ def log_blocks(
     packed = spans.groupBy(*key, *keep, "_run", "_span", F.col("_second").alias("second")).agg(
         F.array_sort(F.collect_list("_line")).alias("_lines"), F.sum("_line.cost").alias("_cost")
     )
-    all_lines, size = F.col("_lines"), F.size("_lines")
-    fits = F.col("_cost") <= cap_bytes - LINE_RESERVE
+    run = Window.partitionBy(*key, "_run")
+    narrow = F.transform("_lines", lambda x: F.struct(x["cost"].alias("cost"), F.length(x["body"]).alias("size")))
+    packed = packed.withColumn("_heavy", F.max("_span").over(run) > 0)
+    ahead = F.collect_list(F.when(F.col("_heavy"), narrow)).over(run.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1))
+    packed = packed.withColumn("_ahead", F.flatten(ahead))
+    all_lines, size, offset = F.col("_lines"), F.size("_lines"), F.size("_ahead")
+    fits = ~F.col("_heavy") & (F.col("_cost") <= cap_bytes - LINE_RESERVE)
     if max_lines is not None:
         fits = fits & (size <= max_lines)
-    cuts = F.when(fits, F.array(F.lit(0))).otherwise(_cuts(all_lines, cap_bytes, max_lines))
-    bounded = packed.withColumn("_cuts", cuts)
+    cuts = F.when(fits, F.array(F.lit(0))).otherwise(_cuts(F.concat("_ahead", narrow), cap_bytes, max_lines))
+    bounded = packed.withColumn("_all", cuts).withColumns({
+        "_cuts": F.concat(F.array(F.lit(0)), F.transform(F.filter("_all", lambda c: c > offset), lambda c: c - offset)),
+        "_first": F.size(F.filter("_all", lambda c: c <= offset)) - 1,
+    })
     parts = F.transform(
         F.col("_cuts"),
         lambda c, i: F.slice(
@@ -95,8 +103,11 @@ def log_blocks(
             F.coalesce(F.get(F.col("_cuts"), i + 1), size) - c,
         ),
     )
-    blocks = bounded.select(*key, *keep, "_run", "_span", "second", F.posexplode(parts).alias("_part", "_block"))
-    number = F.row_number().over(Window.partitionBy(*key).orderBy("_run", "_span", "_part")) - 1
+    pieces = bounded.select(*key, *keep, "_run", "_span", "second", "_first", F.posexplode(parts).alias("_part", "_lines"))
+    # A block may begin in one row of a heavy second and end in the next.
+    blocks = pieces.groupBy(*key, *keep, "_run", "second", (F.col("_first") + F.col("_part")).alias("_place")).agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_span", "_lines"))), lambda x: x["_lines"])).alias("_block"))
+    number = F.row_number().over(Window.partitionBy(*key).orderBy("_run", "_place")) - 1
     return blocks.select(
         *key, *keep, "second",
         F.col("_block")[0]["arrival_ms"].alias("create_time"),

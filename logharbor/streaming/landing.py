@@ -33,8 +33,8 @@ class LandingOptions:
     from what the batch before stored, so an override is used once.
 
     ``roll_rows`` bounds a file: it rolls at every so many arrival positions of its partition.
-    ``span_bytes`` bounds what one group of lines gathers: a second heavier than that is also cut
-    at each such mark.
+    ``span_bytes`` bounds what one group of lines gathers: a second heavier than that is
+    gathered in several rows, which does not change its blocks.
     """
 
     root: str
