@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, html_text, langid, mixing, pii, quality, sharding, simhash, tiff
+from . import bpe, embeddings, html_text, langid, merkle, mixing, periodic, pii, quality, sharding, simhash, suffix, tiff
 from .common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,109 @@ FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN degree ON degree.a
 def op10_spherical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and groups of all vectors at cosine 0.98."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query("""
+WITH RECURSIVE
+crc_step(i, c, step) AS (
+  SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, step + 1 FROM crc_step WHERE step < 8
+),
+crc_table AS (SELECT list(c ORDER BY i) AS tab FROM crc_step WHERE step = 8),
+docs AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT) % 3 = 0 AS hit
+  FROM documents, crc_table
+),
+fields AS (
+  SELECT doc_id, lang, hit, text,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+  FROM docs
+),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(text) || ':' || CASE WHEN hit
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS tampered
+  FROM fields
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves),
+built(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY idx) FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, [sha256(array_to_string(nodes[k * 8 + 1:k * 8 + 8], '')) FOR k IN range(0, (len(nodes) + 7) // 8)]
+  FROM built WHERE len(nodes) > 1
+),
+subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM built WHERE len(nodes) = 1
+),
+top(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY place) FROM subroots
+  UNION ALL
+  SELECT level + 1, [sha256(array_to_string(nodes[k * 8 + 1:k * 8 + 8], '')) FOR k IN range(0, (len(nodes) + 7) // 8)]
+  FROM top WHERE len(nodes) > 1
+),
+levels AS (
+  SELECT s.lang, list(b.nodes ORDER BY b.level) FILTER (len(b.nodes) > 1) AS lists
+  FROM subroots s JOIN built b ON b.lang IS NOT DISTINCT FROM s.lang GROUP BY s.lang
+),
+tops AS (SELECT list(nodes ORDER BY level) FILTER (len(nodes) > 1) AS lists, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root FROM top),
+paths AS (
+  SELECT p.doc_id, p.leaf, p.tampered, s.subroot, t.root,
+    list_concat(
+      [{'run': l[i][((p.idx >> (3 * (i - 1))) // 8) * 8 + 1:((p.idx >> (3 * (i - 1))) // 8) * 8 + 8], 'at': (p.idx >> (3 * (i - 1))) % 8}
+        FOR i IN range(1, len(l) + 1)],
+      [{'run': u[i][((s.place >> (3 * (i - 1))) // 8) * 8 + 1:((s.place >> (3 * (i - 1))) // 8) * 8 + 8], 'at': (s.place >> (3 * (i - 1))) % 8}
+        FOR i IN range(1, len(u) + 1)]) AS steps
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+  JOIN (SELECT lang AS k, coalesce(lists, []) AS l FROM levels) v ON v.k IS NOT DISTINCT FROM p.lang,
+  (SELECT coalesce(lists, []) AS u, root FROM tops) t
+),
+sided AS (
+  SELECT * EXCLUDE steps, list_transform(steps, lambda s: [array_to_string(s.run[1:s.at], ''), array_to_string(s.run[s.at + 2:8], '')]) AS sides FROM paths
+),
+folded AS (
+  SELECT *, list_reduce(list_prepend([tampered], sides), lambda h, s: [sha256(s[1] || h[1] || s[2])])[1] AS folded_root FROM sided
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(sides, lambda s: s[1] || s[2]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM folded
+""")
+def op11_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, and what changed texts fold to."""
+    found = merkle.proofs(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def with_planted_run(documents: DataFrame) -> DataFrame:
+    """``text`` of a tenth of the documents becomes periodic from some word on (the contract of ``op12``)."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.filter(F.split("text", "[ \\x09-\\x0D]+"), lambda w: w != "")
+    n, g = F.size("_words"), F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    place = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+    planted = F.array_join(F.transform(place, lambda i: F.get("_words", i.cast("int"))), " ")
+    split = documents.select("doc_id", "text", F.when(h % 10 == 0, words).alias("_words"))
+    return split.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents, and the texts without the repeats."""
+    found = periodic.with_runs(with_planted_run(table(spark, sf_dir, "documents")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = F.col("_best")
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    return found.withColumn("_best", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), (-best["less"]).alias("length"),
+        best["period"].alias("period"), F.floor(-best["less"] * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+
+
+@query()
+def op13_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of repeated 200-byte strings."""
+    found = suffix.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
