@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyarrow import fs as pafs
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +24,11 @@ from .operators import reports as rp
 from .operators.common import TP
 from .operators.files import FILE_KEY, file_keys, skew
 from .plans import jobs
-from .session import shared_dir, stored
+from .session import qualified, shared_dir, stored
 from .sources import containers as boxes
-from .sources import datasets, markers, topic_log as tl
+from .sources import datasets, manifests as mf, markers, topic_log as tl
 from .sources.events_log import YEAR, damaged_messages, messages, read_events, topic_log
-from .streaming import landing
+from .streaming import landing, sink
 
 AS_OF_MS = 1_706_661_000_000        # 2024-01-31 00:30 UTC, just after the last event
 UNCONFIGURED = "signup"
@@ -785,6 +787,48 @@ def compression_pct(spark, sf):
     return rp.compression_pct(_landed_stats(spark, sf))
 
 
+def _manifest_tree(spark, sf, level):
+    root = shared_dir(spark, "manifest")
+    mf.write_lines(_files(spark, sf), root, level=level, key="landing")
+    return root
+
+
+@query(ORACLES["bytes_by_topic"])
+def manifest_bytes(spark, sf):
+    """Sizes from the side files that the writers' tasks left; no container is opened."""
+    root = _manifest_tree(spark, sf, 0)
+    mf.write_lines(_files(spark, sf), root, level=0, key="landing")        # the same job again: nothing is added
+    return rp.bytes_written(rp.with_topic(mf.container_stats(spark, root)))
+
+
+@query(_with(_BOXES, """SELECT b.topic, count(*) AS containers, sum(raw)::BIGINT AS raw_bytes, any_value(n) AS lines, true AS smaller, true AS as_on_disk
+    FROM boxes b JOIN (SELECT topic, count(*) AS n FROM placed GROUP BY topic) USING (topic) GROUP BY b.topic"""))
+def manifest_deflated(spark, sf):
+    """Statistics of deflated containers: what SQL can tell of them, and whether they agree with the containers read back."""
+    root = _manifest_tree(spark, sf, 6)
+    told = rp.with_topic(mf.container_stats(spark, root)).groupBy("topic").agg(
+        F.count("*").alias("containers"), F.sum("raw_bytes").alias("raw_bytes"), F.sum("lines").alias("lines"),
+        F.sum("compressed_bytes").alias("_packed"))
+    files = boxes.read_container_stats(spark, root).withColumn("file", F.regexp_replace("file", r"\.[0-9a-f]{32}-\d+", ""))
+    found = rp.with_topic(files).groupBy("topic").agg(
+        F.sum("compressed_bytes").alias("_found"), F.sum("raw_bytes").alias("_raw"), F.count("*").alias("_boxes"))
+    return told.join(found, "topic").select(
+        "topic", "containers", "raw_bytes", "lines", (F.col("_packed") < F.col("raw_bytes")).alias("smaller"),
+        ((F.col("_packed") == F.col("_found")) & (F.col("raw_bytes") == F.col("_raw")) & (F.col("containers") == F.col("_boxes"))).alias("as_on_disk"))
+
+
+@query(_with(_keyed_sql(86_400) + _BLOCKS, f"""SELECT {_label('bucket_ms', '%Y%m%d')} || '/' || topic || '/' || file_name AS file,
+    block_number, CAST(idx AS INTEGER) AS idx, ts_ms, body FROM placed
+    WHERE ts_ms BETWEEN 1704450000000 AND 1704461399999"""))
+def manifest_window(spark, sf):
+    """Three hours of a compacted tree: containers of other hours are not read."""
+    root = _manifest_tree(spark, sf, 1)
+    mf.compact(spark, root, 4)
+    out = mf.read_lines(spark, root, 1_704_450_000_000, 1_704_461_399_999)
+    name = F.regexp_extract("file", r"([^/]*/[^/]*/[^/]*)$", 1)
+    return out.select(name.alias("file"), "block_number", "idx", "ts_ms", wire.body_text(F.col("message")).alias("body"))
+
+
 # --- ledger ------------------------------------------------------------------------------------
 
 
@@ -1079,3 +1123,85 @@ def landing_resume(spark, sf):
     consumed = landing.landed_shifts(spark, options.ledger).groupBy(*TP).agg(F.sum("consumed").alias("consumed"))
     ends = landing.read_offsets(spark, options.ledger, 0).select(*TP, F.col("start_offset").alias("next_offset"))
     return start.join(ends, TP).join(consumed, TP, "left").withColumn("consumed", F.coalesce("consumed", F.lit(0)))
+
+
+_FIRST_CUT = 1_704_931_200_000
+
+
+def _data_files(spark, path):
+    fs, root = boxes.filesystem(qualified(spark, path))
+    return [i.path for i in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if i.path.endswith(".parquet")]
+
+
+def _swap_bytes(spark, base, path, data):
+    """Give a file other content; returns what it held. A checksum beside it would tell, so it goes."""
+    fs, _ = boxes.filesystem(qualified(spark, base))
+    with fs.open_input_stream(path) as source:
+        before = source.read()
+    folder, name = path.rsplit("/", 1)
+    if fs.get_file_info(f"{folder}/.{name}.crc").type != pafs.FileType.NotFound:
+        fs.delete_file(f"{folder}/.{name}.crc")
+    with fs.open_output_stream(path) as out:
+        out.write(data)
+    return before
+
+
+_DATA_FOLDER = _path('''"hdfsRootDir" || '/data' ''', "(ts_ms - ts_ms % 86400000)")
+
+
+@query(_with(_LOG + _CONFIGS, f"""SELECT state, {_DATA_FOLDER} AS folder, ts_ms, body FROM lines JOIN config ON id = topic
+    JOIN (VALUES ('failed', {_FIRST_CUT}), ('again', 9223372036854775807)) s(state, until) ON arrival_ms < until"""))
+def sink_replay(spark, sf):
+    """A landing by the streaming sink: what is visible after its second batch failed midway, and after that ran again.
+
+    One of the files of the second batch is broken at first, so some of its tasks have written when the batch fails.
+    """
+    base = shared_dir(spark, "sink")
+    log = stored(_log(spark, sf).drop("event_id"), "sinklog")
+    files = 8
+    for at, part in enumerate((log.filter(F.col("arrival_ms") < _FIRST_CUT), log.filter(F.col("arrival_ms") >= _FIRST_CUT))):
+        part.repartitionByRange(files, "arrival_ms").write.mode("append").parquet(f"{base}/in")
+        if at == 0:
+            first = _data_files(spark, f"{base}/in")
+    broken = sorted(set(_data_files(spark, f"{base}/in")) - set(first))[-1]
+    whole = _swap_bytes(spark, base, broken, b"not a file of rows")
+    options = sink.SinkOptions(f"{base}/out", f"{base}/checkpoint", YEAR, seconds=86_400)
+    _configs(spark, sf).write.parquet(f"{base}/configs")
+
+    def land():
+        stream = tl.from_folder(spark, f"{base}/in", streaming=True, files_per_trigger=files)
+        sink.landing_sink(stream, spark.read.parquet(f"{base}/configs"), options).awaitTermination()
+
+    def seen(state):
+        folder = F.regexp_extract("file", r"(/service/.*)/[^/]*$", 1)
+        return stored(mf.read_lines(spark, options.root).select(
+            F.lit(state).alias("state"), folder.alias("folder"), "ts_ms", wire.body_text(F.col("message")).alias("body")), state)
+
+    try:
+        land()
+    except StreamingQueryException:
+        pass
+    failed = seen("failed")
+    _swap_bytes(spark, base, broken, whole)
+    land()
+    return failed.unionByName(seen("again"))
+
+
+@query(ORACLES["sink_to_watermark"])
+def stream_offset_state(spark, sf):
+    """The resetting audit with its expectation in the state store: five micro-batches, the stream restarted after three."""
+    base = shared_dir(spark, "state")
+    log = _log(spark, sf).drop("event_id")
+    longest = log.groupBy(*TP).agg((F.max("arrival_seq") + 1).alias("_n"))
+    log = stored(log.join(longest, TP).withColumn("_batch", F.floor(F.col("arrival_seq") * 5 / F.col("_n"))).drop("_n"), "statelog")
+    files = 4
+    for batches in ((0, 1, 2), (3, 4)):
+        for k in batches:
+            rows = log.filter(F.col("_batch") == k).drop("_batch")
+            rows.repartitionByRange(files, "arrival_seq", *TP).write.mode("append").parquet(f"{base}/in")
+        stream = tl.from_folder(spark, f"{base}/in", streaming=True, files_per_trigger=files)
+        with sink.state_store(spark):
+            query_ = sink.audited(stream, sink=True).select(*TP, "offset", "arrival_seq", "expected", "status").writeStream.format("parquet") \
+                .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/out")
+        query_.awaitTermination()
+    return spark.read.parquet(f"{base}/out")

@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -104,10 +105,23 @@ def containers(
     return _placed(blocks, file, file_key).mapInArrow(encode, CONTAINER_DDL)
 
 
-def _box_batch(boxes: list[tuple]) -> pa.RecordBatch:
+def _box_batch(boxes: list[Box]) -> pa.RecordBatch:
     types = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+    columns = zip(*((b.file, b.container, b.records, b.raw) for b in boxes))
     return pa.RecordBatch.from_arrays(
-        [pa.array(v, t) for v, t in zip(zip(*boxes), types)], ["file", "container", "records", "raw"])
+        [pa.array(v, t) for v, t in zip(columns, types)], ["file", "container", "records", "raw"])
+
+
+class Box(NamedTuple):
+    """Record bytes of a container block; ``container`` is the number of its first line block."""
+
+    file: str
+    container: int
+    records: int
+    raw: bytes
+    lines: int
+    min_second: int
+    max_second: int
 
 
 class _Packer:
@@ -116,10 +130,12 @@ class _Packer:
     def __init__(self, container_bytes: int):
         self.room = container_bytes
         self.key, self.at, self.box, self.first, self.parts = None, 0, 0, 0, []
+        self.lines, self.seconds = 0, []
 
-    def feed(self, batch: pa.RecordBatch) -> Iterator[tuple]:
-        columns = [batch.column(c).to_pylist() for c in ("file", "_key", "block_number")]
-        for name, key, number, record in zip(*columns, _records(batch)):
+    def feed(self, batch: pa.RecordBatch) -> Iterator[Box]:
+        columns = [batch.column(c).to_pylist() for c in ("file", "_key", "block_number", "second")]
+        sizes = batch.column("log_lines").value_lengths().to_pylist()
+        for name, key, number, second, size, record in zip(*columns, sizes, _records(batch)):
             if (name, key) != self.key:
                 last = self.finish()
                 if last:
@@ -129,13 +145,15 @@ class _Packer:
                 yield self.finish()
                 self.box, self.first = self.at // self.room, number
             self.parts.append(record)
+            self.seconds.append(second)
+            self.lines += size
             self.at += len(record)
 
-    def finish(self) -> tuple | None:
+    def finish(self) -> Box | None:
         if not self.parts:
             return None
-        out = (self.key[0], self.first, len(self.parts), b"".join(self.parts))
-        self.parts = []
+        out = Box(self.key[0], self.first, len(self.parts), b"".join(self.parts), self.lines, min(self.seconds), max(self.seconds))
+        self.parts, self.lines, self.seconds = [], 0, []
         return out
 
 
@@ -258,11 +276,11 @@ class ContainerWriter(DataSourceArrowWriter):
         if self.form == "blocks":
             packer = _Packer(self.container_bytes)
             for batch in iterator:
-                for name, _, records, raw in packer.feed(batch):
-                    yield name, records, _deflate(raw, self.level)
+                for box in packer.feed(batch):
+                    yield box.file, box.records, _deflate(box.raw, self.level)
             last = packer.finish()
             if last:
-                yield last[0], last[2], _deflate(last[3], self.level)
+                yield last.file, last.records, _deflate(last.raw, self.level)
             return
         for batch in iterator:
             for name, records, raw in zip(*[batch.column(c) for c in ("file", "records", "raw")]):
