@@ -22,7 +22,7 @@ Scale. An anchor comes about every ``width / 2`` bytes and is a narrow row. Coun
 the shuffle. Equal pieces are one piece with a count (repeated as a whole when it is over one).
 Pieces of a group of more than ``HOT_PIECES`` different ones are dealt to all shards. Texts are
 shuffled to their pieces and to their cuts. No group is compared in pairs, nothing is capped; the
-driver gets two counts.
+driver gets one count.
 
 Cases. Null texts count as empty. Texts shorter than ``length`` bytes stay whole. Repeated rows are
 copies of each other. Texts of any length are read in windows of ``WINDOW`` places. Cuts may fall
@@ -50,7 +50,7 @@ WINDOW = 1 << 18            # places whose anchors are found at once
 PLACE = np.uint64((1 << 20) - 1)
 SHARD_PIECES = 4096         # about a megabyte
 HOT_PIECES = 512            # different pieces of a group that one shard holds
-MERGE_KEYS = 1 << 16        # keys merged by one call
+MERGE_KEYS = 1 << 20        # keys of a group merged by one call
 SEED = 42
 RESULT = ("n_bytes", "n_removed", "n_spans", "kept")
 
@@ -242,68 +242,98 @@ def _stretches(flags: np.ndarray, lanes: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.flatnonzero(first), np.flatnonzero(last)
 
 
-FOUND_DDL = "key bigint, piece bigint, from int, to int, string bigint, shard bigint"
+RUNS = "runs array<struct<from:int,to:int>>"
+FOUND_DDL = f"key bigint, piece bigint, {RUNS}, sub int, shard bigint, strings array<bigint>, pieces array<bigint>, places array<int>"
+RUN_TYPE = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
 
 
-def _shard(length: int):
+def _lists(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, kind))
+
+
+def _run_lists(a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    both = pa.StructArray.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32())], fields=list(RUN_TYPE.value_type))
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), both)
+
+
+def _cuts(*columns: np.ndarray) -> np.ndarray:
+    """Where stretches of equal rows begin, and the end."""
+    new = np.zeros(max(0, len(columns[0]) - 1), bool)
+    for c in columns:
+        new |= c[1:] != c[:-1]
+    return np.concatenate([[0], np.flatnonzero(new) + 1, [len(columns[0])]]) if len(columns[0]) else np.zeros(1, np.int64)
+
+
+def _shard(length: int, width: int):
     def run(table: pa.Table) -> pa.RecordBatch | None:
-        """Stretches of repeated starts (``from, to``), and keys of the different strings of hot groups (``string``)."""
+        """A row for each piece with repeated starts (``runs``), and one for each hot group with its different strings, sorted."""
         keys, piece = table.column("key").to_numpy(), table.column("piece").to_numpy()
         _, once = np.unique(np.stack([keys, piece], axis=1), axis=0, return_index=True)
         table = table.take(pa.array(np.sort(once)))
-        keys, piece, n = (table.column(c).to_numpy() for c in ("key", "piece", "n"))
-        n, hot = n.astype(np.int64), table.column("hot").to_numpy(zero_copy_only=False).astype(bool)
+        keys, piece, n, m = (table.column(c).to_numpy() for c in ("key", "piece", "n", "m"))
         texts = table.column("bytes").to_pylist()
-        places, repeated, lead = repeated_starts(texts, n, length)
+        places, repeated, lead = repeated_starts(texts, n.astype(np.int64), length)
         lane = np.repeat(np.arange(len(n)), n)
         within = np.arange(len(lane)) - np.repeat(np.cumsum(n) - n, n)
         a, b = _stretches(repeated, lane)
+        cuts = _cuts(lane[a])
+        owner = lane[a][cuts[:-1]]
+        # One key for each string of a hot group, by group, part of the group, and key.
         whole = b"".join(texts)
-        asked = np.flatnonzero(lead & hot[lane])
-        strings = [xxhash.xxh3_64_intdigest(whole[p:p + length], SEED) for p in places[asked].tolist()]
-        owner = np.concatenate([lane[a], lane[asked]])
-        if not len(owner):
+        asked = np.flatnonzero(lead & (m > HOT_PIECES)[lane])
+        strings = np.array([xxhash.xxh3_64_intdigest(whole[p:p + length], SEED) for p in places[asked].tolist()], np.uint64).view(np.int64)
+        of = lane[asked]
+        sub = strings.view(np.uint64) % (-(-m[of] * width // MERGE_KEYS)).astype(np.uint64) if len(asked) else np.empty(0, np.uint64)
+        order = np.lexsort((strings, sub, keys[of]))
+        strings, of, sub, at = strings[order], of[order], sub[order], within[asked][order]
+        parts = _cuts(keys[of], sub)
+        heads = parts[:-1]
+        size, more = len(owner), len(heads)
+        if not size + more:
             return None
-        blank = np.arange(len(owner)) >= len(a)
+        late = np.concatenate([np.zeros(size + 1, np.int64), parts[1:]])
         return pa.RecordBatch.from_arrays([
-            pa.array(keys[owner]), pa.array(piece[owner]), pa.array(np.concatenate([within[a], within[asked]]), pa.int32()),
-            pa.array(np.concatenate([within[b], within[asked]]), pa.int32()),
-            pa.array(np.concatenate([np.zeros(len(a), np.uint64), np.array(strings, np.uint64)]).view(np.int64), mask=~blank),
-            pa.array(np.full(len(owner), table.column("shard")[0].as_py()), pa.int64()),
-        ], names=["key", "piece", "from", "to", "string", "shard"])
+            pa.array(np.concatenate([keys[owner], keys[of][heads]])),
+            pa.array(np.concatenate([piece[owner], np.zeros(more, np.int64)])),
+            _run_lists(within[a], within[b], np.concatenate([cuts, np.full(more, cuts[-1])])),
+            pa.array(np.concatenate([np.zeros(size), sub[heads]]).astype(np.int32), mask=np.arange(size + more) < size),
+            pa.array(np.full(size + more, table.column("shard")[0].as_py()), pa.int64()),
+            _lists(strings, late, pa.int64()), _lists(piece[of], late, pa.int64()), _lists(at, late, pa.int32()),
+        ], names=["key", "piece", "runs", "sub", "shard", "strings", "pieces", "places"])
 
     return run
 
 
 def _merge(table: pa.Table) -> pa.RecordBatch | None:
-    """Strings that more than one shard has: each shard's keys are looked up in the sorted keys of all."""
-    names = ["key", "piece", "from", "to"]
-    key, string, shard = (table.column(c).to_numpy() for c in ("key", "string", "shard"))
-    order = np.lexsort((key, string))
-    keys, strings = key[order], string[order]
-    found = np.zeros(len(key), bool)
-    for own in np.unique(shard):
-        mine = np.flatnonzero(shard == own)
-        left, right = np.searchsorted(strings, string[mine], "left"), np.searchsorted(strings, string[mine], "right")
-        several = right - left > 1
-        # Strings of different anchors are different; their 64-bit keys may agree.
-        for k in np.flatnonzero(several & (keys[left] != keys[right - 1])).tolist():
-            several[k] = (keys[left[k]:right[k]] == key[mine[k]]).sum() > 1
-        found[mine] = several
-    if not found.any():
+    """Strings of a group that more than one shard has: each shard's keys are looked up in the sorted keys of all."""
+    lists = [[np.asarray(x) for x in table.column(c).to_pylist()] for c in ("strings", "pieces", "places")]
+    merged = np.sort(np.concatenate(lists[0]))
+    pieces, places = [], []
+    for own, piece, place in zip(*lists):
+        several = np.searchsorted(merged, own, "right") - np.searchsorted(merged, own, "left") > 1
+        pieces.append(piece[several])
+        places.append(place[several])
+    pieces, places = np.concatenate(pieces), np.concatenate(places)
+    if not len(pieces):
         return None
-    return table.filter(pa.array(found)).select(names).combine_chunks().to_batches()[0]
+    order = np.lexsort((places, pieces))
+    pieces, places = pieces[order], places[order]
+    cuts = _cuts(pieces)
+    key = table.column("key")[0].as_py()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(cuts) - 1, key), pa.int64()), pa.array(pieces[cuts[:-1]], pa.int64()), _run_lists(places, places, cuts)],
+        names=["key", "piece", "runs"])
 
 
 # --- the corpus ---------------------------------------------------------------------------------
 
 
 def _with_bytes(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``key, piece, hot, n, bytes`` of the wanted pieces, cut from their texts."""
+    """``key, piece, m, n, bytes`` of the wanted pieces, cut from their texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            key, piece, hot, n, parts = [], [], [], [], []
+            key, piece, m, n, parts = [], [], [], [], []
             for own, text, asked in zip(*(batch.column(c) for c in ("text_id", "text", "asked"))):
                 if own == held:         # a copy of the text before it
                     continue
@@ -312,16 +342,16 @@ def _with_bytes(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     first, count = x["at"] >> 16, x["at"] & 0xFFFF
                     key.append(x["key"])
                     piece.append(x["piece"])
-                    hot.append(x["hot"])
+                    m.append(x["m"])
                     n.append(count)
                     parts.append(bytes(view[first:first + count - 1 + length]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), pa.array(piece, pa.int64()), pa.array(hot, pa.bool_()), pa.array(n, pa.int32()),
-                 pa.array(parts, pa.binary())], names=["key", "piece", "hot", "n", "bytes"])
+                [pa.array(key, pa.int64()), pa.array(piece, pa.int64()), pa.array(m, pa.int64()), pa.array(n, pa.int32()),
+                 pa.array(parts, pa.binary())], names=["key", "piece", "m", "n", "bytes"])
 
-    asked = wanted.groupBy("text_id").agg(F.collect_list(F.struct("key", "piece", "hot", "at")).alias("asked"))
+    asked = wanted.groupBy("text_id").agg(F.collect_list(F.struct("key", "piece", "m", "at")).alias("asked"))
     both = texts.join(asked, "text_id")
-    return small_batches(both.select("text_id", "text", "asked")).mapInArrow(run, "key bigint, piece bigint, hot boolean, n int, bytes binary")
+    return small_batches(both.select("text_id", "text", "asked")).mapInArrow(run, "key bigint, piece bigint, m bigint, n int, bytes binary")
 
 
 def repeated_cover(documents: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -329,31 +359,30 @@ def repeated_cover(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     gram = max(1, length // 5)
     pieces = anchored(documents, length, gram)
     often = pieces.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select("key")
-    # Copies of a text have the same pieces: one row with their number.
-    pieces = stored(pieces.join(often, "key").groupBy("key", "piece", "text_id", "at").agg(F.count("*").alias("n")), "pieces")
+    # The join is a step of its own, so that it can split hot anchors. Copies of a text have the
+    # same pieces: one row with their number.
+    met = stored(pieces.join(often, "key"), "met")
+    pieces = stored(met.groupBy("key", "piece", "text_id", "at").agg(F.count("*").alias("n")), "pieces")
     different = stored(pieces.groupBy("key", "piece").agg(
         F.sum("n").alias("n"), F.min(F.struct("text_id", "at")).alias("one")), "different")
     groups = stored(different.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "groups")
-    wanted = stored(different.join(groups, "key").select(
-        "key", "piece", "one.text_id", "one.at", (F.col("m") > HOT_PIECES).alias("hot")), "wanted")
+    wanted = stored(different.join(groups, "key").select("key", "piece", "one.text_id", "one.at", "m"), "wanted")
     shards = max(1, -(-wanted.count() // SHARD_PIECES))
     texts = documents.filter(F.octet_length("text") >= length).select(text_key().alias("text_id"), "text")
-    shard = F.when(F.col("hot"), F.xxhash64("key", "piece")).otherwise(F.xxhash64("key"))
-    dealt = _with_bytes(texts, wanted, length).select(
-        "*", F.pmod(shard, F.lit(shards)).alias("shard"), F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(False).alias("right"))
-    found = stored(per_block(dealt, ["shard"], _shard(length), FOUND_DDL), "found")
-    strings = found.filter("string IS NOT NULL")
-    buckets = max(1, -(-strings.count() // MERGE_KEYS))
-    merged = per_block(strings.select(
-        "*", F.pmod(F.xxhash64("string"), F.lit(buckets)).alias("bucket"), F.lit(0).alias("low"), F.lit(0).alias("high"),
-        F.lit(False).alias("right")), ["bucket"], _merge, "key bigint, piece bigint, from int, to int")
-    several = different.filter("n > 1").select("key", "piece", F.lit(0).alias("from"), F.lit(None).cast("int").alias("to"))
-    starts = found.filter("string IS NULL").select("key", "piece", "from", "to").union(merged).union(several)
+    shard = F.when(F.col("m") > HOT_PIECES, F.xxhash64("key", "piece")).otherwise(F.xxhash64("key"))
+    whole = {"low": F.lit(0), "high": F.lit(0), "right": F.lit(False)}      # a block with no other side
+    dealt = _with_bytes(texts, wanted, length).withColumns({"shard": F.pmod(shard, F.lit(shards)), **whole})
+    found = stored(per_block(dealt, ["shard"], _shard(length, length - gram + 1), FOUND_DDL), "found")
+    lists = found.filter("sub IS NOT NULL").select("key", "sub", "shard", "strings", "pieces", "places").withColumns(whole)
+    merged = per_block(lists, ["key", "sub"], _merge, f"key bigint, piece bigint, {RUNS}")
+    several = different.filter("n > 1").select("key", "piece", F.lit(None).cast(RUNS.split(" ", 1)[1]).alias("runs"))
+    starts = found.filter("sub IS NULL").select("key", "piece", "runs").union(merged).union(several)
     starts = stored(starts, "starts")
     first, n = F.shiftright("at", 16), F.col("at").bitwiseAND(F.lit(0xFFFF))
-    rows = pieces.join(starts, ["key", "piece"]).select(
-        "text_id", (first + F.col("from")).alias("first"), (first + F.coalesce("to", n - 1)).alias("last"))
-    return rows.groupBy("text_id").agg(F.collect_list(F.struct("first", "last")).alias("cover"))
+    runs = F.transform("runs", lambda r: F.struct((first + r["from"]).alias("first"), (first + r["to"]).alias("last")))
+    every = F.array(F.struct(first.alias("first"), (first + n - 1).alias("last")))
+    rows = pieces.join(starts, ["key", "piece"]).select("text_id", F.coalesce(runs, every).alias("runs"))
+    return rows.groupBy("text_id").agg(F.flatten(F.collect_list("runs")).alias("cover"))
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:

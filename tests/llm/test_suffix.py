@@ -44,7 +44,7 @@ def corpus(rng, n):
     return out + out[10:14] + [out[12].upper() + "\0" * 60]
 
 
-@pytest.mark.parametrize("hot,shard,merge", [(512, 4096, 1 << 16), (2, 16, 32)])
+@pytest.mark.parametrize("hot,shard,merge", [(512, 4096, 1 << 20), (2, 16, 32)])
 def test_against_all_strings(spark, monkeypatch, hot, shard, merge):
     monkeypatch.setattr(suffix, "HOT_PIECES", hot)
     monkeypatch.setattr(suffix, "SHARD_PIECES", shard)
