@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.encoding import varint_len
@@ -13,29 +15,102 @@ from .files import FILE_KEY
 
 CAP_BYTES = 1_048_535       # room for lines in one block
 LINE_RESERVE = 20           # a line may need two ten-byte numbers in front of it
-SPAN_BYTES = 16 << 20       # bytes of an oversize second gathered in one row
+SPAN_BYTES = 16 << 20       # bodies of the blocks handed on at once
+BLOCK_DDL = "second bigint, create_time bigint, block_number bigint, log_lines array<struct<ms:bigint,message:binary>>"
 
 
-def _cuts(lines: Column, cap: int, max_lines: int | None) -> Column:
-    """Positions where a new block starts, filling blocks greedily."""
-    start = F.struct(
-        F.lit(0).alias("pos"), F.lit(0).cast("long").alias("used"), F.lit(0).alias("held"),
-        F.array().cast("array<int>").alias("cuts"),
-    )
+# --- the greedy cut -----------------------------------------------------------------------------
 
-    def step(acc: Column, line: Column) -> Column:
-        full = F.lit(cap) - acc["used"] < line["size"] + LINE_RESERVE
-        if max_lines is not None:
-            full = full | (acc["held"] >= max_lines)
-        fresh = (acc["pos"] == 0) | full
-        return F.struct(
-            (acc["pos"] + 1).alias("pos"),
-            F.when(fresh, line["cost"]).otherwise(acc["used"] + line["cost"]).alias("used"),
-            F.when(fresh, F.lit(1)).otherwise(acc["held"] + 1).alias("held"),
-            F.when(fresh, F.concat(acc["cuts"], F.array(acc["pos"]))).otherwise(acc["cuts"]).alias("cuts"),
-        )
 
-    return F.aggregate(lines, start, step, lambda acc: acc["cuts"])
+def greedy_cuts(costs: np.ndarray, sizes: np.ndarray, cap: int, max_lines: int | None = None, used: int = 0, held: int = 0) -> list[int]:
+    """Where new blocks begin in a stretch of lines of one second.
+
+    ``held`` lines of ``used`` bytes are in the open block already; without any the stretch begins one
+    at 0, which is not listed. A line fits while the costs before it and its own size stay below a
+    mark; as a line costs no less than its size, that sum never falls from line to line, so a binary
+    search finds the next cut: one step per block, however many lines it has.
+    """
+    ends = np.concatenate([[0], np.cumsum(costs)])
+    marks = ends[:-1] + sizes
+    cuts, at = [], 0
+    while True:
+        found = int(np.searchsorted(marks, ends[at] - used + cap - LINE_RESERVE, "right"))
+        if max_lines is not None:
+            found = min(found, at + max_lines - held)
+        at = max(found, at if held else at + 1)     # a block takes its first line whatever its size
+        if at >= len(costs):
+            return cuts
+        cuts.append(at)
+        used = held = 0
+
+
+def _pack(names: Sequence[str], cap: int, max_lines: int | None, span_bytes: int) -> Callable:
+    """Rows in order of file and arrival to blocks. Only the open block is kept from one batch to the next."""
+    def rows(batch: pa.RecordBatch, starts: np.ndarray, end: int, numbers: np.ndarray) -> pa.RecordBatch:
+        first = int(starts[0])
+        part = batch.slice(first, end - first)
+        entries = pa.StructArray.from_arrays([part.column("_ms"), part.column("body")], ["ms", "message"])
+        places = pa.array(starts)
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(c).take(places) for c in (*names, "_second", "arrival_ms")), pa.array(numbers, pa.int64()),
+             pa.ListArray.from_arrays(pa.array([*(starts - first).tolist(), end - first], pa.int32()), entries)],
+            names=[*names, "second", "create_time", "block_number", "log_lines"])
+
+    def closed(pieces: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+        whole = pieces[0] if len(pieces) == 1 else pa.Table.from_batches(pieces).combine_chunks().to_batches()[0]
+        return rows(whole, np.zeros(1, np.int64), whole.num_rows, np.array([number]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list[pa.RecordBatch] = []
+        used, held, number, last = 0, 0, -1, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            opening = batch.column("_n").to_numpy() == 1
+            second, cost = batch.column("_second").to_numpy(), batch.column("_cost").to_numpy()
+            sizes = batch.column("_size").to_numpy()
+            begin = opening.copy()
+            begin[1:] |= second[1:] != second[:-1]
+            begin[0] |= second[0] != last
+            bounds = np.union1d(np.flatnonzero(begin), [0])
+            total = np.add.reduceat(cost, bounds)
+            length = np.diff(np.append(bounds, n))
+            if not begin[0]:
+                total[0] += used
+                length[0] += held
+            full = total > cap - LINE_RESERVE
+            if max_lines is not None:
+                full |= length > max_lines
+            for k in np.flatnonzero(full).tolist():
+                lo, hi = int(bounds[k]), int(bounds[k + 1]) if k + 1 < len(bounds) else n
+                goes_on = (used, held) if k == 0 and not begin[0] else (0, 0)
+                for at in greedy_cuts(cost[lo:hi], sizes[lo:hi], cap, max_lines, *goes_on):
+                    begin[lo + at] = True
+            starts = np.flatnonzero(begin)
+            if not len(starts):
+                open_.append(batch)
+                used, held = used + int(cost.sum()), held + n
+                continue
+            # Numbers run on through a file and restart with the next.
+            place = np.arange(len(starts))
+            since = np.maximum.accumulate(np.where(opening[starts], place, -1))
+            numbers = np.where(since >= 0, place - since, number + 1 + place)
+            if starts[0] > 0:
+                open_.append(batch.slice(0, int(starts[0])))
+            if open_:
+                yield closed(open_, number)
+            weight = np.cumsum(np.add.reduceat(sizes, starts)) // span_bytes
+            edges = [0, *(np.flatnonzero(np.diff(weight[:-1])) + 1).tolist(), len(starts) - 1] if len(starts) > 1 else []
+            for a, b in zip(edges, edges[1:]):
+                yield rows(batch, starts[a:b], int(starts[b]), numbers[a:b])
+            at = int(starts[-1])
+            open_, used, held = [batch.slice(at)], int(cost[at:].sum()), n - at
+            number, last = int(numbers[-1]), second[-1]
+        if open_:
+            yield closed(open_, number)
+
+    return run
 
 
 def log_blocks(
@@ -52,68 +127,21 @@ def log_blocks(
     that would outgrow ``cap_bytes`` is filled greedily and continued in the next one.
     ``keep`` names columns that are constant per file.
 
-    Everything groups by the file key, which is bounded because files roll, so one shuffle
-    serves the windows, the grouping and the numbering.  A second heavier than
-    ``span_bytes`` is gathered in several rows; the cut goes by the costs and lengths of all
-    its lines up to there, so blocks do not depend on that mark.
+    Spark sizes the lines and brings them in order of file and arrival, over the partitioning
+    that files have already. One pass over the ordered rows then cuts them: sums of costs and a
+    binary search per block, and blocks are stretches of the Arrow arrays that came in. What a
+    worker holds is the open block and one batch, so the weight of a second does not matter;
+    ``span_bytes`` bounds the bodies it hands on at once.
     """
-    key = list(file_key)
-    arrival = Window.partitionBy(*key).orderBy("arrival_seq")
-    ms, body = F.col("ts_ms") % 1000, F.col("body")
-    cost = varint_len(ms, 2) + varint_len(F.length(body).cast("long"), 5) + F.length(body)
-    second = int_div(F.col("ts_ms"), 1000)
-    changed = F.lag("_second").over(arrival)
-    runs = (
-        lines.select(
-            *key, *keep, "arrival_seq", "arrival_ms", second.alias("_second"),
-            F.struct(
-                "arrival_seq", ms.alias("ms"), cost.cast("long").alias("cost"), "arrival_ms", "body"
-            ).alias("_line"),
-        )
-        .withColumn("_new", F.when(changed == F.col("_second"), 0).otherwise(1))
-        .withColumns({
-            "_run": F.sum("_new").over(arrival),
-            "_filled": F.sum("_line.cost").over(arrival),
-        })
-    )
-    # Bytes before this line since its run began, without a second sort.
-    opened = F.max(F.when(F.col("_new") == 1, F.col("_filled") - F.col("_line.cost"))).over(arrival)
-    spans = runs.withColumn("_span", int_div(F.col("_filled") - F.col("_line.cost") - opened, span_bytes))
-    packed = spans.groupBy(*key, *keep, "_run", "_span", F.col("_second").alias("second")).agg(
-        F.array_sort(F.collect_list("_line")).alias("_lines"), F.sum("_line.cost").alias("_cost")
-    )
-    run = Window.partitionBy(*key, "_run")
-    narrow = F.transform("_lines", lambda x: F.struct(x["cost"].alias("cost"), F.length(x["body"]).alias("size")))
-    packed = packed.withColumn("_heavy", F.max("_span").over(run) > 0)
-    ahead = F.collect_list(F.when(F.col("_heavy"), narrow)).over(run.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1))
-    packed = packed.withColumn("_ahead", F.flatten(ahead))
-    all_lines, size, offset = F.col("_lines"), F.size("_lines"), F.size("_ahead")
-    fits = ~F.col("_heavy") & (F.col("_cost") <= cap_bytes - LINE_RESERVE)
-    if max_lines is not None:
-        fits = fits & (size <= max_lines)
-    cuts = F.when(fits, F.array(F.lit(0))).otherwise(_cuts(F.concat("_ahead", narrow), cap_bytes, max_lines))
-    bounded = packed.withColumn("_all", cuts).withColumns({
-        "_cuts": F.concat(F.array(F.lit(0)), F.transform(F.filter("_all", lambda c: c > offset), lambda c: c - offset)),
-        "_first": F.size(F.filter("_all", lambda c: c <= offset)) - 1,
-    })
-    parts = F.transform(
-        F.col("_cuts"),
-        lambda c, i: F.slice(
-            all_lines, c + 1,
-            F.coalesce(F.get(F.col("_cuts"), i + 1), size) - c,
-        ),
-    )
-    pieces = bounded.select(*key, *keep, "_run", "_span", "second", "_first", F.posexplode(parts).alias("_part", "_lines"))
-    # A block may begin in one row of a heavy second and end in the next.
-    blocks = pieces.groupBy(*key, *keep, "_run", "second", (F.col("_first") + F.col("_part")).alias("_place")).agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_span", "_lines"))), lambda x: x["_lines"])).alias("_block"))
-    number = F.row_number().over(Window.partitionBy(*key).orderBy("_run", "_place")) - 1
-    return blocks.select(
-        *key, *keep, "second",
-        F.col("_block")[0]["arrival_ms"].alias("create_time"),
-        number.cast("long").alias("block_number"),
-        F.transform("_block", lambda x: F.struct(x["ms"].alias("ms"), x["body"].alias("message"))).alias("log_lines"),
-    )
+    key = [*file_key, *keep]
+    ms, size = F.col("ts_ms") % 1000, F.length("body").cast("long")
+    ordered = lines.select(
+        *key, "arrival_ms", int_div(F.col("ts_ms"), 1000).alias("_second"), ms.cast("long").alias("_ms"), size.alias("_size"),
+        (varint_len(ms, 2) + varint_len(size, 5) + size).cast("long").alias("_cost"), "body",
+        F.row_number().over(Window.partitionBy(*file_key).orderBy("arrival_seq")).alias("_n"))
+    types = lines.select(*key).schema
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in types)
+    return ordered.mapInArrow(_pack(key, cap_bytes, max_lines, span_bytes), ddl + BLOCK_DDL)
 
 
 def explode_blocks(blocks: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.times import time_bucket
 from ..functions.wire import decode, landable
-from ..operators.blocks import CAP_BYTES, LINE_RESERVE
+from ..operators.blocks import CAP_BYTES, greedy_cuts
 from ..operators.common import TP
 from ..operators.configs import render_paths
 from ..operators.files import EXTENSION, SHIFT_SECONDS
@@ -133,15 +133,6 @@ def state_store(spark: SparkSession):
 # --- the sink -----------------------------------------------------------------------------------
 
 
-def next_cut(ends: np.ndarray, sizes: np.ndarray, at: int, cap: int) -> int:
-    """First line after ``at`` that no longer fits into a block that begins there.
-
-    ``ends`` holds sums of costs before each line and at the end. A line fits while the sum before it and its
-    size stay below a mark, and as a line costs no less than its size these sums never fall.
-    """
-    return max(at + 1, int(np.searchsorted(ends[:-1] + sizes, ends[at] + cap - LINE_RESERVE, "right")))
-
-
 def line_blocks(lines: pa.Table, numbers: dict[str, int], cap: int = CAP_BYTES) -> pa.RecordBatch:
     """Blocks of lines as the record encoder takes them; ``numbers`` keeps the next block number of each file.
 
@@ -159,12 +150,7 @@ def line_blocks(lines: pa.Table, numbers: dict[str, int], cap: int = CAP_BYTES)
     fresh = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (second[1:] != second[:-1])]))
     starts = []
     for lo, hi in zip(fresh.tolist(), [*fresh[1:].tolist(), len(stamp)]):
-        starts.append(lo)
-        ends = np.concatenate([[0], np.cumsum(cost[lo:hi])])
-        at = next_cut(ends, sizes[lo:hi], 0, cap)
-        while at < hi - lo:
-            starts.append(lo + at)
-            at = next_cut(ends, sizes[lo:hi], at, cap)
+        starts += [lo, *(lo + at for at in greedy_cuts(cost[lo:hi], sizes[lo:hi], cap))]
     names, block_numbers = file.take(pa.array(starts)).to_pylist(), []
     for name in names:
         block_numbers.append(numbers.get(name, 0))
