@@ -26,7 +26,7 @@ from .operators.files import FILE_KEY, file_keys, skew
 from .plans import jobs
 from .session import qualified, shared_dir, stored
 from .sources import containers as boxes
-from .sources import datasets, manifests as mf, markers, topic_log as tl
+from .sources import datasets, manifests as mf, markers, segments as sg, topic_log as tl
 from .sources.events_log import YEAR, damaged_messages, messages, read_events, topic_log
 from .streaming import landing, sink
 
@@ -1205,3 +1205,26 @@ def stream_offset_state(spark, sf):
                 .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/out")
         query_.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+@query("""SELECT topic, "partition", "offset", true AS whole FROM (
+    SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "partition",
+      row_number() OVER (PARTITION BY event_type, user_id % 4 ORDER BY ts, event_id) - 1 AS "offset" FROM events)
+    WHERE "offset" >= CASE WHEN "partition" % 2 = 0 THEN 10 * "partition" + 7 ELSE 0 END AND (topic <> 'click' OR "offset" < 40)""")
+def stream_from_offsets(spark, sf):
+    """A segmented log read by a stream from a start table to an end table, a third of it at a time, stopped and restarted."""
+    base = shared_dir(spark, "segments")
+    log = stored(_log(spark, sf, disturbed=False).drop("event_id"), "whole")
+    parts = log.select(*TP).distinct()
+    start = parts.filter("partition % 2 = 0").select(*TP, (F.col("partition") * 10 + 7).cast("long").alias("start_offset"))
+    end = parts.filter("topic = 'click'").select(*TP, F.lit(40).cast("long").alias("start_offset"))
+    limit = max(40, log.count() // 3)
+    for key, rows in (("early", log.filter("offset < 30")), ("late", log.filter("offset >= 30"))):
+        sg.land_segments(rows, f"{base}/log", key, 64)
+        stream = sg.from_segments(spark, f"{base}/log", start, end, limit)
+        query_ = stream.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/out")
+        query_.processAllAvailable()
+        query_.stop()
+    told = log.select(*TP, "offset", F.crc32("value").alias("_crc"))
+    out = spark.read.parquet(f"{base}/out").select(*TP, "offset", F.crc32("value").alias("_read"))
+    return out.join(told, [*TP, "offset"], "left").select(*TP, "offset", (F.col("_crc") == F.col("_read")).alias("whole"))
