@@ -801,6 +801,18 @@ def manifest_bytes(spark, sf):
     return rp.bytes_written(rp.with_topic(mf.container_stats(spark, root)))
 
 
+@query(ORACLES["compression_pct"])
+def compression_merged(spark, sf):
+    """The distribution of reductions merged from the stored counts of two commits, day by day."""
+    root, base = shared_dir(spark, "merged"), shared_dir(spark, "reductions")
+    early = F.col("bucket_ms") < 1_705_276_800_000
+    for key, lines in (("early", _files(spark, sf).filter(early)), ("late", _files(spark, sf).filter(~early))):
+        mf.write_lines(lines, root, level=0, key=key)
+        stats = rp.with_topic(mf.container_stats(spark, root, [key]))
+        rp.reduction_counts(stats).write.parquet(f"{base}/commit={key}")
+    return rp.reduction_percentiles(rp.merge_reductions(spark.read.parquet(base)))
+
+
 @query(_with(_BOXES, """SELECT b.topic, count(*) AS containers, sum(raw)::BIGINT AS raw_bytes, any_value(n) AS lines, true AS smaller, true AS as_on_disk
     FROM boxes b JOIN (SELECT topic, count(*) AS n FROM placed GROUP BY topic) USING (topic) GROUP BY b.topic"""))
 def manifest_deflated(spark, sf):
@@ -1040,6 +1052,26 @@ def ready_markers(spark, sf):
     return markers.with_flag(rows, base)
 
 
+@query(_with(_READY, "SELECT hour_path AS path, topics AS children, ready_topics AS ready_children, ready FROM hour"))
+def hour_folders_ready(spark, sf):
+    """Hour folders judged by the topic folders and markers in the file system, after a readiness run wrote its own there.
+
+    The flags that the run starts from are found in the folders, too.
+    """
+    base = shared_dir(spark, "tree")
+    configs, flags, dirs = _configs(spark, sf), _flags(spark, sf), _dirs(spark, sf)
+    placed = rd.placed_dirs(dirs, configs)
+    topic_path = F.concat_ws("/", "hour_path", "topic")
+    # What the landing and earlier runs left: data folders, and a marker per flagged topic hour.
+    markers.write_flags(placed.select(F.concat_ws("/", topic_path, F.lit("data")).alias("path")), base, "part.bm")
+    markers.write_flags(placed.join(flags, ["topic", "hour_ms"]).select(topic_path.alias("path")), base)
+    water = rd.low_water(_partitions(spark, sf), _stored(spark, sf))
+    due = rd.due_hours(water, configs, markers.recorded_flags(configs, AS_OF_MS, base=base), AS_OF_MS)
+    landed = due.join(placed.select("topic", "hour_ms"), ["topic", "hour_ms"])
+    markers.write_flags(rd.flag_paths(landed), base)
+    return markers.folder_ready(placed.select(F.col("hour_path").alias("path")), base)
+
+
 # --- streaming ---------------------------------------------------------------------------------
 
 
@@ -1228,3 +1260,31 @@ def stream_from_offsets(spark, sf):
     told = log.select(*TP, "offset", F.crc32("value").alias("_crc"))
     out = spark.read.parquet(f"{base}/out").select(*TP, "offset", F.crc32("value").alias("_read"))
     return out.join(told, [*TP, "offset"], "left").select(*TP, "offset", (F.col("_crc") == F.col("_read")).alias("whole"))
+
+
+@query("""WITH steps AS (SELECT doc_id % 3 AS p, (doc_id // 3) // 16 AS step, sum(strlen(text)) AS bytes, count(*) AS n FROM documents GROUP BY ALL),
+  rolled AS (SELECT p, n, bytes, CAST(coalesce(sum(bytes) OVER (PARTITION BY p ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 50000
+    + step * 16 // 128 AS BIGINT) AS roll FROM steps)
+  SELECT CAST(p AS INTEGER) AS "partition", roll, CAST(sum(n) AS BIGINT) AS "rows", CAST(sum(bytes) AS BIGINT) AS bytes FROM rolled GROUP BY ALL""")
+def byte_slices(spark, sf):
+    """Documents as a log of very uneven messages, in slices bounded by rows and bytes."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    log = docs.select(
+        F.lit("documents").alias("topic"), (F.col("doc_id") % 3).cast("int").alias("partition"),
+        F.floor(F.col("doc_id") / 3).alias("arrival_seq"), F.encode("text", "UTF-8").alias("value"))
+    rolled = of.byte_rolls(log, roll_bytes=50_000, roll_rows=128, step_rows=16)
+    return rolled.groupBy("partition", "roll").agg(F.count("*").alias("rows"), F.sum(F.length("value")).alias("bytes"))
+
+
+@query(_with(_LOG, """SELECT topic, "partition", arrival_ms - arrival_ms % 86400000 AS shift_start, max(ts_ms) AS max_ts_ms,
+    arg_max(next_offset, arrival_seq) AS next_offset, count(*) AS consumed FROM lines GROUP BY ALL"""))
+def ledger_compacted(spark, sf):
+    """Shift totals of a landing of six batches whose ledger was compacted twice on the way."""
+    base = shared_dir(spark, "compacted")
+    log = stored(_log(spark, sf).drop("event_id"), "log")
+    options = landing.LandingOptions(f"{base}/out", f"{base}/ledger", f"{base}/checkpoint", YEAR, seconds=86_400, compact_every=2)
+    configs, first, last = _configs(spark, sf), *log.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
+    part = F.floor((F.col("arrival_ms") - first) * 6 / (last + 1 - first))
+    for k in range(6):
+        landing.land_batch(log.filter(part == k), k, configs, options)
+    return landing.landed_shifts(spark, options.ledger).select(*TP, "shift_start", "next_offset", "max_ts_ms", "consumed")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import int_div
-from .common import ROLL_ROWS, TP, before
+from .common import ROLL_BYTES, ROLL_ROWS, STEP_ROWS, STRETCH_STEPS, TP, before
 
 ANOMALIES = ("gap", "beyond_hw")
 _SLICE = [*TP, "roll"]
@@ -78,7 +78,29 @@ def _with_start(summaries: DataFrame, start: DataFrame | int) -> DataFrame:
 
 
 def _slices(log: DataFrame, slice_rows: int) -> DataFrame:
-    return log.withColumn("roll", int_div(F.col("arrival_seq"), slice_rows))
+    """Slices of the arrival sequence; a log that carries its ``roll`` (:func:`byte_rolls`) keeps it."""
+    return log if "roll" in log.columns else log.withColumn("roll", int_div(F.col("arrival_seq"), slice_rows))
+
+
+def byte_rolls(
+    log: DataFrame, roll_bytes: int = ROLL_BYTES, roll_rows: int = ROLL_ROWS, step_rows: int = STEP_ROWS, value: str = "value"
+) -> DataFrame:
+    """Add ``roll``, slices of the arrival sequence with a bound in rows and in bytes.
+
+    Bytes are summed over steps of ``step_rows`` arrival positions, steps over stretches, and both
+    sums run on, so no window follows a partition: it sees a stretch of ``STRETCH_STEPS`` steps, or one row per
+    stretch. A slice ends where ``roll_bytes`` or ``roll_rows`` are reached at the end of a step, so it
+    holds ``roll_bytes`` and one step at most. The audit, files and blocks take the slices as they are.
+    """
+    step = int_div(F.col("arrival_seq"), step_rows)
+    steps = log.groupBy(*TP, step.alias("_step")).agg(F.sum(F.length(value)).alias("_bytes")).withColumn(
+        "_stretch", int_div(F.col("_step"), STRETCH_STEPS))
+    stretches = steps.groupBy(*TP, "_stretch").agg(F.sum("_bytes").alias("_all")).select(
+        *TP, "_stretch", F.coalesce(F.sum("_all").over(before(TP, "_stretch")), F.lit(0)).alias("_ahead"))
+    inside = F.coalesce(F.sum("_bytes").over(before([*TP, "_stretch"], "_step")), F.lit(0))
+    borders = steps.withColumn("_inside", inside).join(stretches, [*TP, "_stretch"]).select(
+        *TP, "_step", (int_div(F.col("_ahead") + F.col("_inside"), roll_bytes) + int_div(F.col("_step") * step_rows, roll_rows)).alias("roll"))
+    return log.withColumn("_step", step).join(borders, [*TP, "_step"]).drop("_step")
 
 
 def _floors(rows: DataFrame, start: DataFrame | int) -> DataFrame:

@@ -1,11 +1,11 @@
 """Operator-facing reports: timestamp histogram, counters, lag, sizes and traffic locality.
 
-All are hash aggregations with partial sums before the shuffle.
+All aggregate with partial results before the shuffle; the one that keeps a body (first seen) sorts, the others hash.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import int_div, render_template, time_bucket
@@ -152,6 +152,36 @@ def compression_pct(stats: DataFrame, accuracy: int = 10_000) -> DataFrame:
     )
 
 
+def reduction_counts(stats: DataFrame) -> DataFrame:
+    """``topic, pct, containers``: how many container blocks shrank by each whole percent.
+
+    A percentage is a whole number, so this small table is a sketch without error. Those of
+    several commits are merged by adding them up (:func:`merge_reductions`), and old containers
+    need not be looked at again.
+    """
+    saved = F.floor(F.lit(100.5) - F.lit(100.0) * F.col("compressed_bytes") / F.col("raw_bytes"))
+    return stats.groupBy("topic", saved.alias("pct")).agg(F.count("*").alias("containers"))
+
+
+def merge_reductions(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("topic", "pct").agg(F.sum("containers").alias("containers"))
+
+
+def reduction_percentiles(counts: DataFrame) -> DataFrame:
+    """The distribution of :func:`compression_pct` from merged counts, exactly; windows hold one row per percent."""
+    both = F.explode(F.array(F.struct("topic", F.lit(0).alias("is_total")), F.struct(F.lit(None).cast("string").alias("topic"), F.lit(1).alias("is_total"))))
+    levels = counts.select(both.alias("_of"), "pct", "containers").groupBy("_of.topic", "_of.is_total", "pct").agg(F.sum("containers").alias("n"))
+    of = Window.partitionBy("topic", "is_total")
+    summed = levels.withColumns({"_upto": F.sum("n").over(of.orderBy("pct")), "_all": F.sum("n").over(of)})
+
+    def point(share: float, name: str):
+        return F.min(F.when(F.col("_upto") >= F.ceil(F.col("_all") * share), F.col("pct"))).alias(name)
+
+    return summed.groupBy("topic", "is_total").agg(
+        F.sum("n").alias("containers"), F.min("pct").alias("min_pct"), point(0.05, "p05_pct"), point(0.5, "p50_pct"),
+        point(0.95, "p95_pct"), F.max("pct").alias("max_pct"))
+
+
 def traffic_locality(log: DataFrame, leaders: DataFrame, assignments: DataFrame, clients: DataFrame) -> DataFrame:
     """Local and remote consumption per host, with a total row.
 

@@ -377,11 +377,11 @@ def read_lines(
     return rows if last_ms is None else rows.filter(F.col("ts_ms") <= last_ms)
 
 
-def container_stats(spark: SparkSession, root: str) -> DataFrame:
-    """One row per visible container block, from the side files: no container is opened."""
+def container_stats(spark: SparkSession, root: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """One row per visible container block (of the given commits), from the side files: no container is opened."""
     base = qualified(spark, root)
     fs, inner = filesystem(base)
-    sides = [f"{base.rstrip('/')}/{STATS}/{p.stats}" for parts in visible(fs, inner).values() for p in parts]
+    sides = [f"{base.rstrip('/')}/{STATS}/{p.stats}" for key, parts in visible(fs, inner).items() if keys is None or key in keys for p in parts]
     if not sides:
         return spark.createDataFrame([], STATS_DDL)
     return spark.read.schema(STATS_DDL).parquet(*sides)
