@@ -10,10 +10,11 @@ the one that blocks and file writing use, too.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import int_div
+from ..session import stored
 from .common import ROLL_BYTES, ROLL_ROWS, STEP_ROWS, STRETCH_STEPS, TP, before
 
 ANOMALIES = ("gap", "beyond_hw")
@@ -177,6 +178,7 @@ def strict_offsets(audited: DataFrame) -> DataFrame:
 # compose to clamps and steps, so a whole slice is one such function with three numbers.
 
 _LOW, _HIGH = -(2**63), 2**63 - 1
+POINTS = "array<struct<_seq:bigint,_to:bigint>>"
 
 
 def _clamp(x: int, lo: int, hi: int) -> int:
@@ -226,9 +228,9 @@ def _resets(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     e, found = int(rows["_entry"].iloc[0]), []
     for seq, o, h in zip(rows["arrival_seq"].tolist(), rows["offset"].tolist(), rows["_known"].tolist()):
         if e > o and e > h:
-            found.append((*key, seq, h))
+            found.append({"_seq": seq, "_to": h})
         e = _advance(e, o, h)
-    return pd.DataFrame(found, columns=[*_SLICE, "_seq", "_to"])
+    return pd.DataFrame([(*key, found)], columns=[*_SLICE, "_points"]).iloc[:1 if found else 0]
 
 
 def sink_to_high_watermark(
@@ -240,28 +242,37 @@ def sink_to_high_watermark(
     ``beyond_hw`` and the watermark as ``next_offset``.  An unknown watermark (NULL) never
     resets.
 
-    The plain expectation is never below the sinking one, so slices in which it stays within
-    the watermark cannot reset and are summed up by built-in functions.  Only the narrow
-    columns of the other slices are walked in Python, and what comes back is their reset
-    points.  Between two of those the plain rule holds again, so the wide rows are joined on
-    their slice alone, as in the plain audit.
+    One pass over the narrow columns leaves a stored row per slice: its highest offset, its lowest
+    watermark, and whether its own offsets alone pass a watermark. The plain expectation is never
+    below the sinking one, so a slice whose plain entry and offsets stay within its watermarks
+    cannot reset, and without any other slice the plain audit is the result. The narrow rows of
+    risky slices are walked in Python, and what comes back is their reset points. Between two of
+    those the plain rule holds again, so the wide rows are joined on their slice alone, as in the
+    plain audit. Only where other slices follow a risky one is it summed up first.
     """
-    rows = _slices(log, slice_rows).withColumn("_known", F.coalesce("high_watermark", F.lit(_HIGH)))
-    narrow = rows.select(*_SLICE, "arrival_seq", "offset", "_known")
+    rows = _slices(log, slice_rows)
+    narrow = rows.select(*_SLICE, "arrival_seq", "offset", F.coalesce("high_watermark", F.lit(_HIGH)).alias("_known"))
     types = narrow.schema
     key_ddl = ", ".join(f"{c} {types[c].dataType.simpleString()}" for c in _SLICE)
     earlier = F.max("offset").over(before(_SLICE, "arrival_seq"))
-    plain = narrow.join(_floors(narrow, start), _SLICE).withColumn("_plain", F.greatest("_floor", earlier + 1))
-    sums = plain.groupBy(*_SLICE).agg(F.max("offset").alias("_top"), F.bool_or(F.col("_plain") > F.col("_known")).alias("_risky"))
-    calm = sums.filter("NOT _risky").select(
-        *_SLICE, F.lit(False).alias("_step"), (F.col("_top") + 1).alias("_a"), F.lit(_HIGH).alias("_b"), F.lit(0).cast("long").alias("_t"))
-    risky = narrow.join(sums.filter("_risky").select(*_SLICE), _SLICE, "left_semi")
-    walked = risky.groupBy(*_SLICE).applyInPandas(_summarise, f"{key_ddl}, _step boolean, _a long, _b long, _t long")
-    entries = _with_start(calm.unionByName(walked), start).groupBy(*TP).applyInPandas(_walk_slices, f"{key_ddl}, _entry long")
-    points = (
-        risky.join(entries, _SLICE).groupBy(*_SLICE).applyInPandas(_resets, f"{key_ddl}, _seq long, _to long")
-        .groupBy(*_SLICE).agg(F.array_sort(F.collect_list(F.struct("_seq", "_to"))).alias("_points"))
-    )
+    sums = stored(narrow.withColumn("_over", F.coalesce(earlier + 1 > F.col("_known"), F.lit(False))).groupBy(*_SLICE).agg(
+        F.max("offset").alias("_top"), F.min("_known").alias("_least"), F.bool_or("_over").alias("_over")), "slices")
+    seen = F.max("_top").over(before(TP, "roll"))
+    entered = _with_start(sums.withColumn("_seen", seen), start).withColumn("_floor", F.greatest("_start", F.col("_seen") + 1))
+    judged = entered.withColumn("_risky", F.col("_over") | (F.col("_floor") > F.col("_least"))).withColumn(
+        "_last", F.col("roll") == F.max("roll").over(Window.partitionBy(*TP)))
+    entries, risky = entered.select(*_SLICE, F.col("_floor").alias("_entry")), judged.filter("_risky").select(*_SLICE)
+    some = narrow.join(risky, _SLICE, "left_semi")
+    if not judged.filter("_risky AND NOT _last").isEmpty():
+        # Slices after a risky one begin where it ends.
+        calm = judged.filter("NOT _risky").select(
+            *_SLICE, F.lit(False).alias("_step"), (F.col("_top") + 1).alias("_a"), F.lit(_HIGH).alias("_b"), F.lit(0).cast("long").alias("_t"))
+        some = stored(some, "riskyrows")
+        walked = some.groupBy(*_SLICE).applyInPandas(_summarise, f"{key_ddl}, _step boolean, _a long, _b long, _t long")
+        entries = stored(_with_start(calm.unionByName(walked), start).groupBy(*TP).applyInPandas(_walk_slices, f"{key_ddl}, _entry long"), "entries")
+    points = some.join(entries, _SLICE).groupBy(*_SLICE).applyInPandas(_resets, f"{key_ddl}, _points {POINTS}")
+    if risky.isEmpty():
+        points = risky.withColumn("_points", F.lit(None).cast(POINTS))
     placed = rows.join(entries.join(points, _SLICE, "left"), _SLICE)
     passed = F.filter("_points", lambda p: p["_seq"] < F.col("arrival_seq"))
     stretch = F.when(F.col("_points").isNull(), 0).otherwise(F.size(passed))
@@ -269,7 +280,7 @@ def sink_to_high_watermark(
     seen = F.max("offset").over(before([*_SLICE, "_stretch"], "arrival_seq"))
     audited = _verdict(
         placed.withColumn("_stretch", stretch).withColumn("expected", F.greatest(base, seen + 1))
-        .drop("_entry", "_points", "_stretch", "_known")
+        .drop("_entry", "_points", "_stretch")
     )
     sunk = F.col("status") == "beyond_hw"
     return audited.withColumn(
