@@ -520,14 +520,32 @@ def _lines(path: str, data: bytes, records: int) -> pa.RecordBatch:
                 break
             if count < 0:
                 count, (_, pos) = -count, _read_long(data, pos)
-            for idx in range(idx, idx + count):
-                ms, pos = _read_long(data, pos)
-                size, pos = _read_long(data, pos)
+            indexes.extend(range(idx, idx + count))
+            for _ in range(count):
+                # Numbers of one or two bytes, nearly all of them, are read in place.
+                z = data[pos]
+                if z < 0x80:
+                    pos += 1
+                    ms = (z >> 1) ^ -(z & 1)
+                elif data[pos + 1] < 0x80:
+                    z = (z & 0x7F) | (data[pos + 1] << 7)
+                    pos += 2
+                    ms = (z >> 1) ^ -(z & 1)
+                else:
+                    ms, pos = _read_long(data, pos)
+                z = data[pos]
+                if z < 0x80:
+                    pos += 1
+                    size = z >> 1
+                elif data[pos + 1] < 0x80:
+                    size = ((z & 0x7F) | (data[pos + 1] << 7)) >> 1
+                    pos += 2
+                else:
+                    size, pos = _read_long(data, pos)
                 stamps.append(base + ms)
                 messages.append(data[pos:pos + size])
-                indexes.append(idx)
                 pos += size
-            idx += 1
+            idx += count
         seconds += [second] * idx
         created += [create_time] * idx
         numbers += [number] * idx
