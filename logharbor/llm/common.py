@@ -41,6 +41,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``df`` stored in buckets by ``keys``, so that later joins on them shuffle the other side alone.
+
+    The files lie in the cluster's shared folder; the catalog only names them for this session.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_dir(spark, name)
+    label = "dealt_" + path.rsplit("-", 1)[1]
+    df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(label)
+    return spark.table(label)
+
+
 def worker_state() -> dict:
     """A dictionary that lives as long as the Python worker (tasks share it).
 

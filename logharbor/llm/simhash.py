@@ -34,12 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import forest, in_blocks, per_block, sides
-from .common import small_batches, stored
+from .common import dealt, small_batches, stored
 from .components import components
 
 SEED = 42
 BLOCK = 1024
-EXACT_BLOCK = 128       # shingle sets a side of a block
+EXACT_BLOCK = 512       # shingle sets a side of a block
 CANDIDATE_RADIUS = 84   # of 256 bits; sets at 0.8 differ in 39 on average, with a deviation of 6
 ORDER_SAMPLE, ORDER_LEAST, ORDER_MOST = 64, 4, 1 << 16      # one text in 64; shingles in 4 of them, up to so many, come last
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -257,13 +257,16 @@ def with_prefix(df: DataFrame, words: int, bits: int, similarity: float, common:
 def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
     """Links ``a, b`` between sets ``(node, size, fp, prefix)`` that may be alike; a superset by construction.
 
+    Most prefix shingles occur once: they are counted alone and go before anything wider is made.
     Postings with the same members are one posting.
     """
     postings = sets.select("node", F.explode("prefix").alias("key"))
-    counts = postings.groupBy("key").agg(
+    often = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    met = stored(postings.join(often, "key"), "met")
+    members = met.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y"))
-    keys = stored(counts.filter("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "keys")
-    shared = stored(postings.join(keys, "key"), "postings")
+    keys = stored(members.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "keys")
+    shared = stored(met.join(keys, "key"), "postings")
     blocks = in_blocks(shared, ["key"], "node", BLOCK).join(sets.select("node", "size", "fp"), "node")
     return per_block(blocks, ["key"], _candidates(similarity), "a bigint, b bigint")
 
@@ -345,11 +348,15 @@ def one_per_group(documents: DataFrame, words: int = 5, bits: int = 256, similar
     sets = stored(prints.groupBy("node").agg(low, *(F.first(c).alias(c) for c in ("size", "fp", "prefix"))), "shinglesets")
     near = components(candidate_links(sets, similarity))
     members = stored(sets.select("node", "row._r1", "row._r2").join(near, "node"), "members")
-    texts = keyed.select("text", "_r1", "_r2").join(members, ["_r1", "_r2"]).dropDuplicates(["node"])
+    # Whole rows cross the network once: both joins with them find them dealt out by their key.
+    wide = dealt(documents.select(F.struct("*").alias("_row"), *key), ["_r1", "_r2"], "rows")
+    texts = wide.select("_row.text", "_r1", "_r2").join(members, ["_r1", "_r2"]).dropDuplicates(["node"])
     blocks = in_blocks(stored(_with_shingles(texts, words), "sets"), ["component"], "node", EXACT_BLOCK)
     links = per_block(blocks, ["component"], _exact_links(similarity), "a bigint, b bigint")
     groups = sets.select("node", "row").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    kept = stored(groups.groupBy("component").agg(F.min("row").alias("row")).select("row._r1", "row._r2"), "kept")
-    rows = documents.select(F.struct("*").alias("_row"), *key).join(kept, ["_r1", "_r2"], "left_semi")
-    # Repeated rows share the key: one of them stays.
-    return rows.dropDuplicates(["_r1", "_r2"]).select("_row.*")
+    kept = groups.groupBy("component").agg(F.min("row").alias("row")).select("row._r1", "row._r2")
+    # Repeated rows share the key, and one of them stays; only those are gathered for it.
+    again = keyed.groupBy("_r1", "_r2").agg(F.count("*").alias("_n")).filter("_n > 1").select("_r1", "_r2", F.lit(True).alias("_again"))
+    kept = stored(kept.join(again, ["_r1", "_r2"], "left").withColumn("_again", F.coalesce("_again", F.lit(False))), "kept")
+    rows = wide.join(kept, ["_r1", "_r2"])
+    return rows.filter("NOT _again").select("_row.*").union(rows.filter("_again").dropDuplicates(["_r1", "_r2"]).select("_row.*"))

@@ -49,3 +49,10 @@ def test_no_pair_below_080_is_deleted(spark):
         pairs.append(tuple(text_of(np.concatenate([*[passage] * 10, rng.integers(0, 1 << 40, 400)])) for _ in range(2)))
     assert all(similarity(*p) < 0.2 for p in pairs[300:])
     assert len(kept_of(spark, pairs)) == 680
+
+
+def test_repeated_rows_leave_one(spark):
+    text = text_of(range(40))
+    rows = spark.createDataFrame([(1, text, "a")] * 3 + [(2, text, "b"), (None, None, None), (None, None, None), (7, "x " * 9, "c")],
+                                 "doc_id bigint, text string, extra string")
+    assert sorted((r.doc_id or 0, r.extra) for r in simhash.one_per_group(rows).collect()) == [(0, None), (1, "a"), (7, "c")]

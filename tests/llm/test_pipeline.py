@@ -66,6 +66,29 @@ def test_one_of_each_group_stays(stages):
     assert all(likest[i] > 0.6 for i in lost) and all(i in after for i in ids if likest[i] < 0.5)
 
 
+def test_near_duplicates_equal_brute_force(stages):
+    """Exactly the smallest document of each component of pairs at 0.8 or more stays."""
+    sets = {r.doc_id: shingles(r.text) for r in stages[1]}
+    by_shingle, low = {}, {i: i for i in sets}
+
+    def top(i):
+        while low[i] != i:
+            low[i] = low[low[i]]
+            i = low[i]
+        return i
+
+    for i in sorted(sets):
+        others = Counter(j for s in sets[i] for j in by_shingle.get(s, ()))
+        for j, n in others.items():
+            if n / (len(sets[i]) + len(sets[j]) - n) >= 0.8:
+                a, b = sorted((top(i), top(j)))
+                low[b] = a
+        for s in sets[i]:
+            by_shingle.setdefault(s, []).append(i)
+    assert {r.doc_id for r in stages[2]} == {i for i in sets if top(i) == i}
+    assert len(stages[2]) < len(stages[1])
+
+
 def test_personal_data_is_gone(stages):
     before, after = {r.doc_id: r.text for r in stages[2]}, {r.doc_id: r for r in stages[3]}
     assert before.keys() == after.keys()
