@@ -13,6 +13,8 @@ headings of an article, list items, cells and inline elements are an author's ow
 A subtree counts once per distinct article or root it lies in (outside roots: per distinct page), so
 copies of an article or a page count once. The count needed does not grow with the host. A page's
 recurring hashes are found by a join, so there is no list per host.
+Parsing takes time in proportion to the length, however broken the markup. A class or id marks an
+element by its whole name: a compound one only if all its words are known ("site-nav", not "ad-free").
 Rows with a null or empty html have no text; a null or strange url puts the page on
 a host of its own name (the empty host is never counted). Repeated rows give repeated results.
 """
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -60,10 +63,20 @@ HEADED = frozenset("p h1 h2 h3 h4 h5 h6".split())
 PARTS = frozenset("li dt dd tr td th thead tbody tfoot article main".split())
 SENTENCES = HEADED | frozenset("li dt dd td th blockquote pre figcaption".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_WORD = re.compile(r"[A-Za-z]+")
+# Words that say nothing by themselves in a compound name: "site-nav" is a menu, "nav-theory" is not.
+NEUTRAL = frozenset(
+    "area articles bar block body bottom box button buttons col column container desktop form global google head holder inline inner item "
+    "items leaderboard left link links list main mobile module outer page panel posts primary rail reader right row secondary section "
+    "site slot stories text thread top trail unit user wrap wrapper x".split())
+
+NAMES = MARKS | PAGE_MARKS | CONTENT | NEUTRAL
+
+_ASIDE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?", re.DOTALL)
+_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)")
+_UNQUOTED = re.compile(r"[^>\"']*+")
+_LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/<>]*+)([^<>]*+)>")
+_ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
@@ -75,71 +88,138 @@ class Node:
         self.hash = 0
 
 
+class Tags:
+    """The tags of a source in order, in time linear in its length.
+
+    A tag whose quotes never close cannot be told from text. Up to the last such quote a tag then
+    ends at the next ``>`` that no ``<`` comes before, quotes or not; each kind of quote, and the
+    lack of a ``>``, is found out once.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.loose_until = source, 0
+
+    def at(self, start: int) -> tuple[int, str, str, str] | None:
+        """End, slash, name and attributes of the tag at ``start``; None if there is none."""
+        if start >= self.loose_until:
+            m = _NAME.match(self.source, start)
+            if not m:
+                return None
+            end = self._end(m.end())
+            if end is not None:
+                return end, m.group(1), m.group(2), self.source[m.end():end - 1]
+        m = _LOOSE.match(self.source, start)
+        return (m.end(), *m.groups()) if m else None
+
+    def _end(self, at: int) -> int | None:
+        while True:
+            at = _UNQUOTED.match(self.source, at).end()
+            if at == len(self.source):
+                self.loose_until = at
+                return None
+            if self.source[at] == ">":
+                return at + 1
+            closing = self.source.find(self.source[at], at + 1)
+            if closing < 0:
+                self.loose_until = at + 1
+                return None
+            at = closing + 1
+
+
+class Path:
+    """Open elements from the root on, with their depths by tag, so that no search walks up a deep tree."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.depths, self.scopes = [root], {}, [0]
+
+    def open(self, node: Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in SCOPES:
+            self.scopes.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Close the element of that depth and all below it."""
+        while len(self.nodes) > depth:
+            tag = self.nodes.pop().tag
+            self.depths[tag].pop()
+            if tag in SCOPES:
+                self.scopes.pop()
+
+    def close(self, tag: str) -> None:
+        depths = self.depths.get(tag)
+        if depths and (tag in BLOCKS or depths[-1] > self.scopes[-1]):
+            self.cut(depths[-1])
+
+    def close_implied(self, tag: str) -> None:
+        """Close what a new ``tag`` ends: an open paragraph, or an open item of the same list."""
+        ends = CLOSED_BY_SAME.get(tag, "").split()
+        at = len(self.scopes) - 1
+        while at > 0 and self.nodes[self.scopes[at]].tag in ends:
+            at -= 1
+        stop = self.scopes[at]
+        items = [d for d in (self._within(e, stop) for e in ends) if d]
+        if items:
+            self.cut(min(d[0] for d in items) if tag == "tr" else max(d[-1] for d in items))
+        elif tag in CLOSES_P:
+            paragraphs = self._within("p", stop)
+            if paragraphs:
+                self.cut(paragraphs[0] if ends else paragraphs[-1])
+
+    def _within(self, tag: str, stop: int) -> list[int]:
+        depths = self.depths.get(tag)
+        return depths[bisect_right(depths, stop):] if depths and depths[-1] > stop else []
+
+
 def parse(source: str) -> Node:
     """Element tree; unclosed and stray tags are mended the way browsers do in the common cases."""
     root = Node("html", {}, None)
-    at_node, at = root, 0
-    depth = 0
+    path, tags = Path(root), Tags(source)
+    at = look = 0               # where the open text starts, and where the next "<" is looked for
+    has_body = False
     while True:
-        m = _TOKEN.search(source, at)
-        if not m:
+        start = source.find("<", look)
+        if start < 0:
             break
-        if m.start() > at:
-            at_node.children.append(entities.unescape(source[at:m.start()]))
-        at = m.end()
-        tag = m.group(2)
-        if tag is None:
-            if m.group().startswith("<![CDATA["):
-                at_node.children.append(m.group()[9:].removesuffix("]]>"))
+        aside = _ASIDE.match(source, start)
+        tag = None if aside else tags.at(start)
+        if not aside and not tag:
+            look = start + 1
+            continue
+        if start > at:
+            path.nodes[-1].children.append(entities.unescape(source[at:start]))
+        if aside:
+            at = look = aside.end()
+            if aside.group().startswith("<![CDATA["):
+                path.nodes[-1].children.append(aside.group()[9:].removesuffix("]]>"))
             continue
-        tag = tag.lower()
-        if m.group(1):
-            node = at_node
-            while node is not None and node.tag != tag:
-                if node.tag in SCOPES and tag not in BLOCKS:
-                    node = None
-                    break
-                node = node.parent
-            if node is not None and node.parent is not None:
-                at_node = node.parent
+        at, slash, name, inside = tag
+        look, name = at, name.lower()
+        if slash:
+            path.close(name)
             continue
-        if tag in ("html", "body") and (tag == "html" or any(isinstance(c, Node) and c.tag == "body" for c in root.children)):
+        if name == "html" or name == "body" and has_body:
             continue
-        if tag in CLOSES_P or tag in CLOSED_BY_SAME:
-            at_node = _close_implied(at_node, tag)
-        attributes = {k.lower(): entities.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(m.group(3))} if m.group(3) else {}
-        node = Node(tag, attributes, at_node)
-        at_node.children.append(node)
-        if tag in VOID or m.group(3).endswith("/") and tag not in BLOCKS:
+        if name in CLOSES_P or name in CLOSED_BY_SAME:
+            path.close_implied(name)
+        attributes = {k.lower(): entities.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(inside)} if inside else {}
+        above = path.nodes[-1]
+        node = Node(name, attributes, above)
+        above.children.append(node)
+        has_body = has_body or name == "body" and above is root
+        if name in VOID or inside.endswith("/") and name not in BLOCKS:
             continue
-        if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(source, at)
+        if name in RAW:
+            end = re.compile(rf"</{name}\s*+>", re.IGNORECASE).search(source, at)
             node.children.append(source[at:end.start() if end else len(source)])
-            at = end.end() if end else len(source)
+            at = look = end.end() if end else len(source)
             continue
-        at_node = node
+        path.open(node)
     if at < len(source):
-        at_node.children.append(entities.unescape(source[at:]))
+        path.nodes[-1].children.append(entities.unescape(source[at:]))
     return root
 
 
-def _close_implied(node: Node, tag: str) -> Node:
-    """Where a new ``tag`` goes: above an open paragraph, or an open item of the same list."""
-    ends = CLOSED_BY_SAME.get(tag, "").split()
-    probe = node
-    while probe is not None and probe.parent is not None:
-        if probe.tag in ends or probe.tag == "p" and tag in CLOSES_P:
-            node = probe.parent
-            if not ends:
-                break
-            if probe.tag in ends and tag != "tr":
-                break
-        elif probe.tag in SCOPES and not (ends and probe.tag in ends):
-            break
-        probe = probe.parent
-    return node
-
-
 def never_text(node: Node, in_content: bool) -> bool:
     """By its tag or markings, an element that holds no article text."""
     a = node.attributes
@@ -158,8 +238,20 @@ def never_text(node: Node, in_content: bool) -> bool:
 
 
 def _marks(a: dict[str, str]) -> set[str]:
-    named = f"{a.get('class', '')} {a.get('id', '')}"
-    return {w.lower() for w in _WORD.findall(named)} if named != " " else set()
+    """Class and id names, and the words of compound names that consist of known words alone."""
+    found: set[str] = set()
+    for name in f"{a.get('class', '')} {a.get('id', '')}".split():
+        words = [w.lower() for w in _WORD.findall(name)]
+        if len(words) == 1 or all(w in NAMES or w.startswith(MARK_STEMS) for w in words):
+            found.update(words)
+        else:
+            found.add(name.lower())
+    return found
+
+
+def marked_content(a: dict[str, str]) -> bool:
+    marks = _marks(a)
+    return bool(marks & CONTENT) and not marks & PAGE_MARKS
 
 
 def walk(root: Node) -> Iterator[Node]:
@@ -200,7 +292,7 @@ def content_roots(root: Node) -> list[Node]:
         elif is_main(node) and not inside and main is None:
             found.append((node, None))
             main = node
-        elif not within and (node.tag in ("div", "section") and _marks(node.attributes) & CONTENT or
+        elif not within and (node.tag in ("div", "section") and marked_content(node.attributes) or
                              node.attributes.get("itemprop", "").lower() == "articlebody"):
             marked.append(node)
             within = True
