@@ -8,7 +8,8 @@ them is within half of that of the plane between those cells, and visits the oth
 lost; recall is one whatever the centroids are.
 
 Equal vectors of a label are compared once, with their count. Cells are compared in blocks of
-bounded size; a block yields a count per vector and a forest of its links, never its pairs. A pair
+bounded size, and a block's pairs in chunks, so a block of links all over takes no more memory than
+one of none; it yields a count per vector and a forest of its links, never its pairs. A pair
 that meets in two cells is counted in the lower one.
 
 Null, zero, or partly null or non-finite vectors, and rows with a null label, link with nothing.
@@ -35,6 +36,7 @@ CELL_ROWS = 4096        # vectors per cell wanted, over all labels
 MAX_CELLS = 1024
 ROUNDS = 8
 BLOCK = 2048
+CHUNK = 1 << 21         # numbers of pairs held at a time while a block is compared
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 5) -> np.ndarray:
@@ -131,6 +133,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
 
 
 def _compare(threshold: float):
+    """Links of a block, its pairs decided in chunks: a worker holds the block's vectors and ``CHUNK`` numbers more."""
     def links(table: pa.Table) -> pa.RecordBatch | None:
         node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
         home, cell = table.column("home").to_numpy(), int(table.column("cell")[0].as_py())
@@ -139,27 +142,46 @@ def _compare(threshold: float):
         if not len(left) or not len(right):
             return None
         norms = np.sqrt((x * x).sum(axis=1))
-        i, j = np.nonzero((x[left] @ x[right].T) / norms[left][:, None] / norms[right][None, :] >= threshold - 1e-12)
-        i, j = left[i], right[j]
-        keep = (home[i] == cell) | (home[j] == cell)
-        if same_chunk:
-            keep &= i < j
-        i, j = i[keep], j[keep]
-        # Sums of a matrix product may differ in the last digits: what decides is one plain sum.
-        exact = (x[i] * x[j]).sum(axis=1) / (norms[i] * norms[j]) >= threshold
-        i, j = i[exact], j[exact]
-        if not len(i):
-            return None
-        visits = [frozenset(v) for v in table.column("visits").to_pylist()]
-        guest = np.where(home[i] == cell, j, i)
-        host = np.where(home[i] == cell, i, j)
-        # A pair with two homes is counted here if it does not meet in the other home, or this is the lower one.
-        here = np.array([home[g] == cell or cell < home[g] or int(home[g]) not in visits[h] for g, h in zip(guest.tolist(), host.tolist())])
-        counts = np.bincount(i[here], copies[j[here]], len(node)) + np.bincount(j[here], copies[i[here]], len(node))
-        a, b = forest(len(node), i, j)
-        joined = {int(p): int(node[q]) for p, q in zip(a, b)}
-        rows = [(int(node[k]), int(counts[k]), joined.get(k)) for k in range(len(node)) if counts[k] or k in joined]
-        n, c, other = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (n, c, other)], names=["node", "links", "joined"])
+        cells, visiting = _visited(table.column("visits").combine_chunks(), home)
+        place = np.searchsorted(cells, home)
+        counts, label = np.zeros(len(node)), np.arange(len(node))
+        theirs, rows, pairs = x[right].T / norms[right], max(1, CHUNK // len(right)), max(1, CHUNK // x.shape[1])
+        for at in range(0, len(left), rows):
+            mine = left[at:at + rows]
+            cosine = (x[mine] @ theirs) / norms[mine][:, None]
+            near_i, near_j = np.nonzero(cosine >= threshold - 1e-12)
+            sure = cosine[near_i, near_j] > threshold + 1e-12
+            near_i, near_j = mine[near_i], right[near_j]
+            keep = (home[near_i] == cell) | (home[near_j] == cell)
+            if same_chunk:
+                keep &= near_i < near_j
+            near_i, near_j, sure = near_i[keep], near_j[keep], sure[keep]
+            for k in range(0, len(near_i), pairs):
+                i, j, exact = near_i[k:k + pairs], near_j[k:k + pairs], sure[k:k + pairs].copy()
+                # Sums of a matrix product may differ in the last digits: where that matters, one plain sum decides.
+                edge = np.flatnonzero(~exact)
+                exact[edge] = (x[i[edge]] * x[j[edge]]).sum(axis=1) / (norms[i[edge]] * norms[j[edge]]) >= threshold
+                i, j = i[exact], j[exact]
+                guest, host = np.where(home[i] == cell, j, i), np.where(home[i] == cell, i, j)
+                # A pair with two homes is counted here if it does not meet in the other home, or this is the lower one.
+                here = (home[guest] == cell) | (cell < home[guest]) | ~visiting[host, place[guest]]
+                counts += np.bincount(i[here], copies[j[here]], len(node)) + np.bincount(j[here], copies[i[here]], len(node))
+                grown = np.flatnonzero(label != np.arange(len(node)))
+                a, b = forest(len(node), np.concatenate([grown, i]), np.concatenate([label[grown], j]))
+                label[a] = b
+        told = np.flatnonzero((counts > 0) | (label != np.arange(len(node))))
+        joined = pa.array(node[label[told]], mask=label[told] == told)
+        return pa.RecordBatch.from_arrays([pa.array(node[told]), pa.array(counts[told].astype(np.int64)), joined], names=["node", "links", "joined"])
 
     return links
+
+
+def _visited(visits: pa.Array, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The homes of a block's vectors, sorted, and a bit for each vector and each of them that it visits."""
+    cells = np.unique(home)
+    flat = visits.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    who = np.repeat(np.arange(len(home)), visits.value_lengths().to_numpy(zero_copy_only=False))
+    at = np.minimum(np.searchsorted(cells, flat), len(cells) - 1)
+    found = np.zeros((len(home), len(cells)), bool)
+    found[who[cells[at] == flat], at[cells[at] == flat]] = True
+    return cells, found
