@@ -3,9 +3,9 @@
 A fingerprint of ``bits`` bits has a byte at each of its positions. Two fingerprints within
 ``radius`` bits differ in at most ``radius`` bytes, so at least ``bytes - radius`` positional
 bytes are shared: the guaranteed count. The postings are keyed by three positional bytes, for a
-family of position triples of which every set of the guaranteed size holds one. The triple key
-replaces the count filter: pairs that meet in a posting are verified on all bits, and the tally of
-their bytes afterwards drops none at this radius.
+family of position triples of which every set of the guaranteed size holds one. Pairs that meet
+in a posting are tallied, their shared positional bytes counted; those that reach the guaranteed
+count are retained, and only they are verified on all bits.
 
 With 64 bits and radius 3 five of eight bytes are shared, three of them in one half of the
 fingerprint: the eight triples inside the halves lose no pair (``HALVES``). For wider radii
@@ -134,6 +134,15 @@ def _posting_keys(family: list[tuple[int, int, int]]) -> Column:
         for k, (a, b, c) in enumerate(family)])
 
 
+def equal_bytes(apart: np.ndarray) -> np.ndarray:
+    """How many of the eight bytes of each 64-bit word are zero.
+
+    Adding 127 to the low seven bits of a byte reaches its top bit unless they are zero.
+    """
+    low = np.uint64(0x7F7F7F7F7F7F7F7F)
+    return np.bitwise_count(~(((apart & low) + low) | apart | low))
+
+
 def fingerprint_links(fps: DataFrame, family: list[tuple[int, int, int]], radius: int, min_shared: int, positions: int) -> DataFrame:
     """Links ``a, b`` between the distinct fingerprints of ``fps (node, fp)``, a stored table.
 
@@ -154,22 +163,17 @@ def _block_links(radius: int, min_shared: int, positions: int):
             return None
         first, second = [], []
         step = max(1, (1 << 18) // len(right))
+        indexed = words[:, :positions // 8]
         for at in range(0, len(left), step):
             mine = left[at:at + step]
-            apart = words[mine][:, None, :] ^ words[right][None, :, :]
-            i, j = np.nonzero(np.bitwise_count(apart).sum(axis=2, dtype=np.int64) <= radius)
+            tally = sum(equal_bytes(indexed[mine, w][:, None] ^ indexed[right, w][None, :]) for w in range(indexed.shape[1]))
+            i, j = np.nonzero(tally >= min_shared)
             i, j = mine[i], right[j]
             keep = i < j if same_chunk else np.ones(len(i), bool)
             i, j = i[keep], j[keep]
-            if not len(i):
-                continue
-            # The tally: positional bytes that both have, over the indexed positions.
-            alike = (words[i] ^ words[j]).astype(">u8").view(np.uint8).reshape(len(i), -1)[:, :positions] == 0
-            enough = alike.sum(axis=1) >= min_shared
-            first.append(i[enough])
-            second.append(j[enough])
-        if not first:
-            return None
+            near = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64) <= radius
+            first.append(i[near])
+            second.append(j[near])
         a, b = forest(len(node), np.concatenate(first), np.concatenate(second))
         return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
