@@ -9,14 +9,13 @@ For scoring, embedding and filters are multiplied out: a response is a sum of ro
 byte pairs, so no multiplication is left in the inner loop.
 
 A null text, or one without a letter, is ``und`` with score 0. Training takes at most
-about ``SAMPLE_DOCS`` documents (by a hash of the id), as many per language where there are enough, and
+about ``SAMPLE_DOCS`` documents (by a hash of the id; twice their windows where ids repeat), as many per language where there are enough, and
 ``DOC_WINDOWS`` windows of each, spread over the whole text; rows without language are left out.
 With no labelled row at all everything is ``und``.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +34,11 @@ SAMPLE_DOCS = 3000          # documents the network is trained on, at most
 DOC_WINDOWS = 4
 EPOCHS, BATCH, RATE = 4, 64, 0.01
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter by its general category (digits, powers and numerals are none)."""
+    return any(map(str.isalpha, text))
 
 
 def windows(data: bytes) -> np.ndarray:
@@ -85,7 +88,7 @@ class Scorer:
         return np.concatenate(out)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.net.languages or not LETTER.search(text):
+        if not text or not self.net.languages or not has_letter(text):
             return UNKNOWN, 0.0
         data = text.lower().encode()
         cut = windows(data)
@@ -171,7 +174,7 @@ def train(documents: DataFrame, folds: int = 5, held_out: int = 0, sample_docs:
             ids, langs, cut = [], [], []
             for i, text, lang in zip(batch.column(0), batch.column(1), batch.column(2)):
                 text = text.as_py()
-                if not LETTER.search(text):
+                if not has_letter(text):
                     continue
                 all_windows = windows(text.lower().encode())
                 for k in sorted({int(x) for x in np.linspace(0, len(all_windows) - 1, DOC_WINDOWS)}):
@@ -181,8 +184,10 @@ def train(documents: DataFrame, folds: int = 5, held_out: int = 0, sample_docs:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(cut, pa.binary())],
                                              names=["doc_id", "lang", "bytes"])
 
-    got = small_batches(sample.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")).mapInArrow(
-        run, "doc_id bigint, lang string, bytes binary").collect()
+    cut = small_batches(sample.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")).mapInArrow(
+        run, "doc_id bigint, lang string, bytes binary")
+    # The hash picks by id, so an id with very many rows is picked whole: what the driver gets is bounded here.
+    got = cut.orderBy(F.xxhash64("doc_id", "bytes"), "doc_id", "lang", "bytes").limit(2 * sample_docs * DOC_WINDOWS).collect()
     got.sort(key=lambda r: (r.doc_id, r.lang, bytes(r.bytes)))
     data = np.frombuffer(b"".join(bytes(r.bytes) for r in got), np.uint8).reshape(-1, WINDOW)
     return fit(data, np.array([languages.index(r.lang) for r in got], np.int64), languages)
