@@ -141,8 +141,10 @@ def train(documents: DataFrame, labels: DataFrame, folds: int = 4, held_out: int
 
     # The sample has a fixed bound, so it may be broadcast.
     rows = documents.select("doc_id", "text", F.col("n_chars").cast("bigint").alias("n_chars")).join(F.broadcast(picked), "doc_id")
-    got = small_batches(rows.select("doc_id", "quality", "text", "n_chars")).mapInArrow(
-        run, f"doc_id {dict(rows.dtypes)['doc_id']}, quality double, index array<int>, value array<double>, stats array<double>").collect()
+    drawn = small_batches(rows.select("doc_id", "quality", "text", "n_chars")).mapInArrow(
+        run, f"doc_id {dict(rows.dtypes)['doc_id']}, quality double, index array<int>, value array<double>, stats array<double>")
+    # An id may have very many rows: what the driver gets is bounded after the join, by a hash of id and features.
+    got = drawn.orderBy(F.xxhash64("doc_id", "index", "value", "stats"), "doc_id", "quality").limit(sample_rows).collect()
     got.sort(key=lambda r: (r.doc_id, r.quality, r.stats))
     vectors = [(np.array(r["index"], np.int64), np.array(r["value"]), np.array(r["stats"])) for r in got]
     return fit(vectors, np.array([r.quality for r in got]))
