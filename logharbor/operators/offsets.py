@@ -178,7 +178,7 @@ def strict_offsets(audited: DataFrame) -> DataFrame:
 # compose to clamps and steps, so a whole slice is one such function with three numbers.
 
 _LOW, _HIGH = -(2**63), 2**63 - 1
-POINTS = "array<struct<_seq:bigint,_to:bigint>>"
+POINTS = "_seq bigint, _to bigint, _nth bigint"
 
 
 def _clamp(x: int, lo: int, hi: int) -> int:
@@ -228,9 +228,9 @@ def _resets(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     e, found = int(rows["_entry"].iloc[0]), []
     for seq, o, h in zip(rows["arrival_seq"].tolist(), rows["offset"].tolist(), rows["_known"].tolist()):
         if e > o and e > h:
-            found.append({"_seq": seq, "_to": h})
+            found.append((*key, seq, h, len(found)))
         e = _advance(e, o, h)
-    return pd.DataFrame([(*key, found)], columns=[*_SLICE, "_points"]).iloc[:1 if found else 0]
+    return pd.DataFrame(found, columns=[*_SLICE, "_seq", "_to", "_nth"])
 
 
 def sink_to_high_watermark(
@@ -246,9 +246,11 @@ def sink_to_high_watermark(
     watermark, and whether its own offsets alone pass a watermark. The plain expectation is never
     below the sinking one, so a slice whose plain entry and offsets stay within its watermarks
     cannot reset, and without any other slice the plain audit is the result. The narrow rows of
-    risky slices are walked in Python, and what comes back is their reset points. Between two of
-    those the plain rule holds again, so the wide rows are joined on their slice alone, as in the
-    plain audit. Only where other slices follow a risky one is it summed up first.
+    risky slices are walked in Python, and what comes back is their reset points, a row each. Between
+    two of those the plain rule holds again: points take their place among the rows of their slice,
+    and a running maximum over (number of the last point, what is reached since) gives what a row
+    expects. No row carries more than its own point. Only where other slices follow a risky one is
+    it summed up first.
     """
     rows = _slices(log, slice_rows)
     narrow = rows.select(*_SLICE, "arrival_seq", "offset", F.coalesce("high_watermark", F.lit(_HIGH)).alias("_known"))
@@ -270,18 +272,25 @@ def sink_to_high_watermark(
         some = stored(some, "riskyrows")
         walked = some.groupBy(*_SLICE).applyInPandas(_summarise, f"{key_ddl}, _step boolean, _a long, _b long, _t long")
         entries = stored(_with_start(calm.unionByName(walked), start).groupBy(*TP).applyInPandas(_walk_slices, f"{key_ddl}, _entry long"), "entries")
-    points = some.join(entries, _SLICE).groupBy(*_SLICE).applyInPandas(_resets, f"{key_ddl}, _points {POINTS}")
+    placed = rows.join(entries, _SLICE)
+    reached = F.col("offset") + 1
     if risky.isEmpty():
-        points = risky.withColumn("_points", F.lit(None).cast(POINTS))
-    placed = rows.join(entries.join(points, _SLICE, "left"), _SLICE)
-    passed = F.filter("_points", lambda p: p["_seq"] < F.col("arrival_seq"))
-    stretch = F.when(F.col("_points").isNull(), 0).otherwise(F.size(passed))
-    base = F.when(F.col("_stretch") == 0, F.col("_entry")).otherwise(F.get("_points", F.col("_stretch") - 1)["_to"])
-    seen = F.max("offset").over(before([*_SLICE, "_stretch"], "arrival_seq"))
-    audited = _verdict(
-        placed.withColumn("_stretch", stretch).withColumn("expected", F.greatest(base, seen + 1))
-        .drop("_entry", "_points", "_stretch")
-    )
+        earlier = F.max(reached).over(before(_SLICE, "arrival_seq"))
+        audited = _verdict(placed.withColumn("expected", F.greatest("_entry", earlier)).drop("_entry"))
+    else:
+        points = some.join(entries, _SLICE).groupBy(*_SLICE).applyInPandas(_resets, f"{key_ddl}, {POINTS}")
+        # A point comes after the rows that arrived with it, and its number tells its stretch from the one before.
+        marks = points.select(*_SLICE, F.col("_seq").alias("arrival_seq"), "_nth", F.col("_to").alias("_reached"))
+        both = placed.withColumn("_nth", F.lit(-1).cast("long")).withColumn("_reached", reached).unionByName(marks, allowMissingColumns=True)
+        order = [F.col("arrival_seq"), F.col("_nth")]
+        opened = F.max("_nth").over(Window.partitionBy(*_SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+        stretch = F.struct(F.col("_stretch").alias("stretch"), F.col("_reached").alias("reached"))
+        latest = F.max(stretch).over(before(_SLICE, *order))
+        expected = F.when(F.col("_latest.stretch") >= 0, F.col("_latest.reached")).otherwise(F.greatest("_entry", F.col("_latest.reached")))
+        audited = _verdict(
+            both.withColumn("_stretch", opened).withColumn("_latest", latest).filter("_nth < 0").withColumn("expected", expected)
+            .drop("_entry", "_nth", "_reached", "_stretch", "_latest")
+        )
     sunk = F.col("status") == "beyond_hw"
     return audited.withColumn(
         "next_offset", F.when(sunk, F.col("high_watermark")).otherwise(F.col("next_offset"))

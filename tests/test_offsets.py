@@ -64,6 +64,23 @@ def test_sinking_matches_loop(spark, seed, slice_rows):
     assert any(s == "beyond_hw" for _, s, _, _ in want.values())
 
 
+def test_many_resets_in_a_slice(spark):
+    """Every second row resets; no row carries a list of the points of its slice."""
+    rows = [("t", 0, o, o + 2, 4 * k + 2 * again, f"p{k}") if again else ("t", 0, o, 10**6, 4 * k, f"p{k}")
+            for k in range(1500) for again, o in ((0, 3 * k + 9), (1, 3 * k))]
+    rows += [("t", 0, 5, 6, 4 * 700, "tied"), ("t", 0, 4, 5, 4 * 700 + 1, "after")]
+    rows.sort(key=lambda r: r[4])
+    rows = [(*r[:4], k, r[5]) for k, r in enumerate(rows)]
+    log = spark.createDataFrame(rows, DDL).repartition(3)
+    audited = of.sink_to_high_watermark(log)
+    assert got(audited) == sequential(rows, {}, True)
+    assert audited.filter("status = 'beyond_hw'").count() > 1000
+    nodes = [audited._jdf.queryExecution().optimizedPlan()]
+    for node in nodes:
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+        assert not any(node.output().apply(k).dataType().typeName() == "array" for k in range(node.output().size()))
+
+
 def test_function_of_a_slice():
     """The three-number summary equals walking the rows, for every start."""
     rng = random.Random(5)
