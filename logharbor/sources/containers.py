@@ -15,6 +15,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import lru_cache
@@ -50,8 +51,9 @@ SCHEMA = {
 }
 CONTAINER_BYTES = 2 << 20
 DEFLATE_LEVEL = 6
-WRITE_ROWS = 64                 # blocks of a megabyte at most per batch handed to a writer
-SPLIT_BYTES = 128 << 20
+WRITE_ROWS = 4096               # rows per batch handed to a writer or packer
+WRITE_BYTES = 64 << 20          # and their bytes: a block or container may be megabytes, so rows alone bound nothing
+SPLIT_BYTES = 16 << 20          # deflated bytes, which a task decodes in Python: half a million lines or so
 HEAD_BYTES = 64 << 10           # first read of a file; more where its header is longer
 OPEN_COST_BYTES = 256 << 10     # what opening one more file is taken to cost when packing splits
 FORMAT = "line_container"
@@ -633,14 +635,25 @@ def write_containers(
 def _save(rows: DataFrame, root: str, level: int, mode: str, form: str) -> None:
     spark = rows.sparkSession
     register(spark)
-    # A row may be megabytes, so the default of 10,000 rows a batch would not fit a worker.
-    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(limit)
-    spark.conf.set(limit, str(WRITE_ROWS))
-    try:
+    with bounded_batches(spark):
         rows.write.format(FORMAT).option("level", level).option("form", form).mode(mode).save(qualified(spark, root))
+
+
+@contextmanager
+def bounded_batches(spark: SparkSession):
+    """Arrow batches of the jobs run meanwhile, bounded by rows and bytes; the session's own settings come back.
+
+    Most blocks are a line or two, a few are a megabyte, so neither bound would do alone.
+    """
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": WRITE_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": WRITE_BYTES}
+    before = {limit: spark.conf.get(limit) for limit in limits}
+    for limit, value in limits.items():
+        spark.conf.set(limit, str(value))
+    try:
+        yield
     finally:
-        spark.conf.set(limit, before)
+        for limit, value in before.items():
+            spark.conf.set(limit, value)
 
 
 def write_lines(

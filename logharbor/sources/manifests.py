@@ -40,8 +40,8 @@ from ..operators.blocks import log_blocks
 from ..operators.files import EXTENSION, FILE_KEY
 from ..session import qualified
 from .containers import (
-    CONTAINER_BYTES, DEFLATE_LEVEL, LINE_DDL, SPLIT_BYTES, SYNC_BYTES, WRITE_ROWS, Box, _deflate, _header, _lines,
-    _long_bytes, _Packer, _placed, _read_long, filesystem,
+    CONTAINER_BYTES, DEFLATE_LEVEL, LINE_DDL, SPLIT_BYTES, SYNC_BYTES, Box, _deflate, _header, _lines,
+    _long_bytes, _Packer, _placed, _read_long, bounded_batches, filesystem,
 )
 
 FORMAT = "line_manifest"
@@ -346,14 +346,9 @@ def write_lines(
     rows = _placed(blocks, file, file_key)
     spark = rows.sparkSession
     register(spark)
-    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(limit)
-    spark.conf.set(limit, str(WRITE_ROWS))
-    try:
+    with bounded_batches(spark):
         writer = rows.write.format(FORMAT).option("level", level).mode(mode)
         (writer.option("key", key) if key else writer).save(qualified(spark, root))
-    finally:
-        spark.conf.set(limit, before)
 
 
 def read_lines(

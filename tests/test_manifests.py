@@ -15,7 +15,7 @@ from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, Les
 import models
 from logharbor.operators.files import file_keys
 from logharbor.operators.offsets import sink_to_high_watermark
-from logharbor.sources import manifests as mf
+from logharbor.sources import containers as boxes, manifests as mf
 from logharbor.streaming import sink
 from test_blocks import DDL, make_lines
 
@@ -182,3 +182,14 @@ def test_keyed_audit_equals_the_batch_form(spark):
     assert [None if pd.isna(x) else x for x in got["lag"]] == [r.lag for r in want]
     plain, after = sink.expectations(np.array([3, 1, 7]), np.array([9, 9, 9]), 2, False)
     assert plain.tolist() == [2, 4, 4] and after == 8
+
+
+def test_batches_are_bounded_by_bytes_and_splits_by_work(spark):
+    """Lines reach the packer in whole batches, and a folder of many small files is read by many tasks."""
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(n) for n in names]
+    with boxes.bounded_batches(spark):
+        rows, size = (int(spark.conf.get(n)) for n in names)
+        assert rows >= 1024 and 0 < size <= 64 << 20
+    assert [spark.conf.get(n) for n in names] == before
+    assert len(boxes.pack_splits([(f"f{k}", 20_000) for k in range(1200)], boxes.SPLIT_BYTES)) >= 12
