@@ -1,8 +1,9 @@
 """A landed topic log in segments with an index, and a stream that reads it from given offsets.
 
-``land_segments`` writes a log as Parquet files that hold one slice of one topic-partition each,
-and publishes an index of them: topic, partition, first and last offset, rows. One index row per
-``SEGMENT_ROWS`` messages is all the driver sees.
+``land_segments`` writes a log as Parquet files that hold consecutive segments of one topic-partition
+each, and publishes an index of the segments: topic, partition, file, first and last offset, rows. One
+index row per ``SEGMENT_ROWS`` messages is all the driver sees. Small segments share a file of up to
+``FILE_ROWS`` offsets, so the number of files follows the messages, not the segments.
 
 ``from_segments`` starts at the offset given for each partition (the earliest one where none is
 given), ends before the offset given as end, and admits up to ``max_offsets`` new offsets in a
@@ -35,6 +36,9 @@ from .topic_log import LOG_DDL, starting_offsets
 FORMAT = "log_segments"
 INDEX = "_index"
 SEGMENT_ROWS = 1 << 20
+FILE_ROWS = 1 << 18         # offsets of a file that holds more than one segment
+GROUP_ROWS = 1 << 14        # rows of a row group, the least that is read
+PLAN_ROWS = 1 << 16         # rows of a file that are read in one go
 PLAN_DDL = "topic string, partition int, path string, first bigint, last bigint"
 LOG_COLUMNS = [c.split()[0] for c in LOG_DDL.split(", ")]
 
@@ -57,14 +61,17 @@ def land_segments(log: DataFrame, root: str, key: str, segment_rows: int = SEGME
         return
     folder = f"{key}-{uuid.uuid4().hex}"
     parts = [*TP, "_slice"]
-    sliced = log.select(*LOG_COLUMNS).withColumn("_slice", int_div(F.col("offset"), segment_rows))
+    file_rows = max(1, FILE_ROWS // segment_rows) * segment_rows
+    sliced = log.select(*LOG_COLUMNS).withColumn("_slice", int_div(F.col("offset"), file_rows))
     for name in TP:
         sliced = sliced.withColumn(f"_{name}", F.col(name))
     folders = ["_topic", "_partition", "_slice"]
-    sliced.repartition(*parts).sortWithinPartitions(*parts, "offset", "arrival_seq").write.partitionBy(*folders).parquet(f"{base}/{folder}")
+    sliced.repartition(*parts).sortWithinPartitions(*parts, "offset", "arrival_seq").write.partitionBy(*folders) \
+        .option("parquet.block.row.count.limit", GROUP_ROWS).parquet(f"{base}/{folder}")
     below = F.regexp_replace(F.col("_metadata.file_path"), f"^.*?/{folder}/", f"{folder}/")
-    rows = spark.read.schema(LOG_DDL).parquet(f"{base}/{folder}").groupBy(*TP, below.alias("path")).agg(
-        F.min("offset").alias("first"), F.max("offset").alias("last"), F.count("*").alias("rows")).collect()
+    rows = spark.read.schema(LOG_DDL).parquet(f"{base}/{folder}").groupBy(
+        *TP, below.alias("path"), int_div(F.col("offset"), segment_rows).alias("_segment")).agg(
+        F.min("offset").alias("first"), F.max("offset").alias("last"), F.count("*").alias("rows")).drop("_segment").collect()
     fs.create_dir(f"{inner}/{INDEX}", recursive=True)
     temporary = f"{inner}/{INDEX}/.{folder}"
     with fs.open_output_stream(temporary) as out:
@@ -115,7 +122,7 @@ def admitted(start: Offsets, high: Offsets, limit: int | None) -> Offsets:
 
 
 class SegmentPlans(SimpleDataSourceStreamReader):
-    """Rows of :data:`PLAN_DDL`, one for each segment that a micro-batch reads from."""
+    """Rows of :data:`PLAN_DDL`, one for each stretch of segments of a file that a micro-batch reads from."""
 
     def __init__(self, root: str, starting: Offsets, ending: Offsets, limit: int | None):
         self.root, self.starting, self.ending, self.limit = root, starting, ending, limit
@@ -147,14 +154,22 @@ class SegmentPlans(SimpleDataSourceStreamReader):
         return iter(self._plans(index, self._complete(start, _bounds(index)[0]), end))
 
     def _plans(self, index: list[dict], start: Offsets, end: Offsets) -> list[tuple]:
-        out = []
+        out: list[list] = []
+        open_: dict[str, tuple[list, int]] = {}     # by file: its last stretch, and the rows of that
         for s in index:
             t, p = s["topic"], str(s["partition"])
             lo, hi = start[t][p], end.get(t, {}).get(p, start[t][p])
             first, last = max(lo, s["first"]), min(hi - 1, s["last"])
-            if first <= last:
-                out.append((t, s["partition"], s["path"], first, last))
-        return out
+            if first > last:
+                continue
+            stretch, held = open_.get(s["path"], (None, 0))
+            if stretch is not None and held + s["rows"] <= PLAN_ROWS:
+                stretch[4] = last
+            else:
+                stretch, held = [t, s["partition"], s["path"], first, last], 0
+                out.append(stretch)
+            open_[s["path"]] = stretch, held + s["rows"]
+        return [tuple(row) for row in out]
 
 
 class SegmentSource(DataSource):

@@ -77,3 +77,19 @@ def test_ranges_read_again_are_the_same(spark, log, tmp_path):
     assert sorted(rows) == sorted(plans.readBetweenOffsets(plans.initialOffset(), end))
     more, after = plans.read(end)
     assert sorted(more) == sorted(plans.readBetweenOffsets(end, after)) and after != end
+
+
+def test_small_segments_share_files(spark, tmp_path, monkeypatch):
+    """The number of files and of planned reads follows the messages, however short a segment is."""
+    monkeypatch.setattr(sg, "FILE_ROWS", 64)
+    monkeypatch.setattr(sg, "PLAN_ROWS", 24)
+    log = spark.range(200).selectExpr("'t' topic", "0 partition", "id offset", "200L high_watermark", "id arrival_seq", "id arrival_ms", "binary('v' || id) value")
+    sg.land_segments(log, f"{tmp_path}/log", "all", 8)
+    index = sg.segments(f"{tmp_path}/log")
+    assert len(index) == 25 and len({s["path"] for s in index}) == 4
+    plans = sg.SegmentPlans(f"{tmp_path}/log", {"t": {"0": 3}}, {"t": {"0": 130}}, None)
+    rows, _ = plans.read(plans.initialOffset())
+    rows = list(rows)
+    assert [r[3:] for r in rows] == [(3, 23), (24, 47), (48, 63), (64, 87), (88, 111), (112, 127), (128, 129)]
+    start, end = (spark.createDataFrame([("t", 0, o)], START) for o in (3, 130))
+    assert taken(spark, tmp_path, start=start, end=end)[0] == [("t", 0, o) for o in range(3, 130)]
