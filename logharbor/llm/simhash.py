@@ -16,9 +16,10 @@ Scale. Equal fingerprints are one entry. A posting is compared in blocks of at m
 rows a side by NumPy popcounts, and a block yields a spanning forest of its links, never its
 pairs, so output is linear and a long posting is spread over many tasks. No posting is cut.
 
-Similarity of texts. ``one_per_group`` decides by the shingle sets themselves. Positional bytes
-cannot guarantee a similarity of 0.8, so there the index is over shingles by prefix filtering, and
-fingerprints (of distinct shingles) only thin out its candidates.
+Similarity of texts. ``one_per_group`` takes candidates from the same index (256 bits, ``LINES``),
+and decides by the shingle sets themselves. Positional bytes cannot guarantee a similarity of 0.8,
+so candidates by prefix filtering over shingles, thinned out by fingerprints, add the pairs that
+share no line of bytes.
 """
 
 from __future__ import annotations
@@ -60,6 +61,7 @@ def triples(lines: list[tuple[int, ...]]) -> list[tuple[int, int, int]]:
 
 HALVES = triples([(0, 1, 2, 3), (4, 5, 6, 7)])
 PLANE = triples(_plane())
+LINES = _plane()        # whole lines of the plane: four positions a key, so that few keys meet by chance
 
 
 # --- fingerprints ------------------------------------------------------------------------------
@@ -125,13 +127,18 @@ def with_fingerprint(df: DataFrame, words: int = 3, bits: int = 64, carry: list[
 # --- links -------------------------------------------------------------------------------------
 
 
-def _posting_keys(family: list[tuple[int, int, int]]) -> Column:
-    """One key per triple: its number in the family above its three bytes."""
+def _posting_keys(family: list[tuple[int, ...]]) -> Column:
+    """One key per set of positions: its number in the family above its bytes."""
     def byte(position: int) -> Column:
         return F.shiftrightunsigned(F.col("fp")[position // 8], 56 - 8 * (position % 8)).bitwiseAND(F.lit(255))
-    return F.array(*[
-        F.lit(k << 24).bitwiseOR(F.shiftleft(byte(a), 16)).bitwiseOR(F.shiftleft(byte(b), 8)).bitwiseOR(byte(c))
-        for k, (a, b, c) in enumerate(family)])
+
+    def key(number: int, positions: tuple[int, ...]) -> Column:
+        out = F.lit(number << 8 * len(positions)).cast("bigint")
+        for above, position in enumerate(reversed(positions)):
+            out = out.bitwiseOR(F.shiftleft(byte(position), 8 * above))
+        return out
+
+    return F.array(*[key(k, positions) for k, positions in enumerate(family)])
 
 
 def equal_bytes(apart: np.ndarray) -> np.ndarray:
@@ -143,11 +150,11 @@ def equal_bytes(apart: np.ndarray) -> np.ndarray:
     return np.bitwise_count(~(((apart & low) + low) | apart | low))
 
 
-def fingerprint_links(fps: DataFrame, family: list[tuple[int, int, int]], radius: int, min_shared: int, positions: int) -> DataFrame:
+def fingerprint_links(fps: DataFrame, family: list[tuple[int, ...]], radius: int, min_shared: int, positions: int) -> DataFrame:
     """Links ``a, b`` between the distinct fingerprints of ``fps (node, fp)``, a stored table.
 
     Every two fingerprints that share ``min_shared`` positional bytes inside an indexed triple and
-    are within ``radius`` bits are connected by a path of links.
+    are within ``radius`` bits are connected by a path of links. (``family`` may be of sets of four.)
     """
     postings = fps.select("node", F.explode(_posting_keys(family)).alias("key"))
     blocks = in_blocks(postings, ["key"], "node", BLOCK).join(fps.select("node", "fp"), "node")
@@ -341,16 +348,20 @@ def one_per_group(documents: DataFrame, words: int = 5, bits: int = 256, similar
     """``documents`` with one row of each near-duplicate group, that of the smallest doc_id.
 
     Two texts are linked exactly if their sets of distinct shingles have a Jaccard similarity of
-    ``similarity`` or more; linked texts are a group. Candidates share a shingle of their prefixes
-    (no alike pair is without one), have sizes that allow the similarity, and fingerprints within
-    ``CANDIDATE_RADIUS``. Components of the candidates bound where the sets themselves are compared.
+    ``similarity`` or more; linked texts are a group. Candidates come from the inverted index over
+    positional bytes of the fingerprints: a line shared, four shared bytes tallied, within
+    ``CANDIDATE_RADIUS`` bits. That index loses pairs near the similarity, so those that share a
+    shingle of their prefixes (no alike pair is without one) and have sizes and fingerprints that
+    allow the similarity are candidates, too. Components of the candidates bound where the sets
+    themselves are compared.
     """
     key = [F.xxhash64("doc_id", "text").alias("_r1"), F.xxhash64(F.lit(9), "text", "doc_id").alias("_r2")]
     keyed = documents.select("doc_id", "text", *key)
     prints = with_prefix(keyed, words, bits, similarity, common_shingles(documents, words))
     low = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_r1", "_r2")).alias("row")
     sets = stored(prints.groupBy("node").agg(low, *(F.first(c).alias(c) for c in ("size", "fp", "prefix"))), "shinglesets")
-    near = components(candidate_links(sets, similarity))
+    indexed = fingerprint_links(sets.select("node", "fp"), LINES, CANDIDATE_RADIUS, 4, 16)
+    near = components(indexed.union(candidate_links(sets, similarity)))
     members = stored(sets.select("node", "row._r1", "row._r2").join(near, "node"), "members")
     # Whole rows cross the network once: both joins with them find them dealt out by their key.
     wide = dealt(documents.select(F.struct("*").alias("_row"), *key), ["_r1", "_r2"], "rows")

@@ -56,3 +56,17 @@ def test_repeated_rows_leave_one(spark):
     rows = spark.createDataFrame([(1, text, "a")] * 3 + [(2, text, "b"), (None, None, None), (None, None, None), (7, "x " * 9, "c")],
                                  "doc_id bigint, text string, extra string")
     assert sorted((r.doc_id or 0, r.extra) for r in simhash.one_per_group(rows).collect()) == [(0, None), (1, "a"), (7, "c")]
+
+
+def test_the_fingerprint_index_finds_near_copies(spark, monkeypatch):
+    """Without the prefixes, pairs that are nearly equal nearly all meet in the index over positional bytes."""
+    rng = np.random.default_rng(11)
+    pairs = []
+    for _ in range(100):
+        words = rng.integers(0, 1 << 40, 400)
+        near = words.copy()
+        near[rng.integers(0, 400)] = 7
+        pairs.append((text_of(words), text_of(near)))
+    monkeypatch.setattr(simhash, "candidate_links", lambda sets, similarity: spark.createDataFrame([], "a bigint, b bigint"))
+    kept = kept_of(spark, pairs)
+    assert kept >= {2 * k for k in range(100)} and len(kept) <= 120
