@@ -12,9 +12,11 @@ row; extra columns are ignored, except that the caller's columns may be carried.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -278,6 +280,18 @@ def vocabulary(text: str) -> Vocabulary:
     return state[key]
 
 
+@contextmanager
+def no_collection():
+    """No cycle collection meanwhile: it would walk the remembered tuples again and again, which form no cycles."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 def encode_decode(df: DataFrame, vocabulary_path: str, keep_ids: bool = False, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Per row: ``carry``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked, ``input_ids``.
 
@@ -292,13 +306,14 @@ def encode_decode(df: DataFrame, vocabulary_path: str, keep_ids: bool = False, c
         vocab = vocabulary(shipped.value)
         for batch in batches:
             counts, ids_sha, text_sha, kept = [], [], [], []
-            for pieces in vocab.pieces_of([t or "" for t in batch.column("text").to_pylist()]):
-                ids = list(chain.from_iterable([p[0] for p in pieces]))
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join([p[1] for p in pieces]).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(vocab.decode(ids).encode()).hexdigest())
-                if keep_ids:
-                    kept.append(pa.array(ids, pa.int32()))
+            with no_collection():
+                for pieces in vocab.pieces_of([t or "" for t in batch.column("text").to_pylist()]):
+                    ids = list(chain.from_iterable([p[0] for p in pieces]))
+                    counts.append(len(ids))
+                    ids_sha.append(hashlib.sha256(",".join([p[1] for p in pieces]).encode()).hexdigest())
+                    text_sha.append(hashlib.sha256(vocab.decode(ids).encode()).hexdigest())
+                    if keep_ids:
+                        kept.append(pa.array(ids, pa.int32()))
             arrays = [batch.column(c) for c in carry] + [pa.array(v, f.type) for v, f in zip((counts, ids_sha, text_sha), digests)]
             names = [*carry, *digests.names]
             if keep_ids:

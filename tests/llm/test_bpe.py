@@ -70,3 +70,12 @@ def test_rows(spark, library):
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert bpe.encode_decode(df.limit(0), vocabulary_path()).count() == 0
+
+
+def test_cycle_collection_rests_while_encoding():
+    import gc
+    with pytest.raises(ValueError):
+        with bpe.no_collection():
+            assert not gc.isenabled()
+            raise ValueError
+    assert gc.isenabled()
