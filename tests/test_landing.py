@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+import models
 from logharbor import catalog as c
 from logharbor.functions import wire
 from logharbor.functions.times import render_template, time_bucket
@@ -292,6 +293,22 @@ def test_reset_on_the_border_is_kept(spark, tmp_path):
     assert states == [3, 5] and lines == ["m0", "m1", "m2", "m3", "m3", "m4", "m4"]
 
 
+def test_many_resets_in_a_batch(spark, tmp_path, monkeypatch):
+    """Every second row of two batches resets; what a landing keeps of a row does not grow with the resets of its slice."""
+    rows = [(o, mark, T0 + k) for k in range(300) for o, mark in ((3 * k + 9, 10**6), (3 * k, 3 * k + 2))]
+    frames, decode = [], landing.decode
+    monkeypatch.setattr(landing, "decode", lambda audited, *a: frames.append(audited) or decode(audited, *a))
+    states, lines = batches(spark, tmp_path, [rows[:250], rows[250:]], sink_to_watermark=True)
+    walked = models.audit([(o, mark) for o, mark, _ in rows], 0, True)
+    assert sum(status == "beyond_hw" for _, status, _ in walked) == 300
+    assert states == [walked[249][2], walked[-1][2]]
+    assert lines == sorted(f"m{o}" for (o, _, _), (_, status, _) in zip(rows, walked) if status in ("ok", "gap"))
+    for nodes in ([f._jdf.queryExecution().optimizedPlan()] for f in frames):
+        for node in nodes:
+            nodes += [node.children().apply(k) for k in range(node.children().size())]
+            assert not any(node.output().apply(k).dataType().typeName() == "array" for k in range(node.output().size()))
+
+
 def test_dropped_batch_keeps_the_state(spark, tmp_path):
     states, lines = batches(spark, tmp_path, [[(0, 9, T0), (1, 9, T0)], [(0, 9, T0)], [(2, 9, T0)]])
     assert states == [2, 2, 3] and lines == ["m0", "m1", "m2"]
