@@ -1122,13 +1122,14 @@ def landing_stream_offsets(spark, sf):
     run backwards here and there, as a broker's create times do.
     """
     base = shared_dir(spark, "offsets")
-    log = _log(spark, sf)
-    lagging = (F.col("arrival_seq") % 2 == 1) & (F.col("high_watermark") < F.col("_total")) & (F.col("arrival_seq") > F.col("_total"))
-    totals = log.groupBy(*TP).agg(F.max("high_watermark").alias("_total"))
-    cuts = log.join(totals, TP).groupBy(*TP).agg(F.min(F.when(lagging, F.col("arrival_seq"))).alias("_cut"))
     moved = F.col("arrival_ms") - (F.col("event_id") % 5) * 1_800_000
+    log = stored(_log(spark, sf).withColumn("arrival_ms", moved).drop("event_id"), "log")
+    # A row per topic-partition, stored, so that the joins below broadcast it and no row of the log moves for them.
+    totals = stored(log.groupBy(*TP).agg(F.max("high_watermark").alias("_total")), "totals")
+    lagging = (F.col("arrival_seq") % 2 == 1) & (F.col("high_watermark") < F.col("_total")) & (F.col("arrival_seq") > F.col("_total"))
+    cuts = stored(log.join(totals, TP).groupBy(*TP).agg(F.min(F.when(lagging, F.col("arrival_seq"))).alias("_cut")), "cuts")
     batch = F.when(F.col("arrival_seq") <= F.coalesce("_cut", F.lit(2**63 - 1)), 0).otherwise(1)
-    rows = stored(log.join(cuts, TP).withColumn("arrival_ms", moved).withColumn("batch", batch).drop("_cut", "event_id"), "batches")
+    rows = log.join(cuts, TP).withColumn("batch", batch).drop("_cut")
     options = landing.LandingOptions(f"{base}/out", f"{base}/ledger", f"{base}/checkpoint", YEAR, seconds=86_400, sink_to_watermark=True)
     configs, states = _configs(spark, sf), []
     for k in (0, 1):

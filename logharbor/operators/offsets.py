@@ -272,23 +272,24 @@ def sink_to_high_watermark(
         some = stored(some, "riskyrows")
         walked = some.groupBy(*_SLICE).applyInPandas(_summarise, f"{key_ddl}, _step boolean, _a long, _b long, _t long")
         entries = stored(_with_start(calm.unionByName(walked), start).groupBy(*TP).applyInPandas(_walk_slices, f"{key_ddl}, _entry long"), "entries")
-    placed = rows.join(entries, _SLICE)
     reached = F.col("offset") + 1
     if risky.isEmpty():
         earlier = F.max(reached).over(before(_SLICE, "arrival_seq"))
-        audited = _verdict(placed.withColumn("expected", F.greatest("_entry", earlier)).drop("_entry"))
+        audited = _verdict(rows.join(entries, _SLICE).withColumn("expected", F.greatest("_entry", earlier)).drop("_entry"))
     else:
         points = some.join(entries, _SLICE).groupBy(*_SLICE).applyInPandas(_resets, f"{key_ddl}, {POINTS}")
         # A point comes after the rows that arrived with it, and its number tells its stretch from the one before.
         marks = points.select(*_SLICE, F.col("_seq").alias("arrival_seq"), "_nth", F.col("_to").alias("_reached"))
-        both = placed.withColumn("_nth", F.lit(-1).cast("long")).withColumn("_reached", reached).unionByName(marks, allowMissingColumns=True)
+        both = rows.withColumn("_nth", F.lit(-1).cast("long")).withColumn("_reached", reached).unionByName(marks, allowMissingColumns=True)
+        # A union forgets how its sides were dealt, so slices' entries join behind it: one shuffle serves join and windows.
+        placed = both.join(entries, _SLICE)
         order = [F.col("arrival_seq"), F.col("_nth")]
         opened = F.max("_nth").over(Window.partitionBy(*_SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
         stretch = F.struct(F.col("_stretch").alias("stretch"), F.col("_reached").alias("reached"))
         latest = F.max(stretch).over(before(_SLICE, *order))
         expected = F.when(F.col("_latest.stretch") >= 0, F.col("_latest.reached")).otherwise(F.greatest("_entry", F.col("_latest.reached")))
         audited = _verdict(
-            both.withColumn("_stretch", opened).withColumn("_latest", latest).filter("_nth < 0").withColumn("expected", expected)
+            placed.withColumn("_stretch", opened).withColumn("_latest", latest).filter("_nth < 0").withColumn("expected", expected)
             .drop("_entry", "_nth", "_reached", "_stretch", "_latest")
         )
     sunk = F.col("status") == "beyond_hw"

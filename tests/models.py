@@ -53,3 +53,20 @@ def by_key(rows, key):
     for r in rows:
         groups[key(r)].append(r)
     return groups
+
+
+def shuffles_of(df, column, broadcast):
+    """Shuffles that move ``column`` in the plan made before any stage has run; ``broadcast``: bytes of a table that may be broadcast."""
+    conf, wanted = df.sparkSession.conf, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": str(broadcast)}
+    before = {key: conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        conf.set(key, value)
+    try:
+        nodes = [df.select("*")._jdf.queryExecution().executedPlan()]
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
+    for node in nodes:
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+    moves = [node for node in nodes if node.nodeName() == "Exchange"]
+    return sum(any(n.output().apply(k).name() == column for k in range(n.output().size())) for n in moves)

@@ -309,6 +309,16 @@ def test_many_resets_in_a_batch(spark, tmp_path, monkeypatch):
             assert not any(node.output().apply(k).dataType().typeName() == "array" for k in range(node.output().size()))
 
 
+def test_offsets_of_a_stream_leave_the_log_in_place(spark, sf_dir, monkeypatch):
+    """The log is shuffled once, while it is numbered; where its batches end is broadcast to its rows."""
+    kept, batched, store, land = [], [], c.stored, landing.land_batch
+    monkeypatch.setattr(c, "stored", lambda df, name: kept.append(df) or store(df, name))
+    monkeypatch.setattr(landing, "land_batch", lambda batch, *a: batched.append(batch) or land(batch, *a))
+    c.QUERIES["landing_stream_offsets"](spark, sf_dir).collect()
+    assert [models.shuffles_of(df, "value", broadcast=-1) for df in kept if "value" in df.columns] == [1]
+    assert [models.shuffles_of(df, "value", broadcast=10 << 20) for df in batched] == [0, 0]
+
+
 def test_dropped_batch_keeps_the_state(spark, tmp_path):
     states, lines = batches(spark, tmp_path, [[(0, 9, T0), (1, 9, T0)], [(0, 9, T0)], [(2, 9, T0)]])
     assert states == [2, 2, 3] and lines == ["m0", "m1", "m2"]

@@ -81,6 +81,16 @@ def test_many_resets_in_a_slice(spark):
         assert not any(node.output().apply(k).dataType().typeName() == "array" for k in range(node.output().size()))
 
 
+def test_resets_shuffle_the_rows_once(spark):
+    """Where a slice resets and nothing is broadcast, one shuffle serves the join with the slices and the windows."""
+    rows = [("t", 0, o, mark, 2 * k + again, f"p{k}") for k in range(60) for again, o, mark in ((0, 3 * k + 9, 10**6), (1, 3 * k, 3 * k + 2))]
+    log = spark.createDataFrame(rows, DDL)
+    for slice_rows in (1000, 16):
+        audited = of.sink_to_high_watermark(log, 0, slice_rows)
+        assert models.shuffles_of(audited, "payload", broadcast=-1) == 1
+        assert got(audited) == sequential(rows, {}, True)
+
+
 def test_function_of_a_slice():
     """The three-number summary equals walking the rows, for every start."""
     rng = random.Random(5)
