@@ -4,7 +4,12 @@ A piece of text (as cut by the pre-tokenizer) starts as one symbol per byte. Lea
 tree holds the rank of the pair that starts at symbol ``i``; an inner node holds the smaller of
 its children together with its place, so the root names the leftmost pair of lowest rank. A merge
 changes three leaves, each in logarithmic time, until no pair is mergeable. Long pieces therefore
-cost ``n log n``.
+cost ``n log n``. Pieces of bounded width are merged many at a time; there all nodes of all trees
+are made anew after a merge, level by level.
+
+Nothing is done in Python per word of the text: Arrow cuts texts into words and numbers the
+different ones, each of these is encoded once per group of texts if it is not remembered, and ids,
+their digits and the bytes they stand for are gathered by number.
 
 Nulls encode like the empty text: no ids, decoded to the empty text. Repeated rows each get their
 row; extra columns are ignored, except that the caller's columns may be carried.
@@ -21,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -28,12 +34,16 @@ from .common import small_batches, worker_state
 
 #: The pre-tokenizer's pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_PIECES = 250_000      # distinct pieces, and words, a worker remembers; then the memory starts anew
-CACHE_CHARS = 48            # longer pieces are not remembered
-WIDEST = 64                 # pieces of up to so many bytes are merged many at a time
+CACHE_PIECES = 60_000       # distinct words a worker remembers, those seen most
+CACHE_CHARS = 48            # words of more bytes are not remembered
+GROUP_BYTES = 2 << 20       # Arrow batches are encoded together up to so many bytes of text
+WIDEST = 256                # pieces of up to so many bytes are merged many at a time,
+STEP_CELLS = 1 << 17        # so many bytes of them at once; rows that are gathered at once
 PAIR_BITS = 24              # ids are below 2**24
-ADDED = "\ue000"            # marks an added token among pieces; a piece of the text never holds both
-ADDED_BYTES = ADDED.encode()
+HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+EMPTY = -2                  # a free place in the table of pairs
+#: All white space there is.
+WHITE = [c for c in map(chr, range(1 << 16)) if c.isspace()]
 
 
 def byte_symbols() -> list[str]:
@@ -49,6 +59,67 @@ def byte_symbols() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+class Ragged:
+    """Rows of differing lengths in one array; they may lie in any order."""
+
+    def __init__(self, values: np.ndarray, lengths: np.ndarray, starts: np.ndarray | None = None):
+        self.values, self.lengths = values, lengths
+        self.starts = lengths.cumsum() - lengths if starts is None else starts
+
+    @classmethod
+    def of_strings(cls, strings: pa.LargeStringArray) -> Ragged:
+        """UTF-8 bytes of each string."""
+        offsets, data = strings.buffers()[1:]
+        ends = np.frombuffer(offsets, np.int64)[strings.offset:strings.offset + len(strings) + 1] if len(strings) else np.zeros(1, np.int64)
+        return cls(np.frombuffer(data or b"", np.uint8), np.diff(ends), ends[:-1])
+
+    @property
+    def ends(self) -> np.ndarray:
+        return self.starts + self.lengths
+
+    def spans(self) -> list[tuple[int, int]]:
+        return list(zip(self.starts.tolist(), self.ends.tolist()))
+
+    def take(self, rows: np.ndarray | slice = slice(None)) -> Ragged:
+        """The rows named, one after another."""
+        lengths, starts = self.lengths[rows], self.starts[rows]
+        ends = lengths.cumsum()
+        values = np.empty(ends[-1] if len(ends) else 0, self.values.dtype)
+        for k in range(0, len(ends), STEP_CELLS):
+            some = slice(k, k + STEP_CELLS)
+            a, b = ends[k] - lengths[k], ends[some][-1]
+            at = np.repeat(starts[some] + lengths[some] - ends[some], lengths[some])
+            at += np.arange(a, b)
+            values[a:b] = self.values[at]
+        return Ragged(values, lengths, ends - lengths)
+
+    def followed_by(self, other: Ragged) -> Ragged:
+        """These rows and the others."""
+        return Ragged(np.concatenate([self.values, other.values]), np.append(self.lengths, other.lengths), np.append(self.starts, other.starts + len(self.values)))
+
+    def gathered(self, counts: np.ndarray) -> Ragged:
+        """So many rows each as one; they have to lie in order."""
+        ends = np.append(0, self.lengths.cumsum())[np.append(0, counts.cumsum())]
+        return Ragged(self.values, np.diff(ends), ends[:-1])
+
+
+def spaced(words: pa.LargeStringArray, ends: np.ndarray | list[int]) -> pa.LargeStringArray:
+    """Runs of words, with a space between two."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words), pa.scalar(" ", pa.large_string()))
+
+
+def starts_white(words: pa.LargeStringArray) -> np.ndarray:
+    """Which strings are empty or start with white space."""
+    found = Ragged.of_strings(words)
+    white = found.lengths == 0
+    some = np.flatnonzero(~white)
+    lead = np.zeros(256, bool)
+    lead[[c.encode()[0] for c in WHITE]] = True
+    some = some[lead[found.values[found.starts[some]]]]
+    white[some] = [w[0].isspace() for w in words.take(pa.array(some)).to_pylist()]
+    return white
+
+
 class Vocabulary:
     """Merges, ids and added tokens of a tokenizer file."""
 
@@ -66,156 +137,256 @@ class Vocabulary:
             self.merges[ids[left], ids[right]] = (rank, ids[left + right])
         added = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.added = added
-        self.added_pattern = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
+        longest_first = sorted(added, key=len, reverse=True)
+        self.added_pattern = regex.compile("|".join(map(regex.escape, longest_first))) if added else None
+        self.added_codes = "|".join("".join(f"\\x{{{ord(c):x}}}" for c in t) for t in longest_first)    # for Arrow's own expressions
         for token, i in added.items():
             self.bytes_of[i] = token.encode()
         self.pieces = regex.compile(PATTERN)
-        self.cache: dict[str, tuple[tuple[int, ...], str]] = {}      # by piece
-        self.words: dict[str, tuple[tuple[int, ...], str] | None] = {}   # by word after a space
-        self.byte_array = np.array(self.byte_ids, np.int64)
+        self.byte_array = np.array(self.byte_ids, np.int32)
         keys = np.array([(a << PAIR_BITS) | b for a, b in self.merges], np.int64)
         made = np.array(list(self.merges.values()), np.int64).reshape(-1, 2)
-        order = np.argsort(keys)
-        self.pair_keys, self.pair_ranks = keys[order], made[order, 0]
-        self.id_of_rank = np.zeros(len(made) + 1, np.int64)
+        self.id_of_rank = np.zeros(len(data["model"]["merges"]) + 1, np.int32)
         self.id_of_rank[made[:, 0]] = made[:, 1]
+        self._hash(keys, made[:, 0])
+        ends = np.repeat(self.byte_array[None], 256, axis=0)
+        self.byte_ranks = self._ranks(ends.T.ravel(), ends.ravel())      # by first byte * 256 + second
+        #: What a tree's node holds is below this.
+        self.none = np.int64(1 << 62) if len(self.id_of_rank) * WIDEST >= 1 << 31 else np.int32((1 << 31) - 1)
+        self.token_bytes = pa.array(self.bytes_of, pa.large_binary())
+        self.token_digits = pa.array([b"%d," % i for i in range(len(self.bytes_of))], pa.large_binary())
+        #: Remembered words, their ids after a space, and how often they were seen.
+        self.words = pa.array([], pa.large_string())
+        self.known, self.seen = Ragged(np.empty(0, np.int32), np.empty(0, np.int64)), np.empty(0, np.float32)
+
+    def _hash(self, keys: np.ndarray, ranks: np.ndarray) -> None:
+        """A table of pairs with free places by the next one, mostly empty."""
+        bits = max(4, (8 * len(keys)).bit_length())
+        self.slot_shift, self.slot_mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_keys = np.full(1 << bits, EMPTY, np.int64)
+        self.slot_ranks = np.full(1 << bits, -1, np.int64)
+        at = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self.slot_keys[at] == EMPTY)
+            free = free[np.unique(at[free], return_index=True)[1]]
+            self.slot_keys[at[free]], self.slot_ranks[at[free]] = keys[free], ranks[free]
+            left = np.ones(len(keys), bool)
+            left[free] = False
+            keys, ranks, at = keys[left], ranks[left], (at[left] + 1) & self.slot_mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * HASH_FACTOR) >> self.slot_shift).view(np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, -1 for none; symbols of -1 pair with nothing."""
+        keys = (left.astype(np.int64) << PAIR_BITS) | right
+        at = self._slots(keys)
+        held = self.slot_keys[at]
+        ranks = np.where(held == keys, self.slot_ranks[at], -1)
+        missed = np.flatnonzero((held != keys) & (held != EMPTY))
+        keys, at = keys[missed], at[missed]
+        while len(missed):
+            at = (at + 1) & self.slot_mask
+            held = self.slot_keys[at]
+            ranks[missed] = np.where(held == keys, self.slot_ranks[at], -1)
+            more = np.flatnonzero((held != keys) & (held != EMPTY))
+            missed, keys, at = missed[more], keys[more], at[more]
+        return ranks
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(ids for ids, _ in self.pieces_of([text])[0]))
+        return self.ids_of(pa.array([text], pa.large_string())).values.tolist()
 
     def pieces_of(self, texts: list[str]) -> list[list[tuple[tuple[int, ...], str]]]:
-        """Per text its parts in order, each as (ids, ids joined by commas).
-
-        The pattern always starts a piece at a space before a non-space, so text is first cut
-        there, and what a word between two such cuts encodes to is remembered. Texts with other
-        white space after a space are cut by the pattern as a whole.
+        """Per text its parts in order, each as (ids, ids joined by commas); one part a text."""
+        ids = self.ids_of(pa.array(texts, pa.large_string()))
+        found = [tuple(ids.values[a:b].tolist()) for a, b in ids.spans()]
+        return [[(f, ",".join(map(str, f)))] for f in found]
+
+    def ids_of(self, texts: pa.LargeStringArray) -> Ragged:
+        """Ids of each text."""
+        if not self.added or not pc.any(pc.match_substring_regex(texts, self.added_codes)).as_py():
+            return self._ids_between(texts)
+        # Added tokens end the text before them.
+        parts, token, first = [], [], []
+        for text in texts.to_pylist():
+            at = 0
+            first.append(len(parts))
+            for m in self.added_pattern.finditer(text):
+                parts.append(text[at:m.start()])
+                token.append(self.added[m.group()])
+                at = m.end()
+            parts.append(text[at:])
+            token.append(-1)
+        found, token = self._ids_between(pa.array(parts, pa.large_string())), np.array(token, np.int32)
+        marked = token >= 0
+        values = np.insert(found.values, found.ends[marked], token[marked])
+        return Ragged(values, np.add.reduceat(found.lengths + marked, first))
+
+    def _ids_between(self, texts: pa.LargeStringArray) -> Ragged:
+        """Ids of texts without added tokens.
+
+        The pattern always starts a piece at a space before a non-space, so texts are cut there,
+        and what follows each such space is a word. A word can hold spaces in or before other
+        white space. Each different word is encoded once; those remembered are numbered first.
         """
-        words = self.words
-        cut = [None if self.added_pattern and self.added_pattern.search(t) else t.split(" ") for t in texts]
-        new = {w for parts in cut if parts for w in parts[1:] if w not in words}
-        whole = {w: None for w in new if not w or w[0].isspace()}
-        by_word = {w: self.pieces.findall(" " + w) for w in new if w not in whole}
-        made: dict = whole
-        if len(words) + len(new) > CACHE_PIECES:
-            made |= {w: words[w] for parts in cut if parts for w in parts[1:] if w in words}
-            words = self.words = {}
-        irregular = {k for k, parts in enumerate(cut) if not parts or any(w in whole or words.get(w, made) is None for w in parts[1:])}
-        pieces = {k: self._cut(texts[k]) if k in irregular else self.pieces.findall(cut[k][0]) for k in range(len(texts))}
-        ready = self._encoded([*pieces.values(), *by_word.values()])
-        for word, found in by_word.items():
-            parts = [ready[p] for p in found]
-            made[word] = parts[0] if len(parts) == 1 else (tuple(chain.from_iterable(p[0] for p in parts)), ",".join([p[1] for p in parts]))
-        words |= made
-        out = []
-        for k, parts in enumerate(cut):
-            head = [ready[p] for p in pieces[k]]
-            out.append(head if k in irregular else head + [words[w] for w in parts[1:]])
-        for word in by_word:
-            if len(word) > CACHE_CHARS:
-                del words[word]
-        return out
-
-    def _encoded(self, groups: list[list[str]]) -> dict[str, tuple[tuple[int, ...], str]]:
-        """What each piece of ``groups`` encodes to."""
-        wanted = set(chain.from_iterable(groups))
-        ready = {p: self.cache[p] for p in wanted if p in self.cache}
-        new = [p for p in wanted if p not in ready]
-        fresh = dict(zip(new, self._merge(new)))
-        if len(self.cache) + len(fresh) > CACHE_PIECES:
-            self.cache = {}
-        self.cache |= {p: v for p, v in fresh.items() if len(p) <= CACHE_CHARS}
-        return ready | fresh
-
-    def _cut(self, text: str) -> list[str]:
-        """Pieces of the whole text; added tokens carry a mark."""
-        if not self.added_pattern or not self.added_pattern.search(text):
-            return self.pieces.findall(text)
-        out, at = [], 0
-        for m in self.added_pattern.finditer(text):
-            out += self.pieces.findall(text[at:m.start()])
-            out.append(ADDED + m.group())
-            at = m.end()
-        return out + self.pieces.findall(text[at:])
-
-    def _merge(self, pieces: list[str]) -> list[tuple[list[int], str]]:
-        found: list[list[int]] = [[] for _ in pieces]
-        by_width: dict[int, list[int]] = {}
-        raw = [p.encode() for p in pieces]
-        for k, data in enumerate(raw):
-            if data.startswith(ADDED_BYTES) and pieces[k][len(ADDED):] in self.added:
-                found[k] = [self.added[pieces[k][len(ADDED):]]]
-            elif len(data) > WIDEST:
-                found[k] = merge_piece([self.byte_ids[b] for b in data], self.merges)
-            else:
-                by_width.setdefault(max(4, 1 << (len(data) - 1).bit_length()), []).append(k)
-        for width, places in by_width.items():
-            for k, ids in zip(places, self._merge_short([raw[k] for k in places], width)):
-                found[k] = ids
-        return [(ids, ",".join(map(str, ids))) for ids in found]
+        split = pc.split_pattern(texts, " ")
+        starts = split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
+        numbered = pa.concat_arrays([self.words, split.flatten()]).dictionary_encode()
+        words, code = numbered.dictionary, numbered.indices.to_numpy()[len(self.words):]
+        # What starts with white space belongs to the part before it.
+        opens = ~starts_white(words)[code]
+        opens[starts] = True
+        is_head = np.zeros(len(code), bool)
+        is_head[starts] = True
+        first = np.flatnonzero(opens)
+        length, is_head = np.diff(first, append=len(code)), is_head[first]
+        # Each text's first part, which has no space before it, and parts of several words are numbered one by one.
+        other = np.flatnonzero(is_head | (length > 1))
+        entry = code[first].astype(np.int64)
+        single = np.ones(len(entry), bool)
+        single[other] = False
+        seen = np.bincount(entry[single], minlength=len(words))
+        new = np.flatnonzero(seen[len(self.words):]) + len(self.words)
+        fresh = words.take(pa.array(new))
+        others = Ragged(code, length[other], first[other]).take()
+        others = spaced(words.take(pa.array(others.values)), np.append(others.starts, len(others.values)))
+        after_space = ~is_head[other]
+        made = self.known.followed_by(self._encoded(fresh, others.filter(pa.array(after_space)), others.filter(pa.array(~after_space))))
+        place = np.zeros(len(words), np.int64)
+        place[:len(self.words)] = np.arange(len(self.words))
+        place[new] = len(self.words) + np.arange(len(new))
+        entry = place[entry]
+        at = len(self.words) + len(new)
+        entry[other[after_space]] = np.arange(at, at + after_space.sum())
+        entry[other[~after_space]] = np.arange(at + after_space.sum(), len(made.lengths))
+        parts = made.take(entry)
+        self._remember(words, place, made, seen)
+        return parts.gathered(np.diff(np.flatnonzero(is_head), append=len(entry)))
+
+    def _encoded(self, words: pa.LargeStringArray, wide: pa.LargeStringArray, heads: pa.LargeStringArray) -> Ragged:
+        """Ids of words after a space, of parts of several words after a space, and of parts as they are."""
+        words = pa.concat_arrays([words, wide])
+        pieces = self.pieces.findall(" " + spaced(words, [0, len(words)])[0].as_py()) if len(words) else []
+        lengths = pc.utf8_length(words).to_numpy() + 1
+        ends = np.fromiter(map(len, pieces), np.int64, len(pieces)).cumsum()
+        counts = np.diff(np.searchsorted(ends, lengths.cumsum(), side="right"), prepend=0)
+        of_heads = [self.pieces.findall(h) for h in heads.to_pylist()]
+        counts = np.append(counts, np.fromiter(map(len, of_heads), np.int64, len(heads)))
+        found = pa.array(chain(pieces, chain.from_iterable(of_heads)), pa.large_string()).dictionary_encode()
+        merged = self._merge(Ragged.of_strings(found.dictionary))
+        return merged.take(found.indices.to_numpy()).gathered(counts)
+
+    def _remember(self, words: pa.LargeStringArray, place: np.ndarray, ids: Ragged, seen: np.ndarray) -> None:
+        """Keeps the words seen most, of late rather than long ago."""
+        seen = seen.astype(np.float32)
+        seen[:len(self.words)] += self.seen * np.float32(0.9)
+        kept = np.flatnonzero((seen > 0) & (Ragged.of_strings(words).lengths <= CACHE_CHARS))
+        if len(kept) > CACHE_PIECES:
+            kept = np.sort(kept[np.argpartition(-seen[kept], CACHE_PIECES)[:CACHE_PIECES]])
+        self.words, self.known, self.seen = words.take(pa.array(kept)), ids.take(place[kept]), seen[kept]
+
+    def _merge(self, pieces: Ragged) -> Ragged:
+        """Ids of pieces, given as bytes."""
+        none = np.empty(0, np.int32)
+        counts, first, out, size = np.zeros(len(pieces.lengths), np.int64), np.zeros(len(pieces.lengths), np.int64), [none], 0
+        width, least = 4, 0
+        while width <= WIDEST:
+            wide = np.flatnonzero((pieces.lengths > least) & (pieces.lengths <= width))
+            for a in range(0, len(wide), STEP_CELLS // width):
+                some = wide[a:a + STEP_CELLS // width]
+                starts, lengths = pieces.starts[some], pieces.lengths[some]
+                place = np.arange(width)[:, None]
+                raw = pieces.values[np.minimum(starts + place, len(pieces.values) - 1)]
+                ids = self._in_step(raw, lengths)
+                counts[some], first[some] = ids.lengths, ids.starts + size
+                out.append(ids.values)
+                size += len(ids.values)
+            width, least = 2 * width, width
+        for k in np.flatnonzero(pieces.lengths > WIDEST).tolist():
+            a = pieces.starts[k]
+            ids = merge_piece(self.byte_array[pieces.values[a:a + pieces.lengths[k]]].tolist(), self.merges)
+            counts[k], first[k] = len(ids), size
+            out.append(np.array(ids, np.int32))
+            size += len(ids)
+        return Ragged(np.concatenate(out), counts, first)
 
     def _merge_short(self, pieces: list[bytes], width: int) -> list[list[int]]:
-        """``merge_piece`` for many pieces of up to ``width`` bytes: one tree a row, all in step."""
-        rows = len(pieces)
-        none = 1 << 62
-        lengths = np.fromiter(map(len, pieces), np.int64, rows)
-        raw = np.frombuffer(b"".join(p.ljust(width, b" ") for p in pieces), np.uint8).reshape(rows, width)
-        place = np.arange(width)
-        symbols = np.where(place < lengths[:, None], self.byte_array[raw], -1)
-        tree = np.full((rows, 2 * width), none, np.int64)
-        ranks = self._ranks(symbols[:, :-1], symbols[:, 1:])
-        tree[:, width:-1] = np.where(ranks >= 0, ranks * width + place[:-1], none)
-        k = width // 2
-        while k:
-            tree[:, k:2 * k] = np.minimum(tree[:, 2 * k:4 * k:2], tree[:, 2 * k + 1:4 * k:2])
-            k //= 2
-        # One column more on the right stands for "no neighbour".
-        symbols = np.concatenate([symbols, np.full((rows, 1), -1)], axis=1)
-        stride = width + 1
-        after = np.tile(np.arange(1, width + 2), (rows, 1)).clip(max=width).ravel()
-        before = np.tile(np.arange(-1, width), (rows, 1)).ravel()
-        flat, symbols = tree.ravel(), symbols.ravel()
-        active = np.arange(rows)
+        """``merge_piece`` for many pieces of up to ``width`` bytes."""
+        raw = np.frombuffer(b"".join(p.ljust(width, b" ") for p in pieces), np.uint8).reshape(len(pieces), width)
+        ids = self._in_step(raw.T, np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        return [ids.values[a:b].tolist() for a, b in ids.spans()]
+
+    def _in_step(self, raw: np.ndarray, lengths: np.ndarray) -> Ragged:
+        """Ids of pieces, one a column of ``raw``: one tree a column, all in step.
+
+        A row of the arrays holds one place of all pieces, so a level of all trees is the smaller
+        of two runs of rows.
+        """
+        width, pieces = raw.shape
+        bits, none = width.bit_length() - 1, self.none
+        place = np.arange(width, dtype=np.int32)[:, None]
+        # One row more stands for "no neighbour".
+        symbols = np.full((width + 1, pieces), -1, np.int32)
+        symbols[:-1] = np.where(place < lengths, self.byte_array[raw], -1)
+        tree = np.full((2 * width, pieces), none)
+        ranks = self.byte_ranks[(raw[:-1].astype(np.int64) << 8) | raw[1:]]
+        tree[width:-1] = np.where((place[1:] < lengths) & (ranks >= 0), (ranks << bits) | place[:-1], none)
+        after = np.repeat(np.arange(1, width + 2, dtype=np.int32).clip(max=width)[:, None], pieces, axis=1)
+        before = np.repeat(np.arange(-1, width, dtype=np.int32)[:, None], pieces, axis=1)
+        done, column = np.empty((width, pieces), np.int32), np.arange(pieces)
         while True:
-            top = flat[active * (2 * width) + 1]
-            active, top = active[top != none], top[top != none]
-            if not len(active):
+            k = width // 2
+            while k:
+                np.minimum(tree[2 * k:4 * k:2], tree[2 * k + 1:4 * k:2], out=tree[k:2 * k])
+                k //= 2
+            live = np.flatnonzero(tree[1] != none)
+            if 4 * len(live) < 3 * len(column):
+                done[:, column] = symbols[:-1]
+                symbols, tree, after, before = (x.take(live, axis=1) for x in (symbols, tree, after, before))
+                column = column[live]
+                live = np.arange(len(live))
+            if not len(live):
                 break
-            base, leaf = active * stride, active * (2 * width)
-            i = top % width
-            j = after[base + i]
-            symbols[base + i] = merged = self.id_of_rank[top // width]
-            symbols[base + j] = -1
-            k = after[base + j]
-            after[base + i] = k
-            before[base + k] = i
-            flat[leaf + width + j] = none
-            ranks = self._ranks(merged, symbols[base + k])
-            flat[leaf + width + i] = np.where(ranks >= 0, ranks * width + i, none)
-            h = before[base + i]
-            some = h >= 0
-            left = h[some]
-            ranks = self._ranks(symbols[base[some] + left], merged[some])
-            flat[leaf[some] + width + left] = np.where(ranks >= 0, ranks * width + left, none)
-            node = width + np.concatenate([i, j, left])
-            root = np.concatenate([leaf, leaf, leaf[some]])
-            while node[0] > 1:
-                node >>= 1
-                at = root + 2 * node
-                flat[root + node] = np.minimum(flat[at], flat[at + 1])
-        symbols = symbols.reshape(rows, stride)
+            n = len(column)
+            flat, leaf, right_of, left_of = symbols.ravel(), tree[width:].ravel(), after.ravel(), before.ravel()
+            top = tree[1][live].astype(np.int64)
+            i = top & (width - 1)
+            at = i * n + live
+            j = right_of[at] * np.int64(n) + live
+            k = right_of[j]
+            merged = self.id_of_rank[top >> bits]
+            flat[at] = merged
+            flat[j] = -1
+            right_of[at] = k
+            k = k * np.int64(n) + live
+            left_of[k] = i
+            leaf[j] = none
+            h = left_of[at]
+            some = np.flatnonzero(h >= 0)
+            h = h[some]
+            left = h * np.int64(n) + live[some]
+            ranks = self._ranks(np.concatenate([merged, flat[left]]), np.concatenate([flat[k], merged[some]]))
+            leaf[np.concatenate([at, left])] = np.where(ranks >= 0, (ranks << bits) | np.concatenate([i, h]), none)
+        symbols = done.T
         kept = symbols >= 0
-        ids, ends = tuple(symbols[kept].tolist()), kept.sum(axis=1).cumsum().tolist()
-        return [ids[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair, -1 for none; symbols of -1 pair with nothing."""
-        keys = (left << PAIR_BITS) | right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.pair_ranks[at], -1)
+        return Ragged(symbols[kept], kept.sum(axis=1))
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
+    def digests(self, ids: Ragged) -> tuple[list[str], list[str]]:
+        """Per row SHA-256 of its ids joined by commas, and of the text they are decoded to."""
+        of_ids, of_texts = [], []
+        tokens = pa.array(ids.values, pa.int32())
+        for table, digest in (self.token_digits, of_ids), (self.token_bytes, of_texts):
+            taken = table.take(tokens)
+            data = memoryview(taken.buffers()[2] or b"")
+            ends = np.frombuffer(taken.buffers()[1], np.int64) if len(taken) else np.zeros(1, np.int64)
+            for a, b in zip(ends[ids.starts].tolist(), ends[ids.ends].tolist()):
+                whole = data[a:max(a, b - 1)] if digest is of_ids else str(data[a:b], "utf-8", "replace").encode()
+                digest.append(hashlib.sha256(whole).hexdigest())
+        return of_ids, of_texts
+
 
 def merge_piece(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """Symbols after all merges, lowest rank first and leftmost among equals."""
@@ -292,6 +463,20 @@ def no_collection():
             gc.enable()
 
 
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches with rows, together up to ``GROUP_BYTES`` of text; a larger batch stays alone."""
+    group, size = [], 0
+    for batch in filter(len, batches):
+        more = batch.column("text").nbytes
+        if group and size + more > GROUP_BYTES:
+            yield pa.Table.from_batches(group)
+            group, size = [], 0
+        group.append(batch)
+        size += more
+    if group:
+        yield pa.Table.from_batches(group)
+
+
 def encode_decode(df: DataFrame, vocabulary_path: str, keep_ids: bool = False, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Per row: ``carry``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked, ``input_ids``.
 
@@ -304,24 +489,15 @@ def encode_decode(df: DataFrame, vocabulary_path: str, keep_ids: bool = False, c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(shipped.value)
-        for batch in batches:
-            counts, ids_sha, text_sha, kept = [], [], [], []
+        for group in grouped(batches):
             with no_collection():
-                for pieces in vocab.pieces_of([t or "" for t in batch.column("text").to_pylist()]):
-                    ids = list(chain.from_iterable([p[0] for p in pieces]))
-                    counts.append(len(ids))
-                    ids_sha.append(hashlib.sha256(",".join([p[1] for p in pieces]).encode()).hexdigest())
-                    text_sha.append(hashlib.sha256(vocab.decode(ids).encode()).hexdigest())
-                    if keep_ids:
-                        kept.append(pa.array(ids, pa.int32()))
-            arrays = [batch.column(c) for c in carry] + [pa.array(v, f.type) for v, f in zip((counts, ids_sha, text_sha), digests)]
+                ids = vocab.ids_of(group.column("text").combine_chunks().cast(pa.large_string()).fill_null(""))
+                kinds = vocab.digests(ids)
+            arrays = [group.column(c).combine_chunks() for c in carry] + [pa.array(v, f.type) for v, f in zip((ids.lengths, *kinds), digests)]
             names = [*carry, *digests.names]
             if keep_ids:
-                offsets = [0]
-                for k in counts:
-                    offsets.append(offsets[-1] + k)
-                values = pa.concat_arrays(kept) if kept else pa.array([], pa.int32())
-                arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values))
+                offsets = np.append(ids.starts, len(ids.values))
+                arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.values, pa.int32())))
                 names.append("input_ids")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
